@@ -534,7 +534,7 @@ def str_3(t: Inputs) -> DataFrame:
 @query("src_6_manifest", r"""
 select page_id, (split_part(key, '/', 1) = 'audio' and lower(ext) in ('.wav', '.mp3', '.m4a', '.mp4', '.ogg', '.flac', '.aac', '.amr', '.webm')) as is_recording,
   left(base, length(base) - length(ext)) as call_id
-from (select page_id, key, base, regexp_extract(base, '[^.](\.[^.]*)$', 1) as ext
+from (select page_id, key, base, regexp_extract(base, '^\.*[^.].*(\.[^.]*)$', 1) as ext
       from (select page_id, key, regexp_extract(key, '[^/]*$') as base
             from (select page_id, concat(case when length(html) % 3 = 0 then 'report/' else 'audio/' end, '2026/01/02/', cast(page_id as varchar), '.', regexp_extract(url, '[^/]*$'),
                     case length(html) % 4 when 0 then '.WAV' when 1 then '.mp3' when 2 then '.json' else '' end) as key from pages) a) b) c

@@ -54,7 +54,8 @@ def is_recording(key: Column | str) -> Column:
 
 
 def call_id_of_key(key: Column | str) -> Column:
-    return F.regexp_replace(base_name(key), r"(?<=[^.])\.[^.]*$", "")
+    name = base_name(key)
+    return F.coalesce(F.nullif(F.regexp_extract(name, r"^(\.*[^.].*)\.[^.]*$", 1), F.lit("")), name)
 
 
 def call_id_of_file(path: Column | str) -> Column:
