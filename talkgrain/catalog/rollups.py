@@ -34,7 +34,7 @@ select date_key, team, agent_key, {_SCOPE}, count(*) as total_calls, count_if(pr
   cast(sum(coalesce(flag_count, 0)) as bigint) as total_flags, count_if(coalesce(flag_count, 0) > 0) as flagged_calls,
   count_if(coalesce(disqualified, false)) as fatal_calls, count_if(coalesce(flag_count, 0) > 0 and not coalesce(disqualified, false)) as review_calls,
   round(coalesce(sum(score), 0), 4) as score_sum, max(score) as score_max, min(score) as score_min, cast(sum(duration_sec) as bigint) as total_duration_sec,
-  count_if(audit_status = 'HIGH') as high_calls, count_if(audit_status = 'MEDIUM') as medium_calls, count_if(audit_status = 'LOW') as low_calls
+  count_if(coalesce(audit_status, '') = 'HIGH') as high_calls, count_if(coalesce(audit_status, '') = 'MEDIUM') as medium_calls, count_if(coalesce(audit_status, '') = 'LOW') as low_calls
 from s_keyed_calls {_SETS.format('')}) r
 """)
 step("s_metrics", f"""

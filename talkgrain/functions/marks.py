@@ -33,7 +33,9 @@ def bands_of(criterion: Column | str) -> Column:
 def step_down(criterion: Column | str, marks: Column | str, steps: Column | str) -> Column:
     """Marks moved down the criterion's ladder, snapped down onto it first; never below 0."""
     bands = bands_of(criterion)
-    rungs = F.greatest(F.size(F.filter(bands, lambda b: b <= _col(marks))), F.lit(1))
+    longest = max(map(len, K.CRITERION_BANDS.values()))
+    below = [F.coalesce((F.get(bands, F.lit(i)) <= _col(marks)).cast("int"), F.lit(0)) for i in range(longest)]
+    rungs = F.greatest(sum(below[1:], below[0]), F.lit(1))
     place = F.greatest(rungs - F.greatest(_col(steps), F.lit(0)), F.lit(1))
     return F.try_element_at(bands, place.cast("int")).cast("bigint")
 

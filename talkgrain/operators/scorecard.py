@@ -69,10 +69,12 @@ def apply_repetitions(card: DataFrame, repeats: DataFrame, continuity: DataFrame
     joined = (card.join(counts, ["call_id", "criterion"], "left").join(follow, "call_id", "left")
               .withColumn("repeats", F.coalesce("repeats", F.lit(0).cast("bigint"))))
     applies = F.coalesce("is_follow_up", F.lit(False)) & F.col("reached") & (F.col("repeats") > 0)
-    before = F.least("awarded", marks.full_marks("criterion"))
-    after = F.when(applies, marks.step_down("criterion", before, F.col("repeats"))).otherwise(F.col("awarded"))
-    return joined.withColumns({"deduction": F.when(applies, before - after).otherwise(F.lit(0)).cast("bigint"),
-                               "awarded": F.when(applies & (after != before), after).otherwise(F.col("awarded")).cast("bigint")})
+    stepped = (joined.withColumn("_before", F.least("awarded", marks.full_marks("criterion")))
+               .withColumn("_after", F.when(applies, marks.step_down("criterion", "_before", "repeats"))))
+    off = F.coalesce(F.col("_before") - F.col("_after"), F.lit(0).cast("bigint"))
+    return (stepped.withColumn("deduction", off)
+            .withColumn("awarded", F.when(F.col("deduction") > 0, F.col("_after")).otherwise(F.col("awarded")))
+            .drop("_before", "_after"))
 
 
 def apply_relevance(card: DataFrame, relevance: DataFrame) -> DataFrame:

@@ -61,7 +61,8 @@ def compare(spark, con, folder, build, sql) -> str:
     mine = {f.name: _family(f.dataType.simpleString()) for f in df.schema.fields}
     off = {c: (mine[c], kinds[c]) for c in names if mine[c] != kinds[c] and str(kinds[c]) != "number"}
     if got != want:
-        only_got = [r for r in got if r not in set(want)][:3]
-        only_want = [r for r in want if r not in set(got)][:3]
+        have, need = set(got), set(want)
+        only_got = [r for r in got if r not in need][:3]
+        only_want = [r for r in want if r not in have][:3]
         return f"rows {len(got)} vs {len(want)}; columns {sorted(names)}\n  spark  {only_got}\n  check  {only_want}"
     return f"types {off}" if off else ""
