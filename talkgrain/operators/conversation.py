@@ -248,7 +248,7 @@ def numbered_transcript(turns: DataFrame, style: str = "zero", width: int = orde
 
 def transcript_size(turns: DataFrame) -> DataFrame:
     """Token estimate and mode of a call from the rendered length, without rendering it."""
-    line = F.length("text") + F.length("speaker") + F.length(F.col("turn").cast("string")) + 5
+    line = F.length("text") + F.length("speaker") + F.length(F.col("turn").cast("string")) + 6
     sized = turns.groupBy("call_id").agg((F.sum(line) - 1).alias("chars"))
     return sized.withColumn("tokens", text.token_estimate("chars")).withColumn("mode", text.processing_mode("tokens"))
 
