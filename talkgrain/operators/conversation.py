@@ -25,49 +25,58 @@ def clean_turns(turns: DataFrame, swap: bool = False, drop_fillers: bool = False
     return tidy.where(~text.is_filler("text")) if drop_fillers else tidy
 
 
-def merged_turns(cleaned: DataFrame, pos: str = "pos", width: int = ordered.BLOCK) -> DataFrame:
+def merged_turns(cleaned: DataFrame, pos: str = "pos", width: int | None = ordered.AUTO) -> DataFrame:
     """Back-to-back turns of one role as one: texts joined, first start, last end."""
-    numbered = ordered.islands(cleaned, CALL, pos, label="role", width=width)
-    place = F.col(pos)
     timed = [c for c in ("start_ms", "end_ms") if c in cleaned.columns]
-    aggs = [F.min_by("role", place).alias("role"), F.count("*").alias("merged_turns"), F.min(pos).alias("first_pos")]
-    if timed:
-        aggs += [F.min_by(F.struct("start_ms"), place).alias("_s"), F.max_by(F.struct("end_ms"), place).alias("_e")]
-    merged = ordered.joined_text(numbered, [*CALL, "island"], pos, F.col("text"), "text", aggs, width=width)
-    if timed:
-        merged = merged.withColumns({"start_ms": F.col("_s.start_ms"), "end_ms": F.col("_e.end_ms")}).drop("_s", "_e")
-    return merged.withColumnRenamed("island", "turn")
 
+    def build(rows: DataFrame, width: int | None) -> DataFrame:
+        numbered = ordered.islands(rows, CALL, pos, width, label="role")
+        aggs = [F.min_by("role", pos).alias("role"), F.count("*").alias("merged_turns"), F.min(pos).alias("first_pos")]
+        if timed:
+            aggs += [F.min_by(F.struct("start_ms"), pos).alias("_s"), F.max_by(F.struct("end_ms"), pos).alias("_e")]
+        merged = ordered.joined_text(numbered, [*CALL, "island"], pos, F.col("text"), "text", aggs, width=width)
+        if timed:
+            merged = merged.withColumns({"start_ms": F.col("_s.start_ms"), "end_ms": F.col("_e.end_ms")}).drop("_s", "_e")
+        return merged.withColumnRenamed("island", "turn")
 
-def utterances(tokens: DataFrame, max_gap_ms: int, width: int = ordered.BLOCK) -> DataFrame:
+    return ordered.by_size(cleaned, CALL, build, width)
+
+
+def utterances(tokens: DataFrame, max_gap_ms: int, width: int | None = ordered.AUTO) -> DataFrame:
     """Tokens to utterances: a new one on another speaker or a silence longer than ``max_gap_ms``.
 
     Blank tokens stay inside an utterance and never begin one.  The end of an utterance is that of
     its last token with one, so after an utterance that so far has no end no silence can be seen:
     of the tokens that would be measured against one end, only the first opens an utterance.
     """
-    spoken = tokens.where(text.strip("text") != "").withColumn("speaker", F.coalesce("speaker", F.lit("unknown")))
-    runs = ordered.islands(spoken, CALL, "pos", label="speaker", out="run", width=width)
-    ended = F.when(F.col("end_ms").isNotNull(), F.struct("run", "pos", "end_ms"))
-    known = ordered.running_max(runs, CALL, "pos", ended, "last", width=width)
-    same = F.col("last.run") == F.col("run")
-    silent = F.coalesce(same & (F.col("start_ms") - F.col("last.end_ms") > max_gap_ms), F.lit(False))
-    silences = (known.where(silent).groupBy("call_id", F.col("last.pos").alias("after"))
-                .agg(F.min("pos").alias("pos")).select("call_id", "pos"))
-    firsts = runs.groupBy("call_id", "run").agg(F.min("pos").alias("pos")).select("call_id", "pos")
-    opens = firsts.union(silences).distinct().withColumn("_open", F.lit(1))
-    marked = tokens.join(opens, ["call_id", "pos"], "left")
-    numbered = ordered.running_sum(marked, CALL, "pos", F.coalesce("_open", F.lit(0)), "utterance", width=width)
-    inside = numbered.where(F.col("utterance") > 0)
-    place = F.col("pos")
-    grouped = ordered.joined_text(
-        inside, [*CALL, "utterance"], "pos", F.col("text"), "text",
-        [F.min_by(F.coalesce("speaker", F.lit("unknown")), place).alias("speaker_id"),
-         F.min_by(F.struct("start_ms"), place).alias("_s"),
-         F.max_by("end_ms", F.when(F.col("end_ms").isNotNull() & (text.strip("text") != ""), place)).alias("end_ms")],
-        separator="", width=width)
-    return (grouped.withColumns({"text": text.collapse_space("text"), "start_ms": F.col("_s.start_ms")})
-            .where(F.col("text") != "").drop("_s").withColumn("utterance", F.col("utterance") - 1))
+    def build(rows: DataFrame, width: int | None) -> DataFrame:
+        spoken = (rows.withColumn("_blank", text.strip("text") == "").withColumn("speaker", F.coalesce("speaker", F.lit("unknown"))))
+        heard = F.when(~F.col("_blank"), F.col("speaker"))
+        # A blank token takes the speaker before it, so that it breaks no run.
+        carried = ordered.running_max(spoken, CALL, "pos", F.when(heard.isNotNull(), F.struct("pos", "speaker")), "_prior", width)
+        voiced = carried.withColumn("_voice", F.coalesce(heard, F.col("_prior.speaker")))
+        runs = ordered.islands(voiced.drop("_prior"), CALL, "pos", width, label="_voice", out="run")
+        ended = F.when(~F.col("_blank") & F.col("end_ms").isNotNull(), F.struct("pos", "run", "end_ms"))
+        known = ordered.running_max(runs, CALL, "pos", ended, "last", width)
+        same = F.col("last.run") == F.col("run")
+        silent = ~F.col("_blank") & F.coalesce(same & (F.col("start_ms") - F.col("last.end_ms") > max_gap_ms), F.lit(False))
+        flagged = known.withColumn("_silent", silent)
+        # Only the first silence after each end opens an utterance.
+        fired = ordered.running_max(flagged, CALL, "pos", F.when(F.col("_silent"), F.struct("pos", F.col("last.pos").alias("after"))), "_fired", width)
+        first = F.col("_silent") & ~F.coalesce(F.col("_fired.after") == F.col("last.pos"), F.lit(False))
+        opened = ordered.islands(fired.withColumn("_opens", first), CALL, "pos", width, starts="_opens", out="_gaps")
+        inside = opened.where(F.col("_voice").isNotNull())
+        grouped = ordered.joined_text(
+            inside, [*CALL, "run", "_gaps"], "pos", F.col("text"), "text",
+            [F.min_by("_voice", "pos").alias("speaker_id"),
+             F.min_by(F.struct("start_ms"), F.when(~F.col("_blank"), F.col("pos"))).alias("_s"),
+             F.max_by("end_ms", F.when(~F.col("_blank") & F.col("end_ms").isNotNull(), F.col("pos"))).alias("end_ms"),
+             F.min(F.when(~F.col("_blank"), F.col("pos"))).alias("first_pos")], separator="", width=width)
+        tidy = (grouped.withColumns({"text": text.collapse_space("text"), "start_ms": F.col("_s.start_ms")})
+                .where(F.col("text") != "").drop("_s", "run", "_gaps"))
+        return ordered.dense_index(tidy, CALL, "first_pos", "utterance", width)
+
+    return ordered.by_size(tokens, CALL, build, width)
 
 
 def speaker_scores(spoken: DataFrame, plus: tuple[str, ...] = K.EMPLOYEE_MARKERS,
@@ -126,13 +135,17 @@ def metadata(turns: DataFrame) -> DataFrame:
     return counted.withColumn("talk_ratio", F.coalesce(F.round(ratio, 4), F.lit(0.0)))
 
 
-def longest_monologue(turns: DataFrame, pos: str = "turn", width: int = ordered.BLOCK) -> DataFrame:
+def longest_monologue(turns: DataFrame, pos: str = "turn", width: int | None = ordered.AUTO) -> DataFrame:
     """Most words the employee spoke with no customer turn between."""
     sized = turns.select("call_id", pos, "speaker", text.word_count("text").alias("words"))
-    runs = ordered.islands(sized, CALL, pos, label="speaker", width=width)
-    totals = runs.groupBy("call_id", "island").agg(F.min("speaker").alias("speaker"), F.sum("words").alias("words"))
-    spoken = F.when(F.col("speaker") == "Employee", F.col("words"))
-    return totals.groupBy("call_id").agg(F.coalesce(F.max(spoken), F.lit(0)).alias("longest_monologue_words"))
+
+    def build(rows: DataFrame, width: int | None) -> DataFrame:
+        runs = ordered.islands(rows, CALL, pos, width, label="speaker")
+        totals = runs.groupBy("call_id", "island").agg(F.min("speaker").alias("speaker"), F.sum("words").alias("words"))
+        spoken = F.when(F.col("speaker") == "Employee", F.col("words"))
+        return totals.groupBy("call_id").agg(F.coalesce(F.max(spoken), F.lit(0)).alias("longest_monologue_words"))
+
+    return ordered.by_size(sized, CALL, build, width)
 
 
 _SEGMENT_ORDER = ["start_ms", "pos"]
@@ -142,7 +155,8 @@ _SEGMENT_BLOCK_MS = 3_600_000
 def _customer_numbers(segments: DataFrame) -> DataFrame:
     """Each segment with the number of customer segments up to and with it, in start order."""
     is_customer = (F.col("speaker") != "Employee").cast("bigint")
-    return ordered.running_sum(segments, CALL, "start_ms", is_customer, "customers", _SEGMENT_ORDER, _SEGMENT_BLOCK_MS)
+    return ordered.by_size(segments, CALL, lambda rows, width: ordered.running_sum(
+        rows, CALL, "start_ms", is_customer, "customers", width, _SEGMENT_ORDER), block=_SEGMENT_BLOCK_MS)
 
 
 def employee_stretches(segments: DataFrame) -> DataFrame:
@@ -193,13 +207,12 @@ def describe_pattern(patterns: DataFrame) -> DataFrame:
 
 
 def context_frames(turns: DataFrame, before: int = K.CONTEXT_TURNS, after: int = K.LOOKAHEAD_TURNS,
-                   width: int = ordered.BLOCK) -> DataFrame:
+                   width: int | None = ordered.AUTO) -> DataFrame:
     """Each turn with the turns around it, numbered from 1; ``turn`` is the dense index from 0."""
     line = F.concat((F.col("turn") + 1).cast("string"), F.lit(". "), "speaker", F.lit(": "), "text")
-    framed = ordered.neighbours(turns, CALL, "turn", line, before, after, width)
-    shown = lambda c: F.array_join(c, "\n")
-    return framed.withColumns({"context_before": shown("earlier"), "target": line, "context_after": shown("later")}) \
-                 .drop("earlier", "later")
+    framed = ordered.by_size(turns, CALL, lambda rows, width: ordered.neighbours(rows, CALL, "turn", line, before, after, width), width)
+    return framed.withColumns({"context_before": F.array_join("earlier", "\n"), "target": line,
+                               "context_after": F.array_join("later", "\n")}).drop("earlier", "later")
 
 
 def scan_targets(turns: DataFrame) -> DataFrame:
@@ -236,14 +249,14 @@ def chunks(turns: DataFrame, size: int = K.CHUNK_TURNS, overlap: int = K.CHUNK_O
     return placed.withColumn("chunk_start", F.col("_c") * step).drop("_c")
 
 
-def numbered_transcript(turns: DataFrame, style: str = "zero", width: int = ordered.BLOCK) -> DataFrame:
+def numbered_transcript(turns: DataFrame, style: str = "zero", width: int | None = ordered.AUTO) -> DataFrame:
     """The whole call as one numbered text: ``[0] S: t`` or ``1. S: t``."""
     if style == "zero":
         line = F.concat(F.lit("["), F.col("turn").cast("string"), F.lit("] "), "speaker", F.lit(": "), "text")
     else:
         line = F.concat((F.col("turn") + 1).cast("string"), F.lit(". "), "speaker", F.lit(": "), "text")
-    return ordered.joined_text(turns, CALL, "turn", line, "transcript", [F.count("*").alias("total_turns")],
-                               separator="\n", width=width)
+    return ordered.by_size(turns, CALL, lambda rows, width: ordered.joined_text(
+        rows, CALL, "turn", line, "transcript", [F.count("*").alias("total_turns")], "\n", width), width)
 
 
 def transcript_size(turns: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ def reanchor(flags: DataFrame, turns: DataFrame) -> DataFrame:
             .drop("_found"))
 
 
-def merge_neighbours(flags: DataFrame, gap: int = K.MERGE_GAP_TURNS, width: int = ordered.BLOCK) -> DataFrame:
+def merge_neighbours(flags: DataFrame, gap: int = K.MERGE_GAP_TURNS, width: int | None = ordered.AUTO) -> DataFrame:
     """Flags of one category within ``gap`` turns of the first become one finding.
 
     Rows carry ``turn``, ``seq`` (order of arrival), ``category``, ``severity``, ``source``,
@@ -110,12 +110,15 @@ def merge_neighbours(flags: DataFrame, gap: int = K.MERGE_GAP_TURNS, width: int
     A flag surely starts a finding when the flag before it has another category or is further away
     than ``gap``; that splits a call into runs.  Inside a run only the distinct turns decide.
     """
+    return ordered.by_size(flags, ["call_id"], lambda rows, width: _merge_neighbours(rows, gap, width), width)
+
+
+def _merge_neighbours(flags: DataFrame, gap: int, width: int | None) -> DataFrame:
     order = ["turn", "seq"]
     prior = ordered.previous(flags.withColumn("_c", F.coalesce("category", F.lit(""))),
-                             ["call_id"], "turn", ["_c", "turn"], order, width)
+                             ["call_id"], "turn", ["_c", "turn"], width, order)
     breaks = F.col("prev_turn").isNull() | (F.col("prev__c") != F.col("_c")) | (F.col("turn") - F.col("prev_turn") > gap)
-    runs = ordered.islands(prior.withColumn("_breaks", breaks), ["call_id"], "turn", starts=F.col("_breaks"), out="run",
-                           order=order, width=width)
+    runs = ordered.islands(prior.withColumn("_breaks", breaks), ["call_id"], "turn", width, starts="_breaks", out="run", order=order)
     runs = anchored(runs, ["call_id", "run"], "turn", gap, "_anchor", width)
     place = F.struct(*order)
     base = F.struct("category", "severity", "source", "reason", "seq", *[c for c in ("speaker", "phrase") if c in flags.columns])
@@ -153,14 +156,28 @@ def _spread(tagged: DataFrame, is_first: Column) -> DataFrame:
     return kept.groupBy("call_id", "run", "_anchor").agg(F.array_sort(F.collect_list("_t")).alias("also"))
 
 
-def anchored(df: DataFrame, keys: list[str], turn: str, gap: int, out: str, width: int = ordered.BLOCK) -> DataFrame:
+def anchored(df: DataFrame, keys: list[str], turn: str, gap: int, out: str, width: int | None = None) -> DataFrame:
     """The first turn of the stretch each row is in: a stretch reaches ``gap`` turns past its first.
 
-    Where stretches start depends on where the one before began, but for a block of turns only
+    Where a stretch starts depends on where the one before began, so the distinct turns of a run
+    are folded in order.  Long runs are cut into blocks.  A block depends on the one before only
     through how many of its first turns that one still covers, a number from 0 to ``gap``.  So each
-    block works out its answer for every such number, the answers are chained over the key's block
+    block works out its answer for every such number, the answers are chained over the run's block
     summaries, and each block then uses the right one.
     """
+    if width is None:
+        stretch = F.struct(F.array().cast("array<bigint>").alias("a"), F.lit(None).cast("bigint").alias("at"))
+
+        def walk(acc: Column, t: Column) -> Column:
+            opens = acc["at"].isNull() | (t - acc["at"] > gap)
+            return F.struct(F.when(opens, F.concat(acc["a"], F.array(t))).otherwise(acc["a"]).alias("a"),
+                            F.when(opens, t).otherwise(acc["at"]).alias("at"))
+
+        begun = (df.groupBy(*keys).agg(F.array_sort(F.collect_set(turn)).alias("_turns"))
+                 .select(*keys, F.explode(F.aggregate("_turns", stretch, walk)["a"]).alias(turn), F.lit(1).alias("_s")))
+        started = df.join(begun, [*keys, turn], "left").withColumn("_start", F.when(F.col("_s").isNotNull(), F.col(turn))).drop("_s")
+        before = ordered.running_max(started, keys, turn, F.col("_start"), "_earlier")
+        return before.withColumn(out, F.coalesce("_start", "_earlier")).drop("_start", "_earlier")
     if width <= gap:
         raise ValueError("a block must be wider than the gap")
     turns = ordered.with_block(df.select(*keys, turn).distinct(), turn, width)
@@ -201,7 +218,7 @@ def anchored(df: DataFrame, keys: list[str], turn: str, gap: int, out: str, widt
     starts = (blocks.join(covered, [*keys, "_block"])
               .select(*keys, F.explode(F.element_at("_answers", (F.col("_covered") + 1).cast("int"))["a"]).alias(turn)))
     opened = df.join(starts.withColumn("_start", F.col(turn)), [*keys, turn], "left")
-    before = ordered.running_max(opened, keys, turn, F.col("_start"), "_earlier", width=width)
+    before = ordered.running_max(opened, keys, turn, F.col("_start"), "_earlier", width)
     return before.withColumn(out, F.coalesce("_start", "_earlier")).drop("_start", "_earlier")
 
 
@@ -225,16 +242,20 @@ def scan_flags_added(existing: DataFrame, merged: DataFrame, scan: DataFrame) ->
             .select("call_id", F.greatest(F.coalesce("has", F.lit(0)) - F.coalesce("had", F.lit(0)), F.lit(0)).alias("added")))
 
 
-def _segments(rows: DataFrame, keys: list[str], low: str, high: str, width: int) -> DataFrame:
+def _segments(rows: DataFrame, keys: list[str], low: str, high: str, width: int | None) -> DataFrame:
     """Number the groups of intervals that touch; intervals of different groups share no turn."""
-    placed = rows.withColumn("_lo", F.col(low)).withColumn("_hi", F.col(high))
-    reach = ordered.running_max(placed, keys, "_lo", F.col("_hi"), "_reach", order=["_lo", "seq"], width=width)
-    starts = F.col("_reach").isNull() | (F.col("_lo") > F.col("_reach"))
-    return ordered.islands(reach.withColumn("_starts", starts), keys, "_lo", starts=F.col("_starts"), out="segment",
-                           order=["_lo", "seq"], width=width).drop("_lo", "_hi", "_reach", "_starts")
+    order = ["_lo", "seq"]
+
+    def build(part: DataFrame, width: int | None) -> DataFrame:
+        reach = ordered.running_max(part, keys, "_lo", F.col(high), "_reach", width, order)
+        starts = F.col("_reach").isNull() | (F.col("_lo") > F.col("_reach"))
+        return ordered.islands(reach.withColumn("_starts", starts), keys, "_lo", width, starts="_starts", out="segment", order=order)
+
+    placed = rows.withColumn("_lo", F.col(low))
+    return ordered.by_size(placed, keys, build, width).drop("_lo", "_reach", "_starts")
 
 
-def dedupe_flags(flags: DataFrame, width: int = ordered.BLOCK) -> DataFrame:
+def dedupe_flags(flags: DataFrame, width: int | None = ordered.AUTO) -> DataFrame:
     """Merge flags of one type that share a turn, each into the first it meets.
 
     Rows carry ``seq``, ``flag_type``, ``severity``, ``turn_index``, ``occurrences`` and
@@ -284,7 +305,7 @@ def dedupe_flags(flags: DataFrame, width: int = ordered.BLOCK) -> DataFrame:
 
 
 def carry_over(report_flags: DataFrame, upstream: DataFrame, turns: DataFrame, dismissed: DataFrame,
-               width: int = ordered.BLOCK) -> DataFrame:
+               width: int | None = ordered.AUTO) -> DataFrame:
     """What becomes of each upstream flag that the report may have missed.
 
     ``upstream`` rows carry ``seq``, ``stated``, ``speaker``, ``phrase``, ``category``, ``severity``,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from talkgrain import schemas
 from talkgrain.functions import text
-from talkgrain.plans.ordered import dense_index
+from talkgrain.plans import ordered
 
 
 def _entries(document: Column) -> Column:
@@ -57,9 +57,10 @@ def apply_speaker_policy(turns: DataFrame, policy: str = "binary") -> DataFrame:
     raise ValueError(f"unknown speaker policy {policy!r}")
 
 
-def numbered_turns(turns: DataFrame, pos: str = "pos") -> DataFrame:
+def numbered_turns(turns: DataFrame, pos: str = "pos", width: int | None = ordered.AUTO) -> DataFrame:
     """Drop empty turns, then number what is left from 0 within each call, as ``turn``."""
-    return dense_index(turns.where(F.col("text") != ""), ["call_id"], pos, "turn")
+    return ordered.by_size(turns.where(F.col("text") != ""), ["call_id"],
+                           lambda rows, width: ordered.dense_index(rows, ["call_id"], pos, "turn", width), width)
 
 
 def timing_segments(turns: DataFrame) -> DataFrame:
