@@ -49,32 +49,25 @@ def locate_phrases(flags: DataFrame, turns: DataFrame, phrase: str = "phrase", s
     With ``speaker`` the turn must be that speaker's, case aside; a flag without a speaker may be in
     any turn.  NULL when the phrase is nowhere in the call.
     """
-    wanted = flags.withColumn("_needle", text.collapse_space(F.coalesce(F.col(phrase), F.lit(""))))
-    said = F.lower(speaker) if speaker else F.lit(None).cast("string")
-    wanted = wanted.withColumn("_said", F.coalesce(text.blank_to_null(said), F.lit("*")))
+    said = F.lower(speaker) if speaker else F.lit("")
+    wanted = flags.withColumns({"_needle": text.collapse_space(F.coalesce(F.col(phrase), F.lit(""))),
+                                "_said": F.coalesce(text.blank_to_null(said), F.lit("*")),
+                                "_stated": F.coalesce(F.col(stated), F.lit(_NOWHERE)).cast("bigint")})
     heard = turns.select("call_id", F.col("turn").cast("bigint").alias("_turn"), text_normal("text").alias("_hay"),
-                         F.lower("speaker").alias("_by"))
-    tries = (wanted.select("call_id", "_needle", "_said", F.col(stated).alias("_stated")).distinct()
-             .where((F.col("_needle") != "") & F.col("_stated").isNotNull()))
+                         F.explode(F.array(F.lower("speaker"), F.lit("*"))).alias("_said"))
+    ask = ["call_id", "_said", "_needle", "_stated"]
     offsets = F.array(*[F.struct(F.lit(rank).alias("r"), F.lit(step).alias("d")) for rank, step in enumerate((0, -1, 1))])
-    near = (tries.withColumn("_try", F.explode(offsets))
-            .withColumn("_turn", (F.col("_stated") + F.col("_try.d")).cast("bigint"))
-            .join(heard, ["call_id", "_turn"])
-            .where(((F.col("_said") == "*") | (F.col("_said") == F.col("_by"))) & F.contains("_hay", F.col("_needle")))
-            .groupBy("call_id", "_needle", "_said", "_stated")
-            .agg(F.min_by("_turn", "_try.r").alias("_near")))
-    marked = wanted.withColumn("_stated", F.col(stated)).join(
-        near, (wanted["call_id"] == near["call_id"]) & (wanted["_needle"] == near["_needle"])
-        & (wanted["_said"] == near["_said"]) & F.col(stated).eqNullSafe(near["_stated"]), "left") \
-        .select(wanted["*"], "_near")
-    lost = marked.where(F.col("_near").isNull() & (F.col("_needle") != "")).select("call_id", "_said", "_needle").distinct()
-    anyone = heard.withColumn("_said", F.lit("*"))
-    named = heard.withColumn("_said", F.col("_by"))
-    hay = named.unionByName(anyone).select("call_id", "_said", "_hay", "_turn")
-    far = first_containing(lost, hay, "call_id", "_needle", "_hay", "_turn", "_far", also=["_said"])
-    far = far.where(F.col("_far").isNotNull())
+    near = (wanted.where((F.col("_needle") != "") & (F.col("_stated") != _NOWHERE)).select(*ask).distinct()
+            .withColumn("_try", F.explode(offsets)).withColumn("_turn", F.col("_stated") + F.col("_try.d"))
+            .join(heard, ["call_id", "_said", "_turn"]).where(F.contains("_hay", F.col("_needle")))
+            .groupBy(*ask).agg(F.min_by("_turn", "_try.r").alias("_near")))
+    marked = wanted.join(near, ask, "left")
+    far = first_containing(marked.where(F.col("_near").isNull()), heard, ["call_id", "_said"], "_needle", "_hay", "_turn", "_far")
     return (marked.join(far, ["call_id", "_said", "_needle"], "left")
-            .withColumn(out, F.coalesce("_near", "_far")).drop("_needle", "_said", "_near", "_far"))
+            .withColumn(out, F.coalesce("_near", "_far")).drop("_needle", "_said", "_stated", "_near", "_far"))
+
+
+_NOWHERE = -1_000_000_000
 
 
 def text_normal(value: Column | str) -> Column:
@@ -245,14 +238,10 @@ def scan_flags_added(existing: DataFrame, merged: DataFrame, scan: DataFrame) ->
 def _segments(rows: DataFrame, keys: list[str], low: str, high: str, width: int | None) -> DataFrame:
     """Number the groups of intervals that touch; intervals of different groups share no turn."""
     order = ["_lo", "seq"]
-
-    def build(part: DataFrame, width: int | None) -> DataFrame:
-        reach = ordered.running_max(part, keys, "_lo", F.col(high), "_reach", width, order)
-        starts = F.col("_reach").isNull() | (F.col("_lo") > F.col("_reach"))
-        return ordered.islands(reach.withColumn("_starts", starts), keys, "_lo", width, starts="_starts", out="segment", order=order)
-
-    placed = rows.withColumn("_lo", F.col(low))
-    return ordered.by_size(placed, keys, build, width).drop("_lo", "_reach", "_starts")
+    reach = ordered.running_max(rows.withColumn("_lo", F.col(low)), keys, "_lo", F.col(high), "_reach", width, order)
+    starts = F.col("_reach").isNull() | (F.col("_lo") > F.col("_reach"))
+    found = ordered.islands(reach.withColumn("_starts", starts), keys, "_lo", width, starts="_starts", out="segment", order=order)
+    return found.drop("_lo", "_reach", "_starts")
 
 
 def dedupe_flags(flags: DataFrame, width: int | None = ordered.AUTO) -> DataFrame:
@@ -264,6 +253,8 @@ def dedupe_flags(flags: DataFrame, width: int | None = ordered.AUTO) -> DataFram
     meet, so the ordered fold runs per type and range of one call; a pile of flags on one turn
     needs no fold at all.
     """
+    if width == ordered.AUTO:
+        return ordered.by_size(flags, ["call_id", "flag_type"], dedupe_flags)
     turns = F.array_sort(F.array_distinct(F.concat(
         F.coalesce("occurrence_turns", F.array().cast("array<bigint>")), F.array("turn_index"))))
     rows = flags.withColumn("_turns", turns).withColumns({"_low": F.array_min("_turns"), "_high": F.array_max("_turns")})
@@ -313,10 +304,9 @@ def carry_over(report_flags: DataFrame, upstream: DataFrame, turns: DataFrame, d
     ``dismissed``, ``not_conduct`` or ``carried``.  A carried flag covers its turns for the flags
     after it.
 
-    Of the flags on one turn that may be carried only the first can be, so the rest are settled
-    before the ordered fold.  Flags whose turn ranges do not touch do not affect each other: the
-    fold runs per such range.
     """
+    if width == ordered.AUTO:
+        return ordered.by_size(upstream, ["call_id"], lambda rows, width: carry_over(report_flags, rows, turns, dismissed, width))
     sizes = turns.groupBy("call_id").agg(F.count("*").alias("_n"))
     spoken = turns.select("call_id", F.col("turn").cast("bigint").alias("turn"), F.col("text").alias("_text"))
     covered = (report_flags.select("call_id", F.explode(F.array_union(
@@ -345,36 +335,52 @@ def carry_over(report_flags: DataFrame, upstream: DataFrame, turns: DataFrame, d
     gone = F.coalesce("_thrown", "_thrown_stated", F.lit(False))
     judged = judged.withColumn("_state", F.when(F.coalesce("_covered", F.lit(False)), "covered").when(gone, "dismissed")
                                .when(~is_conduct("category"), "not_conduct").otherwise("open"))
+    fates = ordered.by_size(judged.select("call_id", "seq", "turn", "occurrence_turns", "_state"), ["call_id"], _fates, width)
+    final = judged.join(fates, ["call_id", "seq"]).join(spoken, ["call_id", "turn"], "left")
+    return final.select(
+        "call_id", "seq", "stated", "turn", "anchored", "fate", flag_type("category").alias("flag_type"),
+        "severity", F.coalesce(text.blank_to_null("phrase"), F.col("_text")).alias("verbatim"),
+        F.coalesce(text.blank_to_null("reason"), F.lit("Flagged by the sentiment layer.")).alias("why_flagged"),
+        F.lit("sentiment_layer").alias("source"), "occurrence_turns")
+
+
+def _fates(judged: DataFrame, width: int | None) -> DataFrame:
+    """(call_id, seq, fate) of judged flags, taken in order.
+
+    The flags of a call are folded.  Of a heavy call, the flags on one turn that may be carried are
+    first reduced to the earliest, as no other can be; what is left is cut into turn ranges that do
+    not touch, which do not affect each other, and each range is folded.
+    """
+    nothing = F.array().cast("array<bigint>")
+    if width is None:
+        def settle(acc: Column, f: Column) -> Column:
+            fate = (F.when(F.array_contains(acc["covered"], f["turn"]), "covered")
+                    .when(f["_state"] != "open", f["_state"]).otherwise("carried"))
+            covers = F.when(fate == "carried", F.array_union(acc["covered"], f["occurrence_turns"])).otherwise(acc["covered"])
+            return F.struct(covers.alias("covered"), F.array_append(acc["fates"], F.struct(f["seq"].alias("seq"), fate.alias("fate"))).alias("fates"))
+
+        begin = F.struct(nothing.alias("covered"), F.array().cast("array<struct<seq:bigint,fate:string>>").alias("fates"))
+        listed = judged.groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("seq", "turn", "occurrence_turns", "_state"))).alias("_list"))
+        return listed.select("call_id", F.explode(F.aggregate("_list", begin, settle)["fates"]).alias("f")).select("call_id", "f.seq", "f.fate")
     candidates = (judged.where(F.col("_state") == "open").groupBy("call_id", "turn")
                   .agg(F.min_by(F.struct("seq", "occurrence_turns"), "seq").alias("c"))
                   .select("call_id", "turn", F.col("c.seq").alias("seq"), F.col("c.occurrence_turns").alias("_occ"))
                   .withColumns({"_low": F.array_min("_occ"), "_high": F.array_max("_occ")}))
     ranges = _segments(candidates, ["call_id"], "_low", "_high", width)
-    start = F.struct(F.array().cast("array<bigint>").alias("covered"), F.array().cast("array<bigint>").alias("taken"))
+    start = F.struct(nothing.alias("covered"), nothing.alias("taken"))
 
     def fold(acc: Column, c: Column) -> Column:
         free = ~F.array_contains(acc["covered"], c["turn"])
         return F.struct(F.when(free, F.array_union(acc["covered"], c["_occ"])).otherwise(acc["covered"]).alias("covered"),
                         F.when(free, F.array_append(acc["taken"], c["seq"])).otherwise(acc["taken"]).alias("taken"))
 
-    taken = (ranges.groupBy("call_id", "segment")
-             .agg(F.array_sort(F.collect_list(F.struct("seq", "turn", "_occ"))).alias("_list"))
-             .select("call_id", F.explode(F.aggregate("_list", start, fold)["taken"]).alias("seq"))
-             .withColumn("_taken", F.lit(True)))
-    # A flag may be covered by an earlier carried one before its dismissal or category is looked at.
-    carried_turns = (judged.join(taken.select("call_id", "seq"), ["call_id", "seq"], "left_semi")
-                     .select("call_id", F.explode("occurrence_turns").alias("turn"), "seq")
-                     .groupBy("call_id", "turn").agg(F.min("seq").alias("_first_cover")))
-    final = (judged.join(taken, ["call_id", "seq"], "left").join(carried_turns, ["call_id", "turn"], "left")
-             .join(spoken, ["call_id", "turn"], "left"))
-    earlier = F.coalesce(F.col("_first_cover") < F.col("seq"), F.lit(False))
-    fate = (F.when(F.col("_taken"), "carried").when((F.col("_state") == "covered") | earlier | (F.col("_state") == "open"), "covered")
-            .otherwise(F.col("_state")))
-    return final.select(
-        "call_id", "seq", "stated", "turn", "anchored", fate.alias("fate"), flag_type("category").alias("flag_type"),
-        "severity", F.coalesce(text.blank_to_null("phrase"), F.col("_text")).alias("verbatim"),
-        F.coalesce(text.blank_to_null("reason"), F.lit("Flagged by the sentiment layer.")).alias("why_flagged"),
-        F.lit("sentiment_layer").alias("source"), "occurrence_turns")
+    taken = (ranges.groupBy("call_id", "segment").agg(F.array_sort(F.collect_list(F.struct("seq", "turn", "_occ"))).alias("_list"))
+             .select("call_id", F.explode(F.aggregate("_list", start, fold)["taken"]).alias("seq")).withColumn("_taken", F.lit(True)))
+    covers = (judged.join(taken, ["call_id", "seq"], "left_semi").select("call_id", F.explode("occurrence_turns").alias("turn"), "seq")
+              .groupBy("call_id", "turn").agg(F.min("seq").alias("_first_cover")))
+    placed = judged.join(taken, ["call_id", "seq"], "left").join(covers, ["call_id", "turn"], "left")
+    earlier = F.coalesce(F.col("_first_cover") < F.col("seq"), F.lit(False)) | (F.col("_state") == "open")
+    return placed.select("call_id", "seq", F.when(F.col("_taken"), "carried").when(earlier, "covered").otherwise(F.col("_state")).alias("fate"))
 
 
 def with_carried(report_flags: DataFrame, carried: DataFrame) -> DataFrame:

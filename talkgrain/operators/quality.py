@@ -90,8 +90,12 @@ def citations(documents: DataFrame, singles: dict[str, str], lists: dict[str, st
     ``singles`` and ``lists`` map a field name to the column that holds its turn or its array.
     """
     one = [F.array(F.struct(F.lit(f).alias("field"), F.col(c).cast("bigint").alias("turn"))) for f, c in singles.items()]
-    many = [F.transform(F.coalesce(F.col(c), F.array().cast("array<bigint>")),
-                        lambda t, f=f: F.struct(F.lit(f).alias("field"), t.cast("bigint").alias("turn"))) for f, c in lists.items()]
+
+    def named(field: str, column: str) -> Column:
+        listed = F.coalesce(F.col(column), F.array().cast("array<bigint>"))
+        return F.transform(listed, lambda t: F.struct(F.lit(field).alias("field"), t.cast("bigint").alias("turn")))
+
+    many = [named(f, c) for f, c in lists.items()]
     return (documents.select("call_id", F.explode(F.concat(*one, *many)).alias("c"))
             .select("call_id", "c.field", "c.turn").where(F.col("turn").isNotNull()))
 

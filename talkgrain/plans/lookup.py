@@ -27,40 +27,36 @@ def anchor(phrase: Column) -> Column:
             .otherwise(F.concat(F.lit("g"), head)))
 
 
-def anchors_in(value: Column, words: bool, grams: bool) -> Column:
-    """Every anchor a text can answer to."""
+def _pieces_of(size: int):
+    """Every run of ``size`` letters of a word."""
+    def pieces(word: Column) -> Column:
+        places = F.when(F.length(word) >= size, F.sequence(F.lit(1), F.length(word) - size + 1)).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.concat(F.lit("g"), F.substring(word, i, F.lit(size))))
+
+    return pieces
+
+
+def anchors_in(value: Column, words: Column, grams: Column) -> Column:
+    """The anchors a text can answer to: its words, and the letter runs of its words."""
     parts = F.filter(F.split(value, " "), lambda w: w != "")
-    found = []
-    if words:
-        found.append(F.transform(parts, lambda w: F.concat(F.lit("w"), w)))
-    if grams:
-        def pieces(word: Column, size: int) -> Column:
-            places = F.when(F.length(word) >= size, F.sequence(F.lit(1), F.length(word) - size + 1)).otherwise(
-                F.array().cast("array<int>"))
-            return F.transform(places, lambda i: F.concat(F.lit("g"), F.substring(word, i, F.lit(size))))
-        for size in range(1, GRAM + 1):
-            found.append(F.flatten(F.transform(parts, lambda w, s=size: pieces(w, s))))
-    return F.array_distinct(F.concat(*found))
-
-
-def first_containing(phrases: DataFrame, texts: DataFrame, group: str, phrase: str, value: str, position: str,
-                     out: str, also: list[str] | None = None) -> DataFrame:
-    """``phrases`` with the smallest ``position`` whose ``value`` contains ``phrase``, else NULL.
-
-    ``also`` names columns that must agree between phrase and text.  Equal phrases and equal texts
-    of a group are looked at once.
+    none = F.array().cast("array<string>")
+    whole = F.when(words, F.transform(parts, lambda w: F.concat(F.lit("w"), w))).otherwise(none)
+    runs = [F.when(grams, F.flatten(F.transform(parts, _pieces_of(size)))).otherwise(none) for size in range(1, GRAM + 1)]
+    return F.array_distinct(F.concat(whole, *runs))
+
+
+def first_containing(phrases: DataFrame, texts: DataFrame, keys: list[str], phrase: str, value: str, position: str,
+                     out: str) -> DataFrame:
+    """Per distinct (keys, phrase): the smallest ``position`` of the keys' texts that contain it.
+
+    Phrases that no text contains have no row.  Equal texts of a group are looked at once, and only
+    texts of groups that ask for something are cut up.
     """
-    keys = [group, *(also or [])]
-    wanted = phrases.select(*keys, phrase).where(F.col(phrase) != "").distinct().withColumn("_anchor", anchor(F.col(phrase)))
-    places = (texts.join(wanted.select(*keys).distinct(), keys, "left_semi")
-              .groupBy(*keys, value).agg(F.min(position).alias("_at")))
-    short, long = wanted.where(F.col("_anchor").startswith("g")), wanted.where(F.col("_anchor").startswith("w"))
-
-    def matches(part: DataFrame, words: bool) -> DataFrame:
-        held = places.join(part.select(*keys).distinct(), keys, "left_semi").withColumn(
-            "_anchor", F.explode(anchors_in(F.col(value), words, not words)))
-        return (part.join(held, [*keys, "_anchor"]).where(F.contains(F.col(value), F.col(phrase)))
-                .groupBy(*keys, phrase).agg(F.min("_at").alias(out)))
-
-    found = matches(long, True).unionByName(matches(short, False))
-    return phrases.join(found, [*keys, phrase], "left")
+    wanted = phrases.where(F.col(phrase) != "").select(*keys, phrase).distinct().withColumn("_anchor", anchor(F.col(phrase)))
+    asked = wanted.groupBy(*keys).agg(F.bool_or(F.col("_anchor").startswith("w")).alias("_words"),
+                                      F.bool_or(F.col("_anchor").startswith("g")).alias("_grams"))
+    places = (texts.join(asked, keys).groupBy(*keys, value, "_words", "_grams").agg(F.min(position).alias("_at"))
+              .select(*keys, value, "_at", F.explode(anchors_in(F.col(value), F.col("_words"), F.col("_grams"))).alias("_anchor")))
+    return (wanted.join(places, [*keys, "_anchor"]).where(F.contains(F.col(value), F.col(phrase)))
+            .groupBy(*keys, phrase).agg(F.min("_at").alias(out)))
