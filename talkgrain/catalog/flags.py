@@ -293,9 +293,7 @@ def win_12(t: Inputs) -> DataFrame:
 @query("win_13_post_steps")
 def win_13(t: Inputs) -> DataFrame:
     """Re-anchor, carry over, de-duplicate, then total: each step reads what the one before changed."""
-    moved = flags.reanchor(report_flags(t), turns(t)).drop("moved")
-    carry = flags.carry_over(moved, upstream(t), turns(t), t.dismissed)
-    final = flags.dedupe_flags(flags.with_carried(moved, carry))
+    final = flags.post_steps(report_flags(t), upstream(t), turns(t), t.dismissed)
     return flags.flag_totals(final).select("call_id", "flag_count", _text("disqualifying_flags"), "disqualified")
 
 

@@ -16,6 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from talkgrain.session import checkpoint, checkpoint_folder
+
 LIMIT = 1_000_000
 BLOCK = 65_536
 AUTO = -1
@@ -42,15 +44,12 @@ def with_block(df: DataFrame, pos: str, width: int) -> DataFrame:
     return df.withColumn(_B, F.floor(F.col(pos) / width).cast("bigint"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """A blocked step reads its input twice; a checkpoint keeps steps in a row from doubling it."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            return df
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint where the session has a checkpoint folder, else the same frame.
+
+    For steps that read their input more than once: in a row they would double the work each time.
+    """
+    return checkpoint(df) if checkpoint_folder(df.sparkSession) else df
 
 
 def _inside(keys: list[str], order: list[str]):
@@ -71,7 +70,7 @@ def dense_index(df: DataFrame, keys: list[str], pos: str, out: str, width: int |
     order = order or [pos]
     if width is None:
         return df.withColumn(out, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint"))
-    blocked = with_block(_cut(df), pos, width)
+    blocked = with_block(cut(df), pos, width)
     counts = blocked.groupBy(*keys, _B).agg(F.count("*").alias("_n"))
     counts = counts.select(*keys, _B, F.coalesce(F.sum("_n").over(_across(keys).rowsBetween(*_BEFORE)), F.lit(0)).alias("_before"))
     ranked = blocked.withColumn(out, F.row_number().over(_inside(keys, order)) - 1)
@@ -86,7 +85,7 @@ def running_sum(df: DataFrame, keys: list[str], pos: str, value: Column, out: st
     zero = F.lit(0).cast("bigint")
     if width is None:
         return df.withColumn(out, F.coalesce(F.sum(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(*_UP_TO)), zero))
-    blocked = with_block(_cut(df).withColumn("_v", value), pos, width)
+    blocked = with_block(cut(df).withColumn("_v", value), pos, width)
     sums = blocked.groupBy(*keys, _B).agg(F.sum("_v").alias("_s"))
     sums = sums.select(*keys, _B, F.coalesce(F.sum("_s").over(_across(keys).rowsBetween(*_BEFORE)), zero).alias("_before"))
     summed = blocked.withColumn(out, F.coalesce(F.sum("_v").over(_inside(keys, order).rowsBetween(*_UP_TO)), zero))
@@ -100,7 +99,7 @@ def running_max(df: DataFrame, keys: list[str], pos: str, value: Column, out: st
     order = order or [pos]
     if width is None:
         return df.withColumn(out, F.max(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(*_BEFORE)))
-    blocked = with_block(_cut(df).withColumn("_v", value), pos, width)
+    blocked = with_block(cut(df).withColumn("_v", value), pos, width)
     tops = blocked.groupBy(*keys, _B).agg(F.max("_v").alias("_t"))
     tops = tops.select(*keys, _B, F.max("_t").over(_across(keys).rowsBetween(*_BEFORE)).alias("_before"))
     topped = blocked.withColumn(out, F.max("_v").over(_inside(keys, order).rowsBetween(*_BEFORE)))
@@ -115,7 +114,7 @@ def previous(df: DataFrame, keys: list[str], pos: str, columns: list[str], width
     if width is None:
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({prefix + c: F.lag(c).over(window) for c in columns})
-    blocked = with_block(_cut(df), pos, width)
+    blocked = with_block(cut(df), pos, width)
     row = F.struct(*[F.col(c) for c in columns])
     ends = blocked.groupBy(*keys, _B).agg(F.max_by(row, F.struct(*order)).alias("_last"))
     ends = ends.select(*keys, _B, F.lag("_last").over(_across(keys)).alias("_carry"))
@@ -138,7 +137,7 @@ def islands(df: DataFrame, keys: list[str], pos: str, width: int | None = None,
         turns = ((F.row_number().over(window) > 1) & ~F.col(label).eqNullSafe(F.lag(label).over(window))) if label else F.coalesce(starts, F.lit(False))
         marked = df.withColumn("_new", turns.cast("bigint"))
         return marked.withColumn(out, F.sum("_new").over(window.rowsBetween(*_UP_TO))).drop("_new")
-    blocked = with_block(_cut(df), pos, width)
+    blocked = with_block(cut(df), pos, width)
     inside, across, place = _inside(keys, order), _across(keys), F.struct(*order)
     if label:
         changed = (F.row_number().over(inside) > 1) & ~F.col(label).eqNullSafe(F.lag(label).over(inside))
@@ -196,7 +195,7 @@ def joined_text(df: DataFrame, keys: list[str], pos: str, text: Column, out: str
     gathered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*place, F.col("_t").alias("_t")))), lambda s: s["_t"]), separator)
     if width is None:
         return df.withColumn("_t", text).groupBy(*keys).agg(*aggs, gathered.alias(out))
-    df = _cut(df)
+    df = cut(df)
     by_block = with_block(df.withColumn("_t", text), pos, width).groupBy(*keys, _B).agg(gathered.alias("_piece"))
     whole = by_block.groupBy(*keys).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(_B, "_piece"))), lambda s: s["_piece"]), separator).alias(out))

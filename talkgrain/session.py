@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,12 +25,22 @@ def build_session(app: str = "talkgrain", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def checkpoint_ready(spark: SparkSession, fallback: str | None = None) -> None:
-    """Use the cluster's shared checkpoint folder; ``fallback`` only where it names none."""
+def checkpoint_folder(spark: SparkSession) -> str | None:
+    """The shared folder for checkpoints: the one in use, else the one the cluster names.
+
+    A local session that has neither gets a folder of its own; a cluster never does, as a folder of
+    one machine would be lost to the others.
+    """
+    current = spark.sparkContext.getCheckpointDir()
+    if current is not None:
+        return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="spark-")
+    if folder is not None:
         spark.sparkContext.setCheckpointDir(folder)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        if fallback is None:
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        spark.sparkContext.setCheckpointDir(fallback)
+    return folder
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    return df.checkpoint()
