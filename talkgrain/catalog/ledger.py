@@ -11,6 +11,15 @@ from talkgrain.catalog.registry import query, step
 from talkgrain.catalog.tables import Inputs
 from talkgrain.operators import costs
 
+# Dollars are kept to nine digits and compared in whole billionths: no ties to round.
+DIGITS = 9
+_NANO = "cast(round({0} * 1e9) as bigint)"
+
+
+def _nano(column: str):
+    return F.round(F.col(column) * 1e9).cast("bigint")
+
+
 _NUM = lambda v: "null" if v is None else f"{v}e0"
 _CARD = ", ".join(f"('{r[0]}', {', '.join(_NUM(v) for v in r[1:])})" for r in K.RATE_CARD)
 step("s_card", f"select * from (values {_CARD}) c(card, rate_in, rate_cached, rate_out, rate_write)")
@@ -22,7 +31,7 @@ select model, arg_max(card, case when card = model then 1000 else length(card) e
 def ledger_sql(keys: str) -> str:
     return f"""
 select x.*, c.card, case when c.card is not null then round((fresh_tokens * rate_in + least(cache_write_tokens, uncached_tokens) * coalesce(rate_write, rate_in)
-    + cached_tokens * rate_cached + completion_tokens * rate_out) / 1000000.0e0, 6) end as cost_usd
+    + cached_tokens * rate_cached + completion_tokens * rate_out) / 1000000.0e0, 9) end as cost_usd
 from (select *, greatest(0, uncached_tokens - cache_write_tokens) as fresh_tokens from (
   select *, greatest(0, prompt_tokens - cached_tokens) as uncached_tokens, coalesce(round(cached_tokens / nullif(cast(prompt_tokens as double), 0), 4), 0) as cache_hit_rate from (
     select {keys}, count(*) as calls, cast(sum(prompt_tokens) as bigint) as prompt_tokens, cast(sum(cached_tokens) as bigint) as cached_tokens, cast(sum(completion_tokens) as bigint) as completion_tokens,
@@ -68,13 +77,13 @@ def ag_19(t: Inputs) -> DataFrame:
     return costs.derived_tokens(costs.ledger(usage(t), ["user_id", "model", "stage"])).select("user_id", "model", "stage", "uncached_tokens", "fresh_tokens", "cache_hit_rate")
 
 
-@query("ag_20_token_cost", "select user_id, model, stage, cost_usd from s_ledger")
+@query("ag_20_token_cost", f"select user_id, model, stage, {_NANO.format('cost_usd')} as cost_nano_usd from s_ledger")
 def ag_20(t: Inputs) -> DataFrame:
-    return costs.priced(usage(t), ["user_id", "model", "stage"]).select("user_id", "model", "stage", "cost_usd")
+    return costs.priced(usage(t), ["user_id", "model", "stage"], DIGITS).select("user_id", "model", "stage", _nano("cost_usd").alias("cost_nano_usd"))
 
 
 _AUDIO = """
-select cast(call_id as bigint) as call_id, stt_model, duration_ms, rate as usd_per_hour, round(duration_ms / 1000.0e0, 2) as audio_seconds, round(duration_ms / 3600000.0e0 * rate, 6) as audio_cost_usd
+select cast(call_id as bigint) as call_id, stt_model, duration_ms, rate as usd_per_hour, round(duration_ms / 1000.0e0, 2) as audio_seconds, round(duration_ms / 3600000.0e0 * rate, 9) as audio_cost_usd
 from (select *, case stt_model when 'stt-async-v5' then 0.10e0 when 'stt-rt-v3' then 0.12e0 else 0.10e0 end as rate from (
   select call_id, duration_sec * 1000 as duration_ms, case call_direction when 'INBOUND' then 'stt-rt-v3' else 'stt-async-v5' end as stt_model from v_calls) x) y
 """
@@ -83,18 +92,18 @@ step("s_audio", _AUDIO)
 
 def audio(t: Inputs) -> DataFrame:
     model = F.when(F.col("call_direction") == "INBOUND", "stt-rt-v3").otherwise("stt-async-v5")
-    return costs.audio_cost(t.calls.select(F.col("call_id").cast("bigint").alias("call_id"), (F.col("duration_sec") * 1000).alias("duration_ms"), model.alias("stt_model")))
+    return costs.audio_cost(t.calls.select(F.col("call_id").cast("bigint").alias("call_id"), (F.col("duration_sec") * 1000).alias("duration_ms"), model.alias("stt_model")), digits=DIGITS)
 
 
-@query("ag_21_audio_cost", "select call_id, stt_model, usd_per_hour, audio_seconds, audio_cost_usd from s_audio")
+@query("ag_21_audio_cost", f"select call_id, stt_model, usd_per_hour, audio_seconds, {_NANO.format('audio_cost_usd')} as audio_nano_usd from s_audio")
 def ag_21(t: Inputs) -> DataFrame:
-    return audio(t).select("call_id", "stt_model", "usd_per_hour", "audio_seconds", "audio_cost_usd")
+    return audio(t).select("call_id", "stt_model", "usd_per_hour", "audio_seconds", _nano("audio_cost_usd").alias("audio_nano_usd"))
 
 
-@query("ag_22_combined_cost", "select user_id, round(sum(cost_usd), 4) as total_usd from s_ledger group by 1")
+@query("ag_22_combined_cost", f"select user_id, {_NANO.format('sum(cost_usd)')} as total_nano_usd from s_ledger group by 1")
 def ag_22(t: Inputs) -> DataFrame:
-    whole = costs.combined(costs.priced(usage(t), ["user_id", "model", "stage"]), ["user_id"])
-    return whole.select("user_id", F.round("total_usd", 4).alias("total_usd"))
+    whole = costs.combined(costs.priced(usage(t), ["user_id", "model", "stage"], DIGITS), ["user_id"])
+    return whole.select("user_id", _nano("total_usd").alias("total_nano_usd"))
 
 
 _STAGES = """
@@ -107,22 +116,32 @@ step("s_stages", _STAGES)
 
 def stages(t: Inputs) -> DataFrame:
     """Analyses carry their stored cost; priced again where the block is from before costs were kept."""
-    by_call = costs.priced(usage(t), ["call_id", "model", "stage"])
+    by_call = costs.priced(usage(t), ["call_id", "model", "stage"], DIGITS)
     analysis = by_call.where("stage = 'analyse'").select(
         "call_id", F.when(F.col("call_id") % 2 == 0, F.col("cost_usd")).alias("cost_usd"), F.col("cost_usd").alias("recomputed_usd"))
     return costs.stage_totals(audio(t), audio(t), analysis, by_call.where("stage = 'audit'").select("call_id", "cost_usd"))
 
 
-@query("jn_14_stage_costs", "select call_id, stage, round(stage_usd, 6) as stage_usd from s_stages")
+@query("jn_14_stage_costs", f"select call_id, stage, {_NANO.format('stage_usd')} as stage_nano_usd from s_stages")
 def jn_14(t: Inputs) -> DataFrame:
-    return stages(t).select("call_id", "stage", F.round("stage_usd", 6).alias("stage_usd"))
+    return stages(t).select("call_id", "stage", _nano("stage_usd").alias("stage_nano_usd"))
 
 
-@query("ag_23_call_costs", """
-select s.call_id, round(total, 5) as total_usd, complete, round(duration_ms / 1000.0e0, 2) as audio_seconds, round(round(total, 6) / nullif(duration_ms / 3600000.0e0, 0), 2) as usd_per_audio_hour
+@query("ag_23_call_costs", f"""
+select s.call_id, {_NANO.format('total')} as total_nano_usd, complete, round(duration_ms / 1000.0e0, 2) as audio_seconds, duration_ms > 0 as has_hourly_rate
 from (select call_id, coalesce(sum(stage_usd), 0) as total, count(stage_usd) = count(*) and count(case when stage in ('transcribe', 'analyse') then 1 end) = 2 as complete from s_stages group by 1) s
 join s_audio a on s.call_id = a.call_id
 """)
 def ag_23(t: Inputs) -> DataFrame:
-    whole = costs.call_costs(stages(t), audio(t))
-    return whole.select("call_id", F.round("total_usd", 5).alias("total_usd"), "complete", "audio_seconds", F.round("usd_per_audio_hour", 2).alias("usd_per_audio_hour"))
+    whole = costs.call_costs(stages(t), audio(t), DIGITS)
+    return whole.select("call_id", _nano("total_usd").alias("total_nano_usd"), "complete", "audio_seconds", F.col("usd_per_audio_hour").isNotNull().alias("has_hourly_rate"))
+
+
+@query("ag_23_hourly_rate", f"""
+select s.call_id, round(total / (duration_ms / 3600000.0e0), 3) as usd_per_audio_hour from (select call_id, sum(stage_usd) as total from s_stages where stage = 'transcribe' group by 1) s
+join s_audio a on s.call_id = a.call_id where duration_ms > 0
+""")
+def ag_23_rate(t: Inputs) -> DataFrame:
+    spoken = stages(t).where("stage = 'transcribe'")
+    whole = costs.call_costs(spoken, audio(t), DIGITS).where("usd_per_audio_hour is not null")
+    return whole.select("call_id", F.round("usd_per_audio_hour", 3).alias("usd_per_audio_hour"))

@@ -72,12 +72,12 @@ def cost_usd(write: Column | str = "cache_write_tokens") -> Column:
             + F.col("cached_tokens") * F.col("rate_cached") + F.col("completion_tokens") * F.col("rate_out")) / 1_000_000.0
 
 
-def priced(usage: DataFrame, keys: list[str]) -> DataFrame:
+def priced(usage: DataFrame, keys: list[str], digits: int = 6) -> DataFrame:
     """Ledger, derived counts and dollars per key; ``model`` is one of the keys."""
-    return with_rates(derived_tokens(ledger(usage, keys))).withColumn("cost_usd", F.round(cost_usd(), 6))
+    return with_rates(derived_tokens(ledger(usage, keys))).withColumn("cost_usd", F.round(cost_usd(), digits))
 
 
-def audio_cost(calls: DataFrame, model: str = "stt_model", duration: str = "duration_ms") -> DataFrame:
+def audio_cost(calls: DataFrame, model: str = "stt_model", duration: str = "duration_ms", digits: int = 6) -> DataFrame:
     """Audio is billed by the hour; an unlisted model takes the default rate."""
     rate = F.when(F.lit(False), F.lit(0.0))
     for name, value in K.AUDIO_RATES.items():
@@ -85,7 +85,7 @@ def audio_cost(calls: DataFrame, model: str = "stt_model", duration: str = "dura
     length = F.coalesce(F.col(duration), F.lit(0))
     return calls.withColumn("usd_per_hour", rate.otherwise(F.lit(K.AUDIO_DEFAULT_RATE))).withColumns({
         "audio_seconds": F.round(length / 1000.0, 2),
-        "audio_cost_usd": F.round(length / 3_600_000.0 * F.col("usd_per_hour"), 6)})
+        "audio_cost_usd": F.round(length / 3_600_000.0 * F.col("usd_per_hour"), digits)})
 
 
 def combined(costs: DataFrame, keys: list[str], cost: str = "cost_usd") -> DataFrame:
@@ -109,11 +109,11 @@ def stage_totals(calls: DataFrame, audio: DataFrame, analysis: DataFrame, audit:
     return all_stages.join(calls.select("call_id"), "call_id", "left_semi")
 
 
-def call_costs(stages: DataFrame, durations: DataFrame) -> DataFrame:
+def call_costs(stages: DataFrame, durations: DataFrame, digits: int = 6) -> DataFrame:
     """Total per call, whether every stage was measured, dollars per hour of audio."""
     wanted = F.count_if(F.col("stage").isin("transcribe", "analyse")) == 2
     total = stages.groupBy("call_id").agg(
-        F.round(F.coalesce(F.sum("stage_usd"), F.lit(0.0)), 6).alias("total_usd"),
+        F.round(F.coalesce(F.sum("stage_usd"), F.lit(0.0)), digits).alias("total_usd"),
         ((F.count("stage_usd") == F.count("*")) & wanted).alias("complete"))
     hours = F.nullif(F.col("duration_ms"), F.lit(0).cast("bigint")) / 3_600_000.0
     return total.join(durations.select("call_id", "duration_ms"), "call_id", "left").withColumns({
