@@ -97,7 +97,9 @@ select date_key, concat('AGENT#', team, '#', agent_key) as pk, agent_name as lab
 from (select *, row_number() over (partition by date_key, team, agent_key order by started_at desc, call_id desc) as rn from s_keyed_calls) x where rn = 1
 """)
 def ag_5(t: Inputs) -> DataFrame:
-    return day_rollup(t).where("scope = 'AGENT'").select("date_key", "pk", "label_name", "label_extension")
+    keyed = keyed_calls(t)
+    labelled = rollup.with_labels(rollup.day_rollup(rollup.agent_days(keyed)), keyed)
+    return labelled.where("scope = 'AGENT'").select("date_key", "pk", "label_name", "label_extension")
 
 
 @query("ag_6_rollup_keys", "select pk, date_key, scope, coalesce(team, '') as team, coalesce(agent_key, '') as agent_key from s_rollup")

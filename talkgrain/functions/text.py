@@ -16,6 +16,8 @@ from talkgrain import constants as K
 
 # Java's \s under (?U) is White_Space; Python's also has the four separators 1c-1f.
 _SPACE = r"[\s\x1c-\x1f]"
+# Every white-space character, for trimming without a regex.
+_BLANKS = "".join(chr(code) for code in range(0x10000) if chr(code).isspace())
 
 
 def _col(value: Column | str) -> Column:
@@ -29,7 +31,7 @@ def either(*tests: Column) -> Column:
 
 def strip(value: Column | str) -> Column:
     """Drop white space of any kind at both ends."""
-    return F.regexp_replace(_col(value), rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(_col(value), F.lit(_BLANKS))
 
 
 def collapse_space(value: Column | str) -> Column:

@@ -23,7 +23,6 @@ def agent_days(calls: DataFrame) -> DataFrame:
     """Totals per day, team and agent of calls that carry ``team`` and ``agent_key``."""
     flags = F.coalesce("flag_count", F.lit(0).cast("bigint"))
     severity = F.upper("audit_status")
-    latest = F.struct("started_at", "call_id")
     return (calls.withColumn("date_key", timing.date_key("started_at")).groupBy(*GRAIN).agg(
         F.count("*").alias("total_calls"),
         F.count_if(F.col("processing_status") == "PROCESSED").alias("audited_calls"),
@@ -37,8 +36,22 @@ def agent_days(calls: DataFrame) -> DataFrame:
         F.coalesce(F.sum("duration_sec"), F.lit(0).cast("bigint")).alias("total_duration_sec"),
         F.count_if(severity == "HIGH").alias("high_calls"),
         F.count_if(severity == "MEDIUM").alias("medium_calls"),
-        F.count_if(severity == "LOW").alias("low_calls"),
-        F.max_by(F.struct("agent_name", "agent_extension"), latest).alias("labels")))
+        F.count_if(severity == "LOW").alias("low_calls")))
+
+
+def agent_labels(calls: DataFrame) -> DataFrame:
+    """Name and extension on an agent's latest call of each day.
+
+    Kept apart from the totals: text in an aggregate would keep those from being hashed.
+    """
+    label = F.max_by(F.struct("agent_name", "agent_extension"), F.struct("started_at", "call_id")).alias("_l")
+    found = calls.withColumn("date_key", timing.date_key("started_at")).groupBy(*GRAIN).agg(label)
+    return found.select(*GRAIN, F.col("_l.agent_name").alias("label_name"), F.col("_l.agent_extension").alias("label_extension"))
+
+
+def with_labels(rollups: DataFrame, calls: DataFrame) -> DataFrame:
+    """Roll-up rows with the labels of the agent scope."""
+    return rollups.join(agent_labels(calls), GRAIN, "left")
 
 
 def _scope() -> Column:
@@ -73,15 +86,10 @@ def split_rollup_key(rows: DataFrame, pk: str = "pk") -> DataFrame:
 
 def day_rollup(agent_level: DataFrame) -> DataFrame:
     """One row per day and scope from the agent grain."""
-    sums = [F.sum(c).alias(c) for c in SUMS]
     rolled = _sets(agent_level).agg(
-        *sums, F.max("score_max").alias("score_max"), F.min("score_min").alias("score_min"),
-        F.max("labels").alias("labels"), _scope().alias("scope"))
-    agent = F.col("scope") == "AGENT"
-    return (rolled.withColumns({
-        "score_sum": F.round("score_sum", 4), "pk": rollup_key(),
-        "label_name": F.when(agent, F.col("labels.agent_name")),
-        "label_extension": F.when(agent, F.col("labels.agent_extension"))}).drop("labels"))
+        *[F.sum(c).alias(c) for c in SUMS], F.max("score_max").alias("score_max"), F.min("score_min").alias("score_min"),
+        _scope().alias("scope"))
+    return rolled.withColumns({"score_sum": F.round("score_sum", 4), "pk": rollup_key()})
 
 
 def severity_map(rows: DataFrame) -> DataFrame:

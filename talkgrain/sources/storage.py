@@ -36,8 +36,13 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, path: str, key: str =
 
 
 def overwrite_days(df: DataFrame, path: str, day: str = "date_key") -> None:
-    """Replace just the days present in ``df``; the days' stale rows go with their partitions."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path))
+    """Replace just the days present in ``df``; the days' stale rows go with their partitions.
+
+    Rows meet by day first, so that a day is one file; the count is fixed so that days are written
+    side by side even when they are small.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(tasks, day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path))
 
 
 def stale_rows(existing: DataFrame, fresh: DataFrame, keys: tuple[str, ...] = ("pk", "date_key")) -> DataFrame:

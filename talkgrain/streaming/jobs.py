@@ -68,8 +68,7 @@ class _StallWatch(StatefulProcessor):
             self._handle.registerTimer(since + self._wait_ms)
         else:
             self._since.clear()
-        yield pd.DataFrame({"call_id": pd.Series(dtype=str), "since": pd.Series(dtype="datetime64[us]"),
-                            "failed_at": pd.Series(dtype="datetime64[us]")})
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self._since.exists():
