@@ -152,46 +152,57 @@ _SEGMENT_ORDER = ["start_ms", "pos"]
 _SEGMENT_BLOCK_MS = 3_600_000
 
 
-def _customer_numbers(segments: DataFrame) -> DataFrame:
-    """Each segment with the number of customer segments up to and with it, in start order."""
-    is_customer = (F.col("speaker") != "Employee").cast("bigint")
-    return ordered.by_size(segments, CALL, lambda rows, width: ordered.running_sum(
-        rows, CALL, "start_ms", is_customer, "customers", width, _SEGMENT_ORDER), block=_SEGMENT_BLOCK_MS)
+def floor_changes(segments: DataFrame, width: int | None = ordered.AUTO) -> DataFrame:
+    """One row per customer segment and, before the first, for the opening: what followed it.
+
+    ``customer_ms`` is its start (NULL for the opening), ``employee_ms`` the employee's first start
+    after it, ``next_ms`` and ``prev_ms`` the neighbouring customer starts, ``last_end_ms`` the end
+    of the last segment before the next customer one.
+    """
+    is_customer = F.col("speaker") != "Employee"
+
+    def build(rows: DataFrame, width: int | None) -> DataFrame:
+        span = None if width is None else _SEGMENT_BLOCK_MS
+        counted = ordered.running_sum(rows, CALL, "start_ms", is_customer.cast("bigint"), "customers", span, _SEGMENT_ORDER)
+        stops = counted.groupBy("call_id", "customers").agg(
+            F.min(F.when(is_customer, F.col("start_ms"))).alias("customer_ms"),
+            F.min(F.when(~is_customer, F.col("start_ms"))).alias("employee_ms"),
+            F.max_by("end_ms", F.struct(*_SEGMENT_ORDER)).alias("last_end_ms"))
+        return ordered.neighbours(stops, CALL, "customers", F.col("customer_ms"), 1, 1, width)
+
+    return ordered.by_size(segments, CALL, build, width).withColumns({
+        "prev_ms": F.get("earlier", F.lit(0)), "next_ms": F.get("later", F.lit(0))}).drop("earlier", "later")
+
+
+def _stretch_ms() -> Column:
+    return F.greatest(F.coalesce("next_ms", "last_end_ms") - F.col("employee_ms"), F.lit(0))
 
 
 def employee_stretches(segments: DataFrame) -> DataFrame:
     """From the employee's first word to the customer's next, or to the end of the last segment."""
-    counted = _customer_numbers(segments)
-    opened = (counted.where(F.col("speaker") == "Employee").groupBy("call_id", "customers")
-              .agg(F.min("start_ms").alias("from_ms")))
-    closers = (counted.where(F.col("speaker") != "Employee")
-               .select("call_id", (F.col("customers") - 1).alias("customers"), F.col("start_ms").alias("to_ms")))
-    ends = segments.groupBy("call_id").agg(F.max_by("end_ms", F.struct(*_SEGMENT_ORDER)).alias("call_end_ms"))
-    joined = opened.join(closers, ["call_id", "customers"], "left").join(ends, "call_id")
-    length = F.greatest(F.coalesce("to_ms", "call_end_ms") - F.col("from_ms"), F.lit(0))
-    return joined.select("call_id", F.col("customers").alias("stretch"), "from_ms", length.alias("stretch_ms"))
+    return floor_changes(segments).where(F.col("employee_ms").isNotNull()).select(
+        "call_id", F.col("customers").alias("stretch"), F.col("employee_ms").alias("from_ms"), _stretch_ms().alias("stretch_ms"))
 
 
 def customer_gaps(segments: DataFrame) -> DataFrame:
     """Time from each customer segment's start to the next one's."""
-    counted = _customer_numbers(segments).where(F.col("speaker") != "Employee").select("call_id", "customers", "start_ms")
-    earlier = counted.select("call_id", (F.col("customers") + 1).alias("customers"), F.col("start_ms").alias("prev_ms"))
-    return (counted.join(earlier, ["call_id", "customers"])
-            .select("call_id", "customers", (F.col("start_ms") - F.col("prev_ms")).alias("gap_ms")))
+    return _gaps(floor_changes(segments))
+
+
+def _gaps(stops: DataFrame) -> DataFrame:
+    return stops.where(F.col("prev_ms").isNotNull()).select("call_id", "customers", (F.col("customer_ms") - F.col("prev_ms")).alias("gap_ms"))
 
 
 def talk_pattern(segments: DataFrame) -> DataFrame:
     """Stretches, contributions and the median customer gap of each call with segments."""
-    stretches = employee_stretches(segments).groupBy("call_id").agg(
-        F.max("stretch_ms").alias("longest_ms"), F.count_if(F.col("stretch_ms") > 45_000).alias("over_45s"),
-        F.count_if(F.col("stretch_ms") > 60_000).alias("over_60s"),
-        F.count_if(F.col("stretch_ms") > 90_000).alias("over_90s"))
-    calls = segments.groupBy("call_id").agg(F.count_if(F.col("speaker") != "Employee").alias("contributions"))
-    middle = middle_values(customer_gaps(segments), CALL, "gap_ms").select(
+    stops = floor_changes(segments)
+    length = F.when(F.col("employee_ms").isNotNull(), _stretch_ms())
+    counted = stops.groupBy("call_id").agg(
+        F.count("customer_ms").alias("contributions"), F.coalesce(F.max(length), F.lit(0).cast("bigint")).alias("longest_ms"),
+        *[F.count_if(F.coalesce(length > sec * 1000, F.lit(False))).alias(f"over_{sec}s") for sec in (45, 60, 90)])
+    middle = middle_values(_gaps(stops), CALL, "gap_ms").select(
         "call_id", F.floor((F.col("low_mid") + F.col("high_mid")) / 2).cast("bigint").alias("median_gap_ms"))
-    zero = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("longest_ms", "over_45s", "over_60s", "over_90s")}
-    return (calls.join(stretches, "call_id", "left").join(middle, "call_id", "left").withColumns(zero)
-            .withColumn("two_way_advice", marks.two_way_advice("over_90s")))
+    return counted.join(middle, "call_id", "left").withColumn("two_way_advice", marks.two_way_advice("over_90s"))
 
 
 def describe_pattern(patterns: DataFrame) -> DataFrame:
