@@ -5,7 +5,7 @@ Turns here are dense indices from 0 (``turn``) except where a flag states its ow
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkgrain import constants as K
@@ -117,8 +117,11 @@ def _merge_neighbours(flags: DataFrame, gap: int, width: int | None) -> DataFram
     base = F.struct("category", "severity", "source", "reason", "seq", *[c for c in ("speaker", "phrase") if c in flags.columns])
     rank = F.coalesce(marks.severity_rank("severity"), F.lit(1))
     whole = F.when(F.coalesce("source", F.lit("")) != "conduct_scan", F.struct(place.alias("p"), F.coalesce("source", F.lit("whole_call")).alias("source")))
-    firsts = runs.groupBy("call_id", "run", "_anchor").agg(F.min(place).alias("_first"))
-    tagged = runs.join(firsts, ["call_id", "run", "_anchor"])
+    finding = ["call_id", "run", "_anchor"]
+    if width is None:
+        tagged = runs.withColumn("_first", F.min(place).over(Window.partitionBy(*finding)))
+    else:
+        tagged = runs.join(runs.groupBy(*finding).agg(F.min(place).alias("_first")), finding)
     is_first = F.col("_first") == place
     merged = tagged.groupBy("call_id", "run", "_anchor").agg(
         F.min_by(base, place).alias("b"), F.count("*").alias("flags_merged"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from talkgrain.functions import marks, timing
 from talkgrain.operators.calls import is_review
+from talkgrain.plans.ordered import cut
 from talkgrain.plans.ranking import rank_descending
 
 GRAIN = ["date_key", "team", "agent_key"]
@@ -151,8 +152,11 @@ def metric_span(metrics: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def leaderboard(spans: DataFrame, by: str = "score_mean", step: float = 0.01) -> DataFrame:
-    """Rank the keys of a span, best first; keys without a value are left out."""
-    return rank_descending(spans.where(F.col(by).isNotNull()), by, F.floor(F.col(by) / step))
+    """Rank the keys of a span, best first; keys without a value are left out.
+
+    The ranking reads its rows three times, so the span is settled first.
+    """
+    return rank_descending(cut(spans.where(F.col(by).isNotNull())), by, F.floor(F.col(by) / step))
 
 
 def rebuild_days(calls_keyed: DataFrame, days: DataFrame) -> DataFrame:
