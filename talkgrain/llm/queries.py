@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkgrain.llm import graded_quality, ngram_join, quality_rules
+from talkgrain.llm import cross_entropy, decontamination, graded_quality, html_wrappers, ngram_join, packing, quality_rules, secret_scan, token_counts, warc_fixity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,10 +20,49 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_bad_lines", "line_chars", "lost_chars")
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts before and after personal data is edited out of each document."""
+    trees = token_counts.with_trees(_table(spark, folder, "documents").select("doc_id", "text"))
+    edits = token_counts.personal_edits(trees).select("*", F.col("n_tokens").alias("n_tokens_before"), F.length("text").cast("long").alias("n_chars_before"))
+    return token_counts.with_edits(edits).select(
+        "doc_id", "n_chars_before", "n_tokens_before", F.size("leaf_ends").cast("long").alias("n_leaves"), "n_edits", "n_encoded", "n_tokens")
+
+
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, folder, "documents"))
 
 
+PAGES_A_VOLUME = 512
+
+
+def op4_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages against an archive of them that was damaged on the way: a page in each hundred has a byte changed (id ending in 07), lost
+    its end (in 43) or is missing (in 81). Returns every record that the audit locates."""
+    settings = warc_fixity.Settings()
+    pages = _table(spark, folder, "pages")
+    volume = F.floor(F.col("page_id") / PAGES_A_VOLUME)
+    sound = warc_fixity.records(pages, settings, id_col="page_id", url_col="url", html_col="html", volume=volume)
+    ending = F.pmod("id", F.lit(100))
+    damaged = sound.where((ending != 81) | F.col("id").isNull()).withColumn(
+        "record", F.when(ending == 7, F.concat(F.expr("left(record, length(record) - 1)"), F.lit("\x7f"))).when(ending == 43, F.expr("left(record, length(record) - 9)")).otherwise(F.col("record")))
+    found = warc_fixity.audit(warc_fixity.stored(warc_fixity.manifest(sound), "manifest"), warc_fixity.stored(warc_fixity.read_archive(spark, warc_fixity.write_archive(damaged)), "archive"), settings)
+    return found.select(F.regexp_extract("name", r"(\d+)$", 1).cast("long").alias("page_id"), "volume", "status", "offset_one", "offset_two")
+
+
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_wrappers.extracted(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op6_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents scored for likeness to those rated well written and clean."""
+    docs, labels = _table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "labels")
+    good = labels.where("quality = 1 and toxic = 0").select("doc_id", F.lit(True).alias("good")).distinct()
+    told = docs.join(good, "doc_id", "left")
+    table = cross_entropy.train(told, told["good"])
+    return cross_entropy.scored(docs, table).select("doc_id", "n_words", "target_loss", "background_loss", "loss_difference")
+
+
 def graded(labels: DataFrame) -> DataFrame:
     """Ratings of three grades: 0 junk, 1 well written but toxic, 2 well written and clean."""
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2)
@@ -40,10 +79,34 @@ def op7_graded_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "expected_grade", F.element_at("tails", 1).alias("chance_1"), F.element_at("tails", 2).alias("chance_2"), "kept")
 
 
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scanned(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+
+
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that leaks benchmark items, with the items as item:words covered/words."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    leaks = decontamination.marked(docs, _table(spark, folder, "benchmark")).where(F.size("leaks") > 0)
+    items = F.array_join(F.transform("leaks", lambda x: F.concat_ws("", x["item"], F.lit(":"), x["covered"].cast("string"), F.lit("/"), x["words"].cast("string"))), ",")
+    share = F.array_max(F.transform("leaks", lambda x: x["covered"] / x["words"]))
+    return leaks.select("doc_id", share.alias("coverage"), items.alias("items"), F.lit(True).alias("contaminated"))
+
+
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_token_counts": op2_token_counts,
     "op3_ngram_join": op3_ngram_join,
+    "op4_warc_fixity": op4_warc_fixity,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_cross_entropy": op6_cross_entropy,
     "op7_graded_quality": op7_graded_quality,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}
