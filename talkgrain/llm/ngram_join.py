@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.llm.shared import picked, stored, whole
+from talkgrain.llm.shared import picked, stored, stretches, whole
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,7 @@ class Settings:
     rows: int = 4
     look: int = 16
     tolerance: float = 1e-9
-    block: int = 512
+    block: int = 256
 
     @property
     def hashes(self) -> int:
@@ -178,19 +178,19 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
 def sketched(docs: DataFrame, settings: Settings) -> DataFrame:
     """(id, text) to (id, key, sketch): the key names the n-gram set, so equal sets have one key; NULL where it is empty."""
 
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            sets = ngram_sets(rows["text"].tolist(), settings)
-            full = [k for k, s in enumerate(sets) if len(s)]
-            table = minhashes([sets[k] for k in full], settings) if full else []
-            keys, sketches = [None] * len(rows), [None] * len(rows)
-            for k, row in zip(full, table, strict=True):
-                keys[k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest()
-                sketches[k] = row.tobytes()
-            yield pd.DataFrame({"id": rows["id"].to_numpy(), "key": keys, "sketch": sketches})
+    @F.pandas_udf("key binary, sketch binary")
+    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts, keys, sketches = batch.tolist(), [None] * len(batch), [None] * len(batch)
+            for own in stretches(texts):
+                sets = ngram_sets(texts[own], settings)
+                full = [k for k, s in enumerate(sets) if len(s)]
+                for k, row in zip(full, minhashes([sets[k] for k in full], settings) if full else [], strict=True):
+                    keys[own.start + k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest()
+                    sketches[own.start + k] = row.tobytes()
+            yield pd.DataFrame({"key": keys, "sketch": sketches})
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.select(F.col("id"), whole(F.col("text")).alias("text")).mapInPandas(sketch, f"id {kind}, key binary, sketch binary")
+    return docs.select("id", sketch.asNondeterministic()(whole(F.col("text"))).alias("made")).select("id", "made.key", "made.sketch")
 
 
 def _dealt(homes: DataFrame, settings: Settings) -> DataFrame:
@@ -255,8 +255,10 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None, *, id_col
 
     def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            sets = ngram_sets(part["text"].tolist(), settings)
-            yield pd.DataFrame({"key": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "grams": [s.tobytes() for s in sets]})
+            texts = part["text"].tolist()
+            for own in stretches(texts):
+                sets = ngram_sets(texts[own], settings)
+                yield pd.DataFrame({"key": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "grams": [s.tobytes() for s in sets]})
 
     texts = _texts(source, wanted)
     sets = texts.mapInPandas(to_sets, "key binary, grams binary").groupBy("key").agg(F.first("grams").alias("grams"))

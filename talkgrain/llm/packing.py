@@ -105,8 +105,10 @@ def packed(docs: DataFrame, settings: Settings | None = None, *, id_col: str = "
                 at += lengths[k]
         return part[["id", "piece", "start", "n_tokens"]].assign(bin=names, bin_start=starts, bin_size=sizes)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = dealt.groupBy("shard").applyInPandas(pack, f"id {kind}, piece long, start long, n_tokens long, bin string, bin_start long, bin_size long")
+    # ids as strings inside the task, where a NULL would turn numbers into floats
+    kind = docs.schema[id_col].dataType
+    out = dealt.withColumn("id", F.col("id").cast("string")).groupBy("shard").applyInPandas(
+        pack, "id string, piece long, start long, n_tokens long, bin string, bin_start long, bin_size long").withColumn("id", F.col("id").cast(kind))
     empty = rows.where("n = 0").select(
         "id", F.lit(0).cast("long").alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("string").alias("bin"),
         F.lit(None).cast("long").alias("bin_start"), F.lit(None).cast("long").alias("bin_size"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +46,16 @@ def picked(df: DataFrame, **columns: str | Column) -> DataFrame:
 def whole(text: Column) -> Column:
     """The text, empty where it is NULL."""
     return F.coalesce(text, F.lit(""))
+
+
+def stretches(texts: Sequence[str], most: int = 1_000_000) -> Iterator[slice]:
+    """Slices of a batch that hold about `most` characters, or one text that is longer: what a task works out for all texts of a
+    slice at once stays small, whatever the batch."""
+    first = size = 0
+    for k, text in enumerate(texts):
+        if k > first and size + len(text) > most:
+            yield slice(first, k)
+            first, size = k, 0
+        size += len(text)
+    if first < len(texts):
+        yield slice(first, len(texts))
