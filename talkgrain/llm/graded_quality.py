@@ -35,11 +35,12 @@ class Settings:
     the sample get no weight."""
 
     bits: int = 18
-    sample: int = 8_000
+    sample: int = 6_000
     rounds: int = 200
     rate: float = 0.05
     penalty: float = 1e-4
     least_documents: int = 5
+    part: int = 500
     known_words: int = 400_000
 
 
@@ -148,38 +149,48 @@ def fit(texts: list[str], grades: np.ndarray, settings: Settings) -> Model:
     top = max(int(grades.max()), 1) if len(grades) else 1
     if len(set(grades.tolist())) < 2:
         return Model(np.zeros(size), np.where(np.arange(1, top + 1) <= (grades[0] if len(grades) else 0), -20.0, 20.0), np.ones(size), settings.bits)
-    rows = [hasher.features(t) for t in texts]
-    seen = np.bincount(np.concatenate([np.unique(b[:-SHAPES]) for b, _ in rows]), minlength=size)
+    rows = [(b.astype(np.int32), v.astype(np.float32)) for b, v in map(hasher.features, texts)]
+    seen = np.zeros(size, np.int64)
+    for b, _ in rows:
+        seen[np.unique(b[:-SHAPES])] += 1
     rarity = np.log((1 + len(rows)) / (1 + seen)) + 1
     common = seen >= settings.least_documents
     common[rows[0][0][-SHAPES:]] = True
-    index = np.concatenate([b for b, _ in rows])
-    value = np.concatenate([scaled(b, v, rarity) for b, v in rows])
-    row = np.repeat(np.arange(len(rows)), [len(b) for b, _ in rows])
-    telling = common[index]
-    value, row = value[telling], row[telling]
-    used, index = np.unique(index[telling], return_inverse=True)
-    n, weights = len(rows), np.zeros(len(used))
+    used = np.nonzero(common)[0]
+    place = np.zeros(size, np.int32)
+    place[used] = np.arange(len(used))
+    parts = []  # some documents at a time, which bounds the working memory
+    while rows:
+        own, rows = rows[: settings.part], rows[settings.part :]
+        told = [common[b] for b, _ in own]
+        parts.append((
+            np.concatenate([place[b[t]] for (b, _), t in zip(own, told, strict=True)]),
+            np.concatenate([scaled(b, v, rarity)[t].astype(np.float32) for (b, v), t in zip(own, told, strict=True)]),
+            np.repeat(np.arange(len(own), dtype=np.int32), [int(t.sum()) for t in told]), len(own)))
+    n, weights = len(texts), np.zeros(len(used))
     share = np.array([(grades <= k).mean() for k in range(top)]).clip(0.01, 0.99)
     cuts = np.log(share / (1 - share)) + np.arange(top) * 1e-3
     slopes, squares = (np.zeros(len(used)), np.zeros(top)), (np.zeros(len(used)), np.zeros(top))
     history = []
     for step in range(1, settings.rounds + 1):
-        score = np.bincount(row, weights[index] * value, n)
+        score = np.concatenate([np.bincount(row, weights[index] * value, many) for index, value, row, many in parts])
         edge = np.concatenate([[-np.inf], cuts, [np.inf]])
         upper = np.where(grades == top, 1.0, _sigmoid(edge[grades + 1] - score))
         lower = np.where(grades == 0, 0.0, _sigmoid(edge[grades] - score))
         chance = np.maximum(upper - lower, 1e-12)
         history.append(float(-np.log(chance).mean()))
         by_upper, by_lower = upper * (1 - upper) / chance / n, lower * (1 - lower) / chance / n
-        grads = np.bincount(index, (by_upper - by_lower)[row] * value, len(used)), np.array([by_lower[grades == k + 1].sum() - by_upper[grades == k].sum() for k in range(top)])
+        pull, slope, at = by_upper - by_lower, np.zeros(len(used)), 0
+        for index, value, row, many in parts:
+            slope += np.bincount(index, pull[at : at + many][row] * value, len(used))
+            at += many
+        grads = slope, np.array([by_lower[grades == k + 1].sum() - by_upper[grades == k].sum() for k in range(top)])
         slopes = tuple(0.9 * a + 0.1 * g for a, g in zip(slopes, grads, strict=True))
         squares = tuple(0.999 * a + 0.001 * g**2 for a, g in zip(squares, grads, strict=True))
         paces = [settings.rate / (np.sqrt(a / (1 - 0.999**step)) + 1e-8) for a in squares]
         weights = weights - paces[0] * slopes[0] / (1 - 0.9**step)
         weights = np.sign(weights) * np.maximum(np.abs(weights) - paces[0] * settings.penalty, 0)
-        cuts = np.maximum.accumulate(cuts - paces[1] * slopes[1] / (1 - 0.9**step) + 0.0)
-        cuts += np.arange(top) * 1e-6
+        cuts = np.maximum.accumulate(cuts - paces[1] * slopes[1] / (1 - 0.9**step)) + np.arange(top) * 1e-6
     everywhere = np.zeros(size)
     everywhere[used] = weights
     return Model(everywhere, cuts, rarity, settings.bits, history)
@@ -201,7 +212,7 @@ def graded_sample(docs: DataFrame, ratings: DataFrame, settings: Settings, *, id
 def train(docs: DataFrame, ratings: DataFrame, settings: Settings | None = None, **columns: str) -> Model:
     settings = settings or Settings()
     rows = graded_sample(docs, ratings, settings, **columns).orderBy("_id").toPandas()
-    return fit(rows["_text"].tolist(), rows["_grade"].to_numpy(np.int64) if len(rows) else np.zeros(0, np.int64), settings)
+    return fit(rows.pop("_text").tolist(), rows["_grade"].to_numpy(np.int64) if len(rows) else np.zeros(0, np.int64), settings)
 
 
 def scored(docs: DataFrame, model: Model, settings: Settings | None = None, *, text_col: str = "text", select: int | None = None, least: float = 0.5) -> DataFrame:
