@@ -56,7 +56,8 @@ class Settings:
 
 @dataclass
 class Value:
-    """What a name stands for: a literal of the text (start, end), or two values joined."""
+    """What a name stands for: a literal of the text (start, end), or several values joined. told: its literals were found secret;
+    asked: the weight of the most telling name that it was judged under."""
 
     text: str | None
     start: int = -1
@@ -64,6 +65,7 @@ class Value:
     quoted: bool = False
     parts: tuple[Value, ...] = field(default=())
     told: bool = False
+    asked: float = 0.0
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int, int]]:
@@ -171,8 +173,9 @@ def _tell(value: Value, weight: float, settings: Settings, found: list) -> None:
     open_values = [(value, False)]
     while open_values:
         one, sure = open_values.pop()
-        if one.told:
-            continue
+        if one.told or not sure and one.asked >= weight:
+            continue  # nothing new below it, for this or a less telling name
+        one.asked = max(one.asked, weight)
         sure = sure or (one.text is not None and weight * strength(one.text, one.quoted, settings) >= settings.least)
         if one.parts:
             if sure or one.text is None:
