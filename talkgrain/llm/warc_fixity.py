@@ -164,12 +164,11 @@ def audit(one: DataFrame, two: DataFrame, settings: Settings | None = None) -> D
     def entered(rows: DataFrame, side: str) -> DataFrame:
         own = rows.withColumn("parent", F.floor(F.col("offset") / settings.range_bytes)).join(branches, ["volume", "parent"], "left_semi")
         nth = F.row_number().over(Window.partitionBy("volume", "name").orderBy("offset"))
-        return own.select("volume", "name", nth.alias("nth"), F.col("offset").alias(f"offset_{side}"), F.col("digest").alias(f"digest_{side}"))
+        return own.select(*(x.alias(f"{n}_{side}") for n, x in (("volume", F.col("volume")), ("name", F.col("name")), ("nth", nth), ("offset", F.col("offset")), ("digest", F.col("digest")))))
 
-    left, right = entered(one, "one"), entered(two, "two")
-    same = (left["volume"] == right["volume"]) & left["name"].eqNullSafe(right["name"]) & (left["nth"] == right["nth"])
-    met = left.join(right, same, "full").select(
-        F.coalesce(left["volume"], right["volume"]).alias("volume"), F.coalesce(left["name"], right["name"]).alias("name"),
+    same = (F.col("volume_one") == F.col("volume_two")) & F.col("name_one").eqNullSafe(F.col("name_two")) & (F.col("nth_one") == F.col("nth_two"))
+    met = entered(one, "one").join(entered(two, "two"), same, "full").select(
+        F.coalesce("volume_one", "volume_two").alias("volume"), F.coalesce("name_one", "name_two").alias("name"),
         F.when(F.col("offset_two").isNull(), "missing").when(F.col("offset_one").isNull(), "extra").when(F.col("digest_one") != F.col("digest_two"), "changed")
         .when(F.col("offset_one") != F.col("offset_two"), "moved").alias("status"), "offset_one", "offset_two", "digest_one", "digest_two")
     return met.where("status is not null")
