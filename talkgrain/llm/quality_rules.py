@@ -13,17 +13,17 @@ from pyspark.sql import functions as F
 
 from talkgrain.llm.shared import whole
 
-SPACES = "\t\n\x0b\x0c\r"
+SPACE, SPACES = r"[\x20\x09-\x0D]", " \t\n\x0b\x0c\r"
 SIGNS = "[#*$%&|<>]"
 
 # Fixed values of the line rules, valid as patterns in Java and RE2 alike.
 BOILERPLATE = (
     r"(?i)(^|[^a-z])(all rights reserved|licensed under|released under the|is licensed under|terms of (use|service)|privacy policy|"
-    r"cookie (policy|settings)|accept (all )?cookies|enable javascript|subscribe to our|sign up for our|click here to|skip to (main )?content)([^a-z]|$)"
+    r"cookie (policy|settings)|accept (all )?cookies|enable javascript|subscribe to our|sign up for our|click here to|skip to (main )?content)([^a-z]|\z)"
 )
-NAVIGATION = r"[|\x{00BB}\x{203A}\x{2022}\x{00B7}>]( |$)"
-SENTENCE_END = r"[.!?:;\x{2026}\x{3002}\x{FF01}\x{FF1F}][)\]}\"'\x{201D}\x{2019}\x{00BB}]*( |$)"
-LETTERS, CAPITALS = r"\p{L}", r"\p{Lu}"
+NAVIGATION = r"[|\x{00BB}\x{203A}\x{2022}\x{00B7}>]( |\z)"
+SENTENCE_END = r"[.!?:;\x{2026}\x{3002}\x{FF01}\x{FF1F}][)\]}\"'\x{201D}\x{2019}\x{00BB}]*( |\z)"
+CAPITALS = r"\p{Lu}\p{Lu}+"
 
 
 @dataclass(frozen=True)
@@ -38,13 +38,18 @@ class Rules:
     most_signs: int = 10
     most_separators: int = 2
     most_capitals: int = 60
-    least_distinct: int = 40
+    least_variety: int = 4
     echo_words: int = 8
 
 
 def words_of(text: Column) -> Column:
     """The maximal runs without white space."""
-    return F.array_remove(F.split(F.translate(text, SPACES, " " * len(SPACES)), " "), "")
+    return F.array_remove(F.split(text, SPACE + "+"), "")
+
+
+def lines_of(text: Column) -> Column:
+    """The lines with a word, as they are."""
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
 
 def bound(value: Column, use) -> Column:
@@ -78,19 +83,18 @@ def line_fails(line: Column, rules: Rules) -> Column:
     - boilerplate: it holds a phrase of licences, cookie notices and the like;
     - navigation: more than most_separators separators;
     - signs: over most_signs per cent of its characters;
-    - shouting: over most_capitals per cent of its letters are capitals, in a line longer than a heading of one word;
-    - echo: under least_distinct per cent of its words differ, in a line of echo_words or more;
+    - shouting: runs of capitals are over most_capitals per cent of its words, in a line of more than one word;
+    - echo: the square of its different words is under least_variety times its words, in a line of echo_words or more;
     - punctuation: no mark that ends a sentence, though it is longer than a heading.
     """
 
     def judged(words: Column) -> Column:
-        n, chars = F.size(words), F.length(line)
-        letters, capitals = F.regexp_count(line, F.lit(LETTERS)), F.regexp_count(line, F.lit(CAPITALS))
+        n, distinct, chars = F.size(words), F.size(F.array_distinct(words)), F.length(line)
         return (
             (F.regexp_count(line, F.lit(NAVIGATION)) > rules.most_separators)
             | (100 * F.regexp_count(line, F.lit(SIGNS)) > rules.most_signs * chars)
-            | ((n > 1) & (100 * capitals > rules.most_capitals * letters))
-            | ((n >= rules.echo_words) & (100 * F.size(F.array_distinct(words)) < rules.least_distinct * n))
+            | ((n > 1) & (100 * F.regexp_count(line, F.lit(CAPITALS)) > rules.most_capitals * n))
+            | ((n >= rules.echo_words) & (distinct * distinct < rules.least_variety * n))
             | ((n > rules.heading_words) & ~line.rlike(SENTENCE_END))
             | line.rlike(BOILERPLATE)
         )
@@ -108,12 +112,14 @@ def judged(docs: DataFrame, rules: Rules | None = None, *, text_col: str = "text
     """
     rules = rules or Rules()
     text = whole(docs[text_col])
-    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(F.translate(x, SPACES, " " * len(SPACES)))), lambda x: x != "")
 
-    def by_line(rows: Column) -> Column:
+    def by_line(lines: Column) -> Column:
+        return bound(F.transform(lines, lambda x: F.btrim(x, F.lit(SPACES))), lambda rows: by_trimmed(lines, rows))
+
+    def by_trimmed(lines: Column, rows: Column) -> Column:
         own = F.array_distinct(rows)
         return bound(F.filter(own, lambda x: ~line_fails(x, rules)), lambda good: F.struct(
-            F.size(rows).alias("n"), F.size(good).alias("good"), total(rows).alias("chars"), total(good).alias("left"), F.array_join(good, "\n").alias("clean")))
+            F.size(rows).alias("n"), (F.size(lines) - F.size(F.array_distinct(lines))).alias("dup"), F.size(good).alias("good"), total(rows).alias("chars"), total(good).alias("left"), F.array_join(good, "\n").alias("clean")))
 
     def total(rows: Column) -> Column:
         return F.aggregate(rows, F.lit(0).cast("long"), lambda done, x: done + F.length(x))
@@ -121,16 +127,14 @@ def judged(docs: DataFrame, rules: Rules | None = None, *, text_col: str = "text
     def by_word(words: Column) -> Column:
         return F.struct(F.size(words).cast("long").alias("n"), repeated_words(words, rules.window).cast("long").alias("repeated"))
 
-    with_word = F.filter(F.split(text, "\n"), lambda x: F.trim(F.translate(x, SPACES, " " * len(SPACES))) != "")
     out = docs.withColumns({
         "_words": bound(words_of(text), by_word),
-        "_lines": bound(lines, by_line),
-        "n_dup_lines": bound(with_word, lambda rows: F.size(rows) - F.size(F.array_distinct(rows))).cast("long"),
-        "word_chars": F.length(F.translate(text, SPACES + " ", "")).cast("long"),
+        "_lines": bound(lines_of(text), by_line),
+        "word_chars": (F.length(text) - F.regexp_count(text, F.lit(SPACE))).cast("long"),
         "n_symbols": F.regexp_count(text, F.lit(SIGNS)).cast("long"),
     })
     out = out.withColumns({
-        "n_words": F.col("_words.n"), "n_repeat_words": F.col("_words.repeated"), "n_lines": F.col("_lines.n").cast("long"),
+        "n_words": F.col("_words.n"), "n_repeat_words": F.col("_words.repeated"), "n_lines": F.col("_lines.n").cast("long"), "n_dup_lines": F.col("_lines.dup").cast("long"),
         "n_bad_lines": (F.col("_lines.n") - F.col("_lines.good")).cast("long"), "line_chars": F.col("_lines.chars"),
         "lost_chars": F.col("_lines.chars") - F.col("_lines.left"), **({clean_col: F.col("_lines.clean")} if clean_col else {}),
     }).drop("_words", "_lines")

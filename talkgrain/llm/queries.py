@@ -109,4 +109,65 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def quality_sql(rules: quality_rules.Rules) -> str:
+    """op1 in DuckDB's SQL."""
+    words, signs, with_word = _quoted(r"[^\x20\x09-\x0D]+"), _quoted(quality_rules.SIGNS), _quoted(r"[^\x20\x09-\x0D]")
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+m as (
+  select doc_id, t, regexp_extract_all(t, {words}) as w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {with_word})) as ls
+  from d),
+n as (select doc_id, t, w, ls, list_transform(ls, lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) as rs from m),
+starts as (select doc_id, w, unnest(range(1, len(w) - {rules.window - 2})) as i from m where len(w) >= {rules.window}),
+windows as (select doc_id, i, array_to_string(w[i : i + {rules.window - 1}], chr(10)) as win from starts),
+twins as (select doc_id, i, count(*) over (partition by doc_id, win) as c from windows),
+covered as (select doc_id, count(distinct p) as n_repeat_words from (select doc_id, unnest(range(i, i + {rules.window})) as p from twins where c > 1) x group by doc_id),
+lines as (select doc_id, unnest(list_distinct(rs)) as x from n),
+told as (select doc_id, x, regexp_extract_all(x, {words}) as lw from lines),
+good as (
+  select doc_id, count(*) as n_good, sum(length(x)) as good_chars from told
+  where not (len(regexp_extract_all(x, {_quoted(quality_rules.NAVIGATION)})) > {rules.most_separators}
+    or 100 * len(regexp_extract_all(x, {signs})) > {rules.most_signs} * length(x)
+    or (len(lw) > 1 and 100 * len(regexp_extract_all(x, {_quoted(quality_rules.CAPITALS)})) > {rules.most_capitals} * len(lw))
+    or (len(lw) >= {rules.echo_words} and len(list_distinct(lw)) * len(list_distinct(lw)) < {rules.least_variety} * len(lw))
+    or (len(lw) > {rules.heading_words} and not regexp_matches(x, {_quoted(quality_rules.SENTENCE_END)}))
+    or regexp_matches(x, {_quoted(quality_rules.BOILERPLATE)}))
+  group by doc_id),
+s as (
+  select n.doc_id, cast(len(w) as bigint) as n_words, cast(length(t) - len(regexp_extract_all(t, {_quoted(quality_rules.SPACE)})) as bigint) as word_chars,
+    cast(len(regexp_extract_all(t, {signs})) as bigint) as n_symbols, cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines,
+    cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words, cast(len(rs) as bigint) as n_lines, cast(len(rs) - coalesce(n_good, 0) as bigint) as n_bad_lines,
+    cast(coalesce(list_sum(list_transform(rs, lambda x: length(x))), 0) as bigint) as line_chars, cast(coalesce(good_chars, 0) as bigint) as good_chars
+  from n left join covered on covered.doc_id = n.doc_id left join good on good.doc_id = n.doc_id),
+b as (select *, line_chars - good_chars as lost_chars, n_words < {rules.least_words} or 100 * n_repeat_words > {rules.most_repeated} * n_words as base_failed from s)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and 100 * lost_chars <= {rules.most_lost} * line_chars as kept,
+  n_lines, n_bad_lines, line_chars, lost_chars
+from b"""
+
+
+def fixity_sql(settings: warc_fixity.Settings) -> str:
+    """op4 in DuckDB's SQL: records and offsets of both replicas from the pages, compared row by row."""
+    end = "chr(13) || chr(10)"
+    return f"""
+with p as (select page_id, cast(floor(page_id / {PAGES_A_VOLUME}.0) as bigint) as volume, coalesce(url, '') as u, coalesce(html, '') as h from pages),
+r as (
+  select page_id, volume, 'WARC/1.1' || {end} || 'WARC-Type: resource' || {end} || 'WARC-Record-ID: <urn:page:' || page_id || '>' || {end} || 'WARC-Date: {settings.date}' || {end}
+    || 'WARC-Target-URI: ' || u || {end} || 'WARC-Block-Digest: sha256:' || sha256(h) || {end} || 'Content-Type: text/html' || {end} || 'Content-Length: ' || strlen(h) || {end} || {end} || h as rec
+  from p),
+one as (select page_id, volume, rec, cast(coalesce(sum(strlen(rec) + 4) over (partition by volume order by page_id rows between unbounded preceding and 1 preceding), 0) as bigint) as offset_one from r),
+damaged as (
+  select page_id, volume, case page_id % 100 when 7 then left(rec, length(rec) - 1) || chr(127) when 43 then left(rec, length(rec) - 9) else rec end as rec
+  from r where page_id % 100 <> 81),
+two as (select page_id, rec, cast(coalesce(sum(strlen(rec) + 4) over (partition by volume order by page_id rows between unbounded preceding and 1 preceding), 0) as bigint) as offset_two from damaged)
+select * from (
+  select one.page_id, volume, case when two.page_id is null then 'missing' when one.rec <> two.rec then 'changed' when offset_one <> offset_two then 'moved' end as status, offset_one, offset_two
+  from one left join two on one.page_id = two.page_id) x
+where status is not null"""
+
+
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_sql(quality_rules.Rules()), "op4_warc_fixity": fixity_sql(warc_fixity.Settings())}
