@@ -107,9 +107,10 @@ def ag_22(t: Inputs) -> DataFrame:
 
 
 _STAGES = """
+select call_id, stage, sum(stage_usd) as stage_usd from (
 select call_id, 'transcribe' as stage, audio_cost_usd as stage_usd from s_audio
 union all select call_id, 'analyse', cost_usd from s_call_ledger where stage = 'analyse' and call_id in (select call_id from s_audio)
-union all select call_id, 'audit', cost_usd from s_call_ledger where stage = 'audit' and call_id in (select call_id from s_audio)
+union all select call_id, 'audit', cost_usd from s_call_ledger where stage = 'audit' and call_id in (select call_id from s_audio)) x group by 1, 2
 """
 step("s_stages", _STAGES)
 
@@ -138,10 +139,9 @@ def ag_23(t: Inputs) -> DataFrame:
 
 
 @query("ag_23_hourly_rate", f"""
-select s.call_id, round(total / (duration_ms / 3600000.0e0), 3) as usd_per_audio_hour from (select call_id, sum(stage_usd) as total from s_stages where stage = 'transcribe' group by 1) s
+select s.call_id, round(total / (duration_ms / 3600000.0e0), 4) as usd_per_audio_hour from (select call_id, coalesce(sum(stage_usd), 0) as total from s_stages group by 1) s
 join s_audio a on s.call_id = a.call_id where duration_ms > 0
 """)
 def ag_23_rate(t: Inputs) -> DataFrame:
-    spoken = stages(t).where("stage = 'transcribe'")
-    whole = costs.call_costs(spoken, audio(t), DIGITS).where("usd_per_audio_hour is not null")
-    return whole.select("call_id", F.round("usd_per_audio_hour", 3).alias("usd_per_audio_hour"))
+    whole = costs.call_costs(stages(t), audio(t), DIGITS).where("usd_per_audio_hour is not null")
+    return whole.select("call_id", "usd_per_audio_hour")

@@ -270,16 +270,21 @@ from v_log_raw
 """
 
 
+# At most two changes a call: the second is judged by what the first has left.
 @query("prj_24_guarded_update", f"""
-select ch.call_id, ch.arrival, coalesce(c.call_id is not null and (expected_status is null or expected_status = processing_status), false) as applied,
-  case when coalesce(c.call_id is not null and (expected_status is null or expected_status = processing_status), false) then new_status else processing_status end as status_after
-from ({_CHANGES}) ch left join v_calls c on ch.call_id = c.call_id
+select * from (with ch as (select x.*, c.processing_status as stored from ({_CHANGES}) x left join v_calls c on x.call_id = c.call_id),
+one as (select *, coalesce(stored is not null and (expected_status is null or expected_status = stored), false) as applied from ch where arrival = 0),
+left_by as (select call_id, any_value(case when applied then new_status else stored end) as now from one where stored is not null group by 1),
+two as (select ch.*, coalesce(left_by.now, stored) as before from ch left join left_by on ch.call_id = left_by.call_id where arrival = 1)
+select call_id, arrival, applied, case when applied then new_status else stored end as status_after from one
+union all select call_id, arrival, coalesce(before is not null and (expected_status is null or expected_status = before), false),
+  case when coalesce(before is not null and (expected_status is null or expected_status = before), false) then new_status else before end from two) z
 """)
 def prj_24(t: Inputs) -> DataFrame:
     changes = t.log_raw.select(
         F.trim("callid").alias("call_id"), "arrival",
         F.when(F.col("call_direction") == "Inbound", "UNPROCESSED").alias("expected_status"), F.lit("AUDITING").alias("new_status"))
-    return calls.apply_status_changes(t.calls, changes).select("call_id", "arrival", "applied", "status_after")
+    return calls.apply_status_changes(t.calls, changes, ("arrival",)).select("call_id", "arrival", "applied", "status_after")
 
 
 _JOBS = """

@@ -42,12 +42,13 @@ step("s_card_2", f"""
 select *, case when applies then before - after else 0 end as deduction, case when applies and after <> before then after else awarded_1 end as awarded from (
   select *, {step_down_sql('before', 'repeats')} as after from (
     select c.call_id, c.criterion, c.reached, c.awarded as awarded_1, c.flow_changed, coalesce(r.repeats, 0) as repeats, n.is_follow_up, s.full_marks, s.bands,
-      (n.is_follow_up and c.reached and coalesce(r.repeats, 0) > 0) as applies, least(c.awarded, s.full_marks) as before
+      (n.is_follow_up and c.reached and coalesce(r.repeats, 0) > 0) as applies,
+      coalesce(n.is_follow_up and not c.reached and coalesce(r.repeats, 0) > 0, false) as repeat_on_unreached, least(c.awarded, s.full_marks) as before
     from s_card_1 c join s_scheme s on c.criterion = s.criterion left join s_repeat_counts r on c.call_id = r.call_id and c.criterion = r.criterion
       left join v_continuity n on c.call_id = n.call_id) x) y
 """)
 step("s_card_3", """
-select call_id, criterion, full_marks, repeats, is_follow_up, deduction, flow_changed, not_applicable, is_relevant, awarded as awarded_2,
+select call_id, criterion, full_marks, repeats, is_follow_up, deduction, repeat_on_unreached, flow_changed, not_applicable, is_relevant, awarded as awarded_2,
   (not_applicable and awarded <> full_marks) as relevance_changed, (not not_applicable and reached) as reached,
   case when not_applicable then full_marks else awarded end as awarded
 from (select c.*, r.is_relevant, (not r.is_relevant and c.criterion in ('why_what_how_explanation', 'benefits_for_their_study')) as not_applicable
@@ -110,7 +111,7 @@ def scr_6(t: Inputs) -> DataFrame:
 
 @query("scr_6_warnings", """
 select call_id, criterion, w as warning from (select call_id, criterion, unnest([case when flow_changed then 'flow_computed' end,
-  case when deduction > 0 then 'repeat_deducted' end, case when is_follow_up and repeats > 0 and not reached and not not_applicable then 'repeat_on_unreached' end,
+  case when deduction > 0 then 'repeat_deducted' end, case when repeat_on_unreached then 'repeat_on_unreached' end,
   case when relevance_changed then 'not_applicable' end, case when not reached and criterion = 'closing_and_follow_up' then 'unreached_with_notice' end,
   case when defaulted then 'unreached_full_marks' end, case when clamped then 'clamped' end]) as w from s_marked) x where w is not null
 """)

@@ -88,13 +88,13 @@ def stm_4(t: Inputs) -> DataFrame:
 
 
 @query("stm_5_stalled_ingests", f"""
-select call_id, {ISO_SQL.format('status_at')} as since from v_calls where processing_status = 'INGESTING' and status_at is not null
-  and status_at + interval '60' minute <= (select max(status_at) - interval '10' minute from v_calls)
+select call_id, {ISO_SQL.format('moment')} as since from (select *, coalesce(status_at, started_at) as moment from v_calls) c where processing_status = 'INGESTING'
+  and moment + interval '60' minute <= (select max(coalesce(status_at, started_at)) - interval '10' minute from v_calls)
 """)
 def stm_5(t: Inputs) -> DataFrame:
     t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    calls = _view_stream(t, "v_calls").where("status_at is not null")
-    changes = calls.select("call_id", "processing_status", F.col("status_at").cast("timestamp").alias("status_at"))
+    calls = _view_stream(t, "v_calls")
+    changes = calls.select("call_id", "processing_status", *(F.col(c).cast("timestamp").alias(c) for c in ("status_at", "started_at")))
     return _run(t, jobs.stalled_ingests(changes)).select("call_id", timing.iso_utc("since").alias("since"))
 
 

@@ -100,7 +100,7 @@ select x.*, 0 as arrival from ({_LOG} from events) x
 union all select x.*, 1 as arrival from ({_LOG} from events where event_type = 'error') x
 """)
 
-_view("v_known", "orders", "select cast(o_orderkey as varchar(20)) as callid from orders")
+_view("v_known", "events", "select cast(event_id as varchar(20)) as callid from events where event_id % 4 = 0")
 
 _view("v_turns_raw", "conversations", """
 select cast(conv_id as varchar(20)) as call_id, turn as pos, role,

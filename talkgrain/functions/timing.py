@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,13 +65,38 @@ def last_complete_day(now: Column | str, hour: int = K.DAY_START_HOUR,
     return (F.to_utc_timestamp(end - F.expr("INTERVAL 1 DAY"), zone), F.to_utc_timestamp(end, zone))
 
 
-def explicit_window(start: str | None, end: str | None, now: dt.datetime) -> tuple[dt.datetime, dt.datetime]:
-    """A named period.  An end without a start is an error; a start alone runs until ``now``."""
-    if not start:
+class Period(NamedTuple):
+    """What a run fetches, in UTC.  An empty one ends where it starts, or before."""
+
+    start: dt.datetime
+    end: dt.datetime
+    kind: str
+
+    @property
+    def is_empty(self) -> bool:
+        return self.end <= self.start
+
+
+def _utc(moment: dt.datetime) -> dt.datetime:
+    return moment.replace(tzinfo=dt.timezone.utc) if moment.tzinfo is None else moment.astimezone(dt.timezone.utc)
+
+
+def explicit_window(start: str | None, end: str | None, now: dt.datetime, hour: int = K.DAY_START_HOUR,
+                    grace_minutes: int = K.DAY_GRACE_MINUTES, zone: str = K.TENANT_ZONE) -> Period:
+    """The period of a run: the one named, or else the newest complete tenant day.
+
+    An end without a start is an error; a start alone runs until ``now``.  Times without a zone are UTC.
+    """
+    if start:
+        last = _utc(dt.datetime.fromisoformat(end.replace("Z", "+00:00"))) if end else _utc(now)
+        return Period(_utc(dt.datetime.fromisoformat(start.replace("Z", "+00:00"))), last, "explicit")
+    if end:
         raise ValueError("a window end needs a window start")
-    first = dt.datetime.fromisoformat(start.replace("Z", "+00:00"))
-    last = dt.datetime.fromisoformat(end.replace("Z", "+00:00")) if end else now
-    return first, last
+    local = _utc(now).astimezone(ZoneInfo(zone))
+    closes = local.replace(hour=hour, minute=0, second=0, microsecond=0)
+    if closes > local + dt.timedelta(minutes=grace_minutes):
+        closes -= dt.timedelta(days=1)
+    return Period(_utc(closes - dt.timedelta(days=1)), _utc(closes), "day")
 
 
 def slices(windows: DataFrame, start: str = "window_start", end: str = "window_end",

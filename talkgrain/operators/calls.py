@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,27 +149,46 @@ def revive_legacy(calls: DataFrame, now: Column) -> DataFrame:
         "status_at": F.when(F.col("revived"), now).otherwise(F.col("status_at"))})
 
 
-def apply_status_changes(calls: DataFrame, changes: DataFrame) -> DataFrame:
-    """``changes(call_id, expected_status, new_status)`` against the stored rows.
+def apply_status_changes(calls: DataFrame, changes: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """``changes(call_id, expected_status, new_status)`` against the stored rows, one after another.
 
-    A change applies when its row exists and, where a status is expected, the row has it.  One
-    row per change comes back, the losers with ``applied`` false.
+    A change applies when its row exists and, where a status is expected, the row has it by then: of
+    two claims of one call the second loses.  ``order`` are the columns that say which comes first;
+    ties go by the statuses.  One row per change comes back, the losers with ``applied`` false.
+    The changes of a call stream by in order, so none are gathered.
     """
     stored = calls.select("call_id", "processing_status")
-    met = F.col("expected_status").isNull() | (F.col("expected_status") == F.col("processing_status"))
-    tried = changes.join(stored, "call_id", "left").withColumn(
-        "applied", F.coalesce(F.col("processing_status").isNotNull() & met, F.lit(False)))
-    after = F.when(F.col("applied"), F.col("new_status")).otherwise(F.col("processing_status"))
-    return tried.withColumn("status_after", after).withColumn("work_status", work_status("status_after"))
+    tried = changes.join(stored, "call_id", "left")
+    by = [*order, "expected_status", "new_status"]
+    ranked = tried.repartition("call_id").sortWithinPartitions("call_id", *by)
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        call, status = None, None
+        for rows in batches:
+            done, after = [], []
+            for one, stored_status, expected, new in zip(rows["call_id"], rows["processing_status"], rows["expected_status"], rows["new_status"], strict=True):
+                if one != call:
+                    call, status = one, None if pd.isna(stored_status) else stored_status
+                wins = status is not None and (pd.isna(expected) or expected == status)
+                status = new if wins else status
+                done.append(wins)
+                after.append(status)
+            yield rows.assign(applied=done, status_after=after)
+
+    kinds = ", ".join(f"`{n}` {k}" for n, k in tried.dtypes)
+    settled = ranked.mapInPandas(settle, f"{kinds}, applied boolean, status_after string")
+    return settled.withColumn("work_status", work_status("status_after"))
 
 
 def audit_disposition(jobs: DataFrame, calls: DataFrame) -> DataFrame:
     """What an audit job leaves on its row.
 
     ``jobs(call_id, audio_present, error_kind, error)``: ``error_kind`` is ``stage`` for a pipeline
-    stage, another text for anything else, NULL for success.
+    stage, another text for anything else, NULL for success.  ``failure_reason`` is what the row holds
+    afterwards: a skipped job leaves the stored one alone, an audit clears it.
     """
-    rows = calls.select("call_id", "processing_status", "started_at", paths.audio_key("call_id", "started_at").alias("audio_key"))
+    before = F.col("failure_reason") if "failure_reason" in calls.columns else F.lit(None).cast("string")
+    rows = calls.select("call_id", "processing_status", "started_at", before.alias("_reason"), paths.audio_key("call_id", "started_at").alias("audio_key"))
     joined = jobs.join(rows, "call_id", "left")
     status, kind = F.col("processing_status"), F.col("error_kind")
     staged = F.left(F.concat(F.lit("pipeline: "), "error"), F.lit(K.REASON_CHARS))
@@ -183,7 +205,8 @@ def audit_disposition(jobs: DataFrame, calls: DataFrame) -> DataFrame:
     return joined.withColumns({"outcome": outcome, "detail": detail}).withColumns({
         "status_after": F.when(F.col("outcome") == "audited", "PROCESSED").when(F.col("outcome") == "retry", "UNPROCESSED")
         .when(F.col("outcome") == "failed", "FAILED").otherwise(status),
-        "failure_reason": F.when(F.col("outcome").isin("retry", "failed"), F.col("detail"))})
+        "failure_reason": F.when(F.col("outcome") == "skipped", F.col("_reason")).when(F.col("detail") == "no audioKey", K.NO_AUDIO_KEY_REASON)
+        .when(F.col("outcome").isin("retry", "failed"), F.col("detail"))}).drop("_reason")
 
 
 def is_review() -> Column:

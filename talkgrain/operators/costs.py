@@ -34,13 +34,15 @@ def with_rates(usage: DataFrame, rows: tuple = K.RATE_CARD, model: str = "model"
 
 
 def flatten_usage(blocks: DataFrame, block: str = "usage") -> DataFrame:
-    """Token counts of a usage block; the first cache-write count that is present counts."""
+    """Token counts of a usage block; the first cache-write count that is present counts.  A block without any count is no call."""
     prompt, done = f"{block}.prompt_tokens_details", f"{block}.completion_tokens_details"
     part = lambda c: F.nullif(F.col(c), F.lit(0).cast("bigint"))
     zero = F.lit(0).cast("bigint")
     written = F.coalesce(part(f"{prompt}.cache_creation_tokens"), part(f"{prompt}.cache_write_tokens"),
                          part(f"{prompt}.cache_creation_input_tokens"), F.col(f"{block}.cache_creation_input_tokens"), zero)
-    return blocks.where(F.col(block).isNotNull()).withColumns({
+    told = F.coalesce(*[F.col(c).cast("string") for c in (
+        f"{block}.prompt_tokens", f"{block}.completion_tokens", f"{block}.cache_creation_input_tokens", prompt, done)])
+    return blocks.where(told.isNotNull()).withColumns({
         "prompt_tokens": F.coalesce(f"{block}.prompt_tokens", zero),
         "cached_tokens": F.coalesce(f"{prompt}.cached_tokens", zero),
         "completion_tokens": F.coalesce(f"{block}.completion_tokens", zero),
@@ -94,7 +96,7 @@ def combined(costs: DataFrame, keys: list[str], cost: str = "cost_usd") -> DataF
 
 
 def stage_totals(calls: DataFrame, audio: DataFrame, analysis: DataFrame, audit: DataFrame) -> DataFrame:
-    """One row per call and stage.
+    """One row per call and stage, whatever models the stage used.
 
     ``analysis`` carries a stored ``total_usd`` or ``cost_usd``, or else usage priced again as
     ``recomputed_usd``; a call missing from a stage's table has no such stage.
@@ -106,16 +108,19 @@ def stage_totals(calls: DataFrame, audio: DataFrame, analysis: DataFrame, audit:
               ("audit", audit, first(audit, "total_usd", "cost_usd"))]
     parts = [df.select("call_id", F.lit(name).alias("stage"), cost.alias("stage_usd")) for name, df, cost in stages]
     all_stages = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return all_stages.join(calls.select("call_id"), "call_id", "left_semi")
+    known = all_stages.join(calls.select("call_id"), "call_id", "left_semi")
+    return known.groupBy("call_id", "stage").agg(F.sum("stage_usd").alias("stage_usd"))
 
 
 def call_costs(stages: DataFrame, durations: DataFrame, digits: int = 6) -> DataFrame:
     """Total per call, whether every stage was measured, dollars per hour of audio."""
-    wanted = F.count_if(F.col("stage").isin("transcribe", "analyse")) == 2
+    has = lambda name: F.coalesce(F.bool_or(F.col("stage") == name), F.lit(False))
     total = stages.groupBy("call_id").agg(
-        F.round(F.coalesce(F.sum("stage_usd"), F.lit(0.0)), digits).alias("total_usd"),
-        ((F.count("stage_usd") == F.count("*")) & wanted).alias("complete"))
+        F.coalesce(F.sum("stage_usd"), F.lit(0.0)).alias("_raw"),
+        ((F.count("stage_usd") == F.count("*")) & has("transcribe") & has("analyse")).alias("complete"))
     hours = F.nullif(F.col("duration_ms"), F.lit(0).cast("bigint")) / 3_600_000.0
+    # both are rounded from the raw sum: a rounded total of a short call would be off by much in an hour
     return total.join(durations.select("call_id", "duration_ms"), "call_id", "left").withColumns({
+        "total_usd": F.round("_raw", digits),
         "audio_seconds": F.round(F.coalesce("duration_ms", F.lit(0)) / 1000.0, 2),
-        "usd_per_audio_hour": F.round(F.col("total_usd") / hours, 4)})
+        "usd_per_audio_hour": F.round(F.col("_raw") / hours, 4)}).drop("_raw")

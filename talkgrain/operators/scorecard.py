@@ -63,6 +63,7 @@ def apply_repetitions(card: DataFrame, repeats: DataFrame, continuity: DataFrame
     """A follow-up's criterion steps down one band for each repeat of the call before.
 
     Nothing is taken off a criterion that was not reached, or on a call that is not a follow-up.
+    ``repeat_on_unreached`` keeps that there was a repeat on a criterion not reached at this point.
     """
     counts = repeats.groupBy("call_id", "criterion").agg(F.count("*").alias("repeats"))
     follow = continuity.select("call_id", "is_follow_up")
@@ -72,7 +73,8 @@ def apply_repetitions(card: DataFrame, repeats: DataFrame, continuity: DataFrame
     stepped = (joined.withColumn("_before", F.least("awarded", marks.full_marks("criterion")))
                .withColumn("_after", F.when(applies, marks.step_down("criterion", "_before", "repeats"))))
     off = F.coalesce(F.col("_before") - F.col("_after"), F.lit(0).cast("bigint"))
-    return (stepped.withColumn("deduction", off)
+    idle = F.coalesce("is_follow_up", F.lit(False)) & ~F.col("reached") & (F.col("repeats") > 0)
+    return (stepped.withColumns({"deduction": off, "repeat_on_unreached": F.coalesce(idle, F.lit(False))})
             .withColumn("awarded", F.when(F.col("deduction") > 0, F.col("_after")).otherwise(F.col("awarded")))
             .drop("_before", "_after"))
 
@@ -107,10 +109,9 @@ def marked_card(card: DataFrame, flows: DataFrame, repeats: DataFrame, continuit
 def score_warnings(marked: DataFrame) -> DataFrame:
     """One row per change a mark went through."""
     notice = ~F.col("reached") & F.col("criterion").isin(list(K.NOTICE_IF_UNREACHED))
-    contradiction = (F.coalesce("is_follow_up", F.lit(False)) & (F.col("repeats") > 0) & ~F.col("reached") & ~F.col("not_applicable"))
     codes = F.array_compact(F.array(
         F.when(F.col("flow_changed"), "flow_computed"), F.when(F.col("deduction") > 0, "repeat_deducted"),
-        F.when(contradiction, "repeat_on_unreached"), F.when(F.col("relevance_changed"), "not_applicable"),
+        F.when(F.col("repeat_on_unreached"), "repeat_on_unreached"), F.when(F.col("relevance_changed"), "not_applicable"),
         F.when(notice, "unreached_with_notice"), F.when(F.col("defaulted"), "unreached_full_marks"),
         F.when(F.col("clamped"), "clamped")))
     return marked.select("call_id", "criterion", F.explode(codes).alias("warning"))

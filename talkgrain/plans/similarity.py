@@ -8,6 +8,8 @@ the smaller.  The very common tokens of a large set are seldom in a prefix.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,8 @@ def _prefixes(rows: DataFrame, counts: DataFrame, group: str, id_: str, tokens:
     """Each row with its rarest tokens, one per output row."""
     sized = (_exploded(rows, group, id_, tokens).select(group, id_, "_token").join(counts, [group, "_token"])
              .groupBy(group, id_).agg(F.array_sort(F.collect_list(F.struct("_n", "_token"))).alias("_o")))
-    keep = F.size("_o") - F.ceil(F.size("_o") * F.lit(share)).cast("int") + 1
+    exact = Fraction(str(share))
+    keep = F.size("_o") - F.expr(f"(size(_o) * {exact.numerator} + {exact.denominator - 1}) div {exact.denominator}").cast("int") + 1
     return (sized.select(group, id_, F.explode(F.slice("_o", 1, keep)).alias("_e"))
             .select(group, id_, F.col("_e._token").alias("_token")).join(rows.select(group, id_, tokens), [group, id_]))
 
@@ -48,5 +51,6 @@ def overlapping_pairs(left: DataFrame, right: DataFrame, group: str, left_id: st
     cols = [group, left_id, right_id, "_lt", "_rt"]
     pairs = (small_left.select(*cols).unionByName(small_right.select(*cols))
              .dropDuplicates([group, left_id, right_id]))
-    kept = pairs.where(shared / smaller >= share)
+    exact = Fraction(str(share))
+    kept = pairs.where(shared * exact.denominator >= smaller * exact.numerator)
     return kept.select(group, left_id, right_id, F.round(shared / smaller, 4).alias("overlap"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkgrain.functions import paths
@@ -14,10 +14,22 @@ def with_day_parts(df: DataFrame, started: str = "started_at") -> DataFrame:
                            "dd": F.date_format(started, "dd")})
 
 
-def write_artifacts(df: DataFrame, path: str, started: str = "started_at", file_format: str = "json") -> None:
-    """``<kind>/<yyyy>/<mm>/<dd>``; one shuffle on the day keeps the file count down."""
-    (with_day_parts(df, started).write.mode("append").partitionBy("kind", "yyyy", "mm", "dd")
-     .format(file_format).save(path))
+def write_artifacts(df: DataFrame, path: str, started: str = "started_at", file_format: str = "json",
+                    run: str | None = None, parts: int = 4) -> None:
+    """``<kind>/<yyyy>/<mm>/<dd>``, and below it ``run=<run>`` where a run is named.
+
+    One shuffle on kind and day keeps the files of a day to ``parts``, over which a large day is
+    spread.  A named run replaces what it wrote before, so it may be tried again; without a name
+    rows are appended.
+    """
+    days = ["kind", "yyyy", "mm", "dd"]
+    dealt = with_day_parts(df, started).withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+    dealt = dealt.repartition(*days, "_part").drop("_part")
+    if run is None:
+        dealt.write.mode("append").partitionBy(*days).format(file_format).save(path)
+    else:
+        (dealt.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*days, "run").format(file_format).save(path))
 
 
 def owned_keys(calls: DataFrame) -> DataFrame:
@@ -26,23 +38,41 @@ def owned_keys(calls: DataFrame) -> DataFrame:
 
 
 def split_by_presence(new: DataFrame, existing: DataFrame, key: str = "call_id") -> DataFrame:
-    """``new`` with ``accepted``: true where the key is not stored yet."""
+    """``new`` with ``accepted``: true where the key is not stored yet, for one row of each key."""
     marked = existing.groupBy(key).agg(F.lit(True).alias("_stored"))
-    return new.join(marked, key, "left").withColumn("accepted", F.col("_stored").isNull()).drop("_stored")
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(*[c for c in new.columns if c != key] or [key]))
+    joined = new.withColumn("_nth", nth).join(marked, key, "left")
+    return joined.withColumn("accepted", F.col("_stored").isNull() & (F.col("_nth") == 1)).drop("_stored", "_nth")
+
+
+def one_per_key(new: DataFrame, key: str = "call_id") -> DataFrame:
+    """The least row of each key, by all its columns: the same one however often it is asked for."""
+    rest = [c for c in new.columns if c != key]
+    if not rest:
+        return new.distinct()
+    return new.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")).select(key, "_row.*").select(*new.columns)
 
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, path: str, key: str = "call_id") -> None:
-    new.join(existing, key, "left_anti").write.mode("append").parquet(path)
+    """A key that comes twice in ``new`` is written once."""
+    one_per_key(new, key).join(existing, key, "left_anti").write.mode("append").parquet(path)
 
 
-def overwrite_days(df: DataFrame, path: str, day: str = "date_key") -> None:
+def overwrite_days(df: DataFrame, path: str, day: str = "date_key", touched: DataFrame | None = None) -> None:
     """Replace just the days present in ``df``; the days' stale rows go with their partitions.
 
+    ``touched`` has the days that were rebuilt: one of them without a row in ``df`` is emptied.
     Rows meet by day first, so that a day is one file; the count is fixed so that days are written
     side by side even when they are small.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.repartition(tasks, day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path))
+    if touched is not None:
+        emptied = touched.select(F.col(day).cast("string").alias(day)).distinct().join(df.select(F.col(day).cast("string").alias(day)).distinct(), day, "left_anti")
+        spark = df.sparkSession
+        for row in emptied.toLocalIterator():  # a name for each day of the rebuild at most
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{day}={row[day]}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stale_rows(existing: DataFrame, fresh: DataFrame, keys: tuple[str, ...] = ("pk", "date_key")) -> DataFrame:
@@ -58,14 +88,8 @@ def rebuild_counts(fresh: DataFrame, stale: DataFrame, day: str = "date_key") ->
         F.sum("w").alias("rows_written"), F.sum("d").alias("rows_deleted"))
 
 
-def attach_transcript(audits: DataFrame, turns: DataFrame, part_turns: int = 10_000) -> DataFrame:
-    """Each audit with its conversation as nested turns.
-
-    A conversation of up to ``part_turns`` turns is one row.  A longer one continues in further
-    parts, so that no row or task holds an unbounded transcript.
-    """
-    parts = (turns.withColumn("part", F.floor(F.col("turn") / part_turns).cast("bigint"))
-             .groupBy("call_id", "part")
-             .agg(F.array_sort(F.collect_list(F.struct("turn", "speaker", "text", "start_ms", "end_ms"))).alias("transcript")))
-    joined = audits.join(parts, "call_id", "left")
-    return joined.withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
+def attach_transcript(audits: DataFrame, turns: DataFrame) -> DataFrame:
+    """Each audit with its whole conversation as nested turns: one document per call, as it is read."""
+    nested = turns.groupBy("call_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "speaker", "text", "start_ms", "end_ms"))).alias("transcript"))
+    return audits.join(nested, "call_id", "left")

@@ -56,16 +56,20 @@ class _StallWatch(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._since = handle.getValueState("since", StructType([StructField("ms", LongType())]))
+        self._seen = handle.getValueState("seen", StructType([StructField("ms", LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         events = pd.concat(list(rows)).sort_values("status_at")
         last = events.iloc[-1]
+        changed = int(pd.Timestamp(last["status_at"]).timestamp() * 1000)
+        if self._seen.exists() and self._seen.get()[0] > changed:
+            return  # an older change that comes late
+        self._seen.update((changed,))
         for due in list(self._handle.listTimers()):
             self._handle.deleteTimer(due)
         if last["processing_status"] == "INGESTING":
-            since = int(pd.Timestamp(last["status_at"]).timestamp() * 1000)
-            self._since.update((since,))
-            self._handle.registerTimer(since + self._wait_ms)
+            self._since.update((changed,))
+            self._handle.registerTimer(changed + self._wait_ms)
         else:
             self._since.clear()
         yield from ()
@@ -85,8 +89,12 @@ class _StallWatch(StatefulProcessor):
 def stalled_ingests(changes: DataFrame, minutes: int = K.STUCK_AFTER_MINUTES, delay: str = "10 minutes") -> DataFrame:
     """Calls that stay INGESTING for ``minutes`` of event time.
 
-    ``changes(call_id, processing_status, status_at)``.  State is one number per call in flight.
+    ``changes(call_id, processing_status, status_at)``, and ``started_at`` where a change may lack its own
+    time, as in the batch rule.  State is two numbers per call: since when it is INGESTING, and the time of
+    its newest change, against which older ones that come late are ignored.
     """
+    if "started_at" in changes.columns:
+        changes = changes.withColumn("status_at", F.coalesce("status_at", "started_at")).drop("started_at")
     return (changes.withWatermark("status_at", delay).groupBy("call_id")
             .transformWithStateInPandas(_StallWatch(minutes), STALL_OUTPUT, "Append", "EventTime"))
 
@@ -98,9 +106,8 @@ def insert_if_absent_batch(path: str, key: str = "call_id") -> Callable[[DataFra
     """
     def write(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates([key])
         stored = spark.read.schema(batch.schema).parquet(path)
-        storage.insert_if_absent(fresh, stored, path, key)
+        storage.insert_if_absent(batch, stored, path, key)
 
     return write
 
@@ -113,6 +120,6 @@ def rebuild_touched_days(build: Callable[[DataFrame], DataFrame], path: str,
     """
     def write(batch: DataFrame, _batch_id: int) -> None:
         days = batch.select(F.date_format(started, "yyyy-MM-dd").alias("date_key")).where("date_key is not null").distinct()
-        storage.overwrite_days(build(days), path)
+        storage.overwrite_days(build(days), path, touched=days)
 
     return write

@@ -36,7 +36,12 @@ def test_times(spark):
     assert ends == ["2026-09-20T20:30:00Z", "2026-09-19T20:30:00Z"]
     with pytest.raises(ValueError):
         timing.explicit_window(None, "2026-09-20T00:00:00Z", dt.datetime(2026, 9, 21))
-    assert timing.explicit_window("2026-09-20T00:00:00", None, dt.datetime(2026, 9, 21))[1] == dt.datetime(2026, 9, 21)
+    utc = lambda *a: dt.datetime(*a, tzinfo=dt.timezone.utc)
+    named = timing.explicit_window("2026-09-20T00:00:00", None, dt.datetime(2026, 9, 21))
+    assert named == (utc(2026, 9, 20), utc(2026, 9, 21), "explicit") and not named.is_empty
+    assert timing.explicit_window("2026-09-20T05:30:00+05:30", "2026-09-20T00:00:00Z", utc(2026, 9, 21)).is_empty
+    assert timing.explicit_window(None, None, utc(2026, 9, 20, 20, 28))[:2] == (utc(2026, 9, 19, 20, 30), utc(2026, 9, 20, 20, 30))
+    assert timing.explicit_window(None, None, dt.datetime(2026, 9, 20, 19, 30)).end == utc(2026, 9, 19, 20, 30)
     assert len(timing.run_id(spark)) == 25
 
 
@@ -216,18 +221,25 @@ def test_sinks(spark, tmp_path):
         storage.overwrite_days(rows(("A", "2026-01-01", 5)), path)
         got = sorted((r["pk"], str(r["date_key"]), r["n"]) for r in spark.read.parquet(path).collect())
         assert got == [("A", "2026-01-01", 5), ("A", "2026-01-02", 1)]
+    storage.overwrite_days(rows(("A", "2026-01-01", 7)), path, touched=spark.createDataFrame([("2026-01-01",), ("2026-01-02",)], "date_key string"))
+    assert [(r["pk"], str(r["date_key"]), r["n"]) for r in spark.read.parquet(path).collect()] == [("A", "2026-01-01", 7)]
     ids = lambda *r: spark.createDataFrame([(x,) for x in r], "call_id string")
     store = str(tmp_path / "calls")
     ids("1", "2").write.parquet(store)
-    storage.insert_if_absent(ids("2", "3"), spark.read.parquet(store), store)
+    storage.insert_if_absent(ids("2", "3", "3"), spark.read.parquet(store), store)
     assert sorted(r[0] for r in spark.read.parquet(store).collect()) == ["1", "2", "3"]
     docs = spark.createDataFrame([("1", "audit", dt.datetime(2026, 9, 16, 5), "{}")], "call_id string, kind string, started_at timestamp, body string")
     storage.write_artifacts(docs, str(tmp_path / "files"))
     assert (tmp_path / "files" / "kind=audit" / "yyyy=2026" / "mm=09" / "dd=16").is_dir()
+    for _ in range(2):
+        storage.write_artifacts(docs, str(tmp_path / "runs"), run="r1")
+    assert spark.read.json(str(tmp_path / "runs")).count() == 1
     long_call = spark.range(25).select(F.lit("c").alias("call_id"), F.col("id").alias("turn"), F.lit("E").alias("speaker"), F.lit("t").alias("text"),
                                        F.lit(0).alias("start_ms"), F.lit(1).alias("end_ms"))
-    parts = storage.attach_transcript(ids("c", "d"), long_call, part_turns=10)
-    assert sorted((r["call_id"], r["part"], len(r["transcript"] or [])) for r in parts.collect()) == [("c", 0, 10), ("c", 1, 10), ("c", 2, 5), ("d", 0, 0)]
+    whole = storage.attach_transcript(ids("c", "d"), long_call)
+    assert sorted((r["call_id"], len(r["transcript"] or [])) for r in whole.collect()) == [("c", 25), ("d", 0)]
+    marks = storage.split_by_presence(ids("1", "9", "9"), spark.read.parquet(store))
+    assert sorted((r["call_id"], r["accepted"]) for r in marks.collect()) == [("1", False), ("9", False), ("9", True)]
 
 
 def test_rollup_sums(spark):
@@ -236,3 +248,71 @@ def test_rollup_sums(spark):
     rows = catalog.QUERIES["ag_1_day_rollup"](spark, "/root/testdata/sf0.001")
     sums = {r["scope"]: tuple(r)[1:] for r in rows.groupBy("scope").agg(F.sum("total_calls"), F.sum("total_flags"), F.round(F.sum("score_sum"), 2)).collect()}
     assert len(set(sums.values())) == 1 and len(sums) == 3
+
+
+def test_two_claims_of_one_call(spark):
+    stored = spark.createDataFrame([("1", "UNPROCESSED"), ("2", "UNPROCESSED"), ("3", "FAILED")], "call_id string, processing_status string")
+    changes = spark.createDataFrame(
+        [("1", "UNPROCESSED", "AUDITING", 2), ("1", "UNPROCESSED", "AUDITING", 1), ("1", "AUDITING", "PROCESSED", 3), ("2", None, "FAILED", 1), ("3", "UNPROCESSED", "AUDITING", 1), ("9", None, "FAILED", 1)],
+        "call_id string, expected_status string, new_status string, n int")
+    got = {(r["call_id"], r["n"]): (r["applied"], r["status_after"]) for r in calls.apply_status_changes(stored, changes, ("n",)).collect()}
+    assert got == {("1", 1): (True, "AUDITING"), ("1", 2): (False, "AUDITING"), ("1", 3): (True, "PROCESSED"), ("2", 1): (True, "FAILED"), ("3", 1): (False, "FAILED"), ("9", 1): (False, None)}
+
+
+def test_costs_of_short_and_mixed_calls(spark):
+    from talkgrain.operators import costs
+
+    stages = spark.createDataFrame([("a", "transcribe", 0.0000282)], "call_id string, stage string, stage_usd double")
+    second = spark.createDataFrame([("a", 1000)], "call_id string, duration_ms long")
+    row = costs.call_costs(stages, second).first()
+    assert (row["total_usd"], row["usd_per_audio_hour"], row["complete"]) == (0.000028, 0.1015, False)
+    one = lambda *r: spark.createDataFrame(list(r), "call_id string, cost_usd double")
+    known = spark.createDataFrame([("a",)], "call_id string")
+    mixed = costs.stage_totals(known, one(("a", 0.1)), one(("a", 0.2), ("a", 0.3)), one(("b", 1.0)))
+    assert sorted((r["stage"], round(r["stage_usd"], 6)) for r in mixed.collect()) == [("analyse", 0.5), ("transcribe", 0.1)]
+    assert costs.call_costs(mixed, second).first()["complete"]
+
+
+def test_empty_usage_is_no_call(spark):
+    from talkgrain import schemas
+    from talkgrain.operators import costs
+
+    blocks = spark.createDataFrame([("{}",), ('{"prompt_tokens": 0}',), (None,)], "j string").select(F.from_json("j", schemas.USAGE).alias("usage"))
+    assert costs.ledger(costs.flatten_usage(blocks), []).first()["calls"] == 1
+
+
+def test_repeat_on_an_unreached_line_of_an_irrelevant_lead(spark):
+    from talkgrain.operators import scorecard
+
+    card = spark.createDataFrame([("c", "why_what_how_explanation", False, 3), ("c", "purpose_of_call", False, 3)], "call_id string, criterion string, reached boolean, awarded long")
+    repeats = spark.createDataFrame([("c", "why_what_how_explanation")], "call_id string, criterion string")
+    follow = spark.createDataFrame([("c", True)], "call_id string, is_follow_up boolean")
+    lead = spark.createDataFrame([("c", False)], "call_id string, is_relevant boolean")
+    card = card.withColumn("flow_changed", F.lit(False))
+    marked = scorecard.apply_defaults(scorecard.apply_relevance(scorecard.apply_repetitions(card, repeats, follow), lead))
+    warned = {(r["criterion"], r["warning"]) for r in scorecard.score_warnings(marked).collect()}
+    assert ("why_what_how_explanation", "repeat_on_unreached") in warned and ("purpose_of_call", "repeat_on_unreached") not in warned
+
+
+def test_reasons_a_row_keeps(spark):
+    stored = spark.createDataFrame([("1", "PROCESSED", None, "old"), ("2", "UNPROCESSED", None, None)], "call_id string, processing_status string, started_at timestamp, failure_reason string")
+    jobs = spark.createDataFrame([("1", True, None, None), ("2", True, None, None)], "call_id string, audio_present boolean, error_kind string, error string")
+    got = {r["call_id"]: (r["outcome"], r["detail"], r["failure_reason"]) for r in calls.audit_disposition(jobs, stored).collect()}
+    assert got == {"1": ("skipped", "already PROCESSED", "old"), "2": ("failed", "no audioKey", "queued for audit but the row has no audioKey")}
+
+
+def test_prefix_in_whole_numbers(spark):
+    from talkgrain.plans import similarity
+
+    left = spark.createDataFrame([("g", 1, [f"a{k}" for k in range(55)] + [f"l{k}" for k in range(45)])], "g string, i int, tokens array<string>")
+    right = spark.createDataFrame([("g", 2, [f"a{k}" for k in range(55)] + [f"r{k}" for k in range(45)])], "g string, j int, tokens array<string>")
+    assert similarity.overlapping_pairs(left, right, "g", "i", "j", share=0.55).count() == 1
+
+
+def test_collection_views_hold_both_kinds(spark):
+    from talkgrain import catalog
+
+    folder = "/root/testdata/sf0.001"
+    assert catalog.QUERIES["jn_1_unknown_ids"](spark, folder).count() > 0
+    assert catalog.QUERIES["prj_20_disposition"](spark, folder).select("pile").distinct().count() >= 3
+    assert catalog.QUERIES["snk_3_insert_if_absent"](spark, folder).select("accepted").distinct().count() == 2
