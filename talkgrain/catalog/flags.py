@@ -280,14 +280,16 @@ def dedupe_input(t: Inputs) -> DataFrame:
     severity = F.lower(F.when(F.col("severity") == "critical", "low").otherwise(F.col("severity")))
     spread = F.array_compact(F.array(F.col("seq"), F.col("also_at"), F.when(F.col("seq") % 4 == 3, F.lit(1).cast("bigint"))))
     return t.upstream.select("call_id", "seq", kind.alias("flag_type"), severity.alias("severity"), F.col("seq").alias("turn_index"),
-                             (F.col("seq") % 3 + 1).alias("occurrences"), spread.alias("occurrence_turns"))
+                             (F.col("seq") % 3 + 1).alias("occurrences"), spread.alias("occurrence_turns"),
+                             F.col("phrase").alias("verbatim"), F.col("reason").alias("why_flagged"), "source")
 
 
 @query("win_12_deduped_flags", """
-select call_id, flag_type, k.seq as seq, case k.rk when 0 then 'low' when 1 then 'medium' else 'high' end as severity, k.occ as occurrences, array_to_string(k.turns, ',') as occurrence_turns, k.n as flags_merged from s_dedupe_walk
+select z.call_id, flag_type, k.seq as seq, case k.rk when 0 then 'low' when 1 then 'medium' else 'high' end as severity, k.occ as occurrences, array_to_string(k.turns, ',') as occurrence_turns, k.n as flags_merged,
+  u.phrase as verbatim, u.reason as why_flagged, u.source as source from s_dedupe_walk z join v_upstream u on z.call_id = u.call_id and z.k.seq = u.seq
 """)
 def win_12(t: Inputs) -> DataFrame:
-    return flags.dedupe_flags(dedupe_input(t)).select("call_id", "flag_type", "seq", "severity", "occurrences", _text("occurrence_turns"), "flags_merged")
+    return flags.dedupe_flags(dedupe_input(t)).select("call_id", "flag_type", "seq", "severity", "occurrences", _text("occurrence_turns"), "flags_merged", "verbatim", "why_flagged", "source")
 
 
 @query("win_13_post_steps")

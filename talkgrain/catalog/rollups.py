@@ -47,7 +47,7 @@ NUMBERS = [*rollup.SUMS, "score_max", "score_min"]
 
 
 def keyed_calls(t: Inputs) -> DataFrame:
-    return agents.with_rollup_key(t.calls, agents.rollup_keys(resolved_roster(t), ascii_names=True), ascii_names=True)
+    return agents.with_rollup_key(t.calls, agents.rollup_keys(resolved_roster(t)))
 
 
 def day_rollup(t: Inputs) -> DataFrame:
@@ -61,7 +61,7 @@ def jn_5(t: Inputs) -> DataFrame:
 
 @query("ag_7_agent_keys", "select extension, team, agent_key from s_agent_keys")
 def ag_7(t: Inputs) -> DataFrame:
-    return agents.rollup_keys(resolved_roster(t), ascii_names=True)
+    return agents.rollup_keys(resolved_roster(t))
 
 
 @query("ag_1_day_rollup", f"select pk, date_key, scope, {', '.join(NUMBERS)} from s_rollup")

@@ -74,14 +74,13 @@ def unmapped_extensions(resolved: DataFrame, extension: str = "agent_extension")
     return resolved.where(~F.col("known")).select(shown.alias("extension")).distinct()
 
 
-def rollup_keys(roster: DataFrame, ascii_names: bool = False) -> DataFrame:
+def rollup_keys(roster: DataFrame) -> DataFrame:
     """Extension → team and agent key; a name shared on a team gets the extension appended.
 
     Decided from the whole roster, so that a key does not change from day to day.  Slugs are made
     once per distinct name.
     """
-    make = text.slug_ascii if ascii_names else text.slug
-    names = roster.select("name").distinct().withColumn("name_slug", make("name"))
+    names = roster.select("name").distinct().withColumn("name_slug", text.slug("name"))
     team = F.coalesce(text.blank_to_null("state"), F.lit(K.UNASSIGNED_TEAM))
     keyed = roster.select("extension", "name", team.alias("team")).join(names, "name")
     shared = (keyed.groupBy("team", "name_slug").agg(F.count("*").alias("owners"))
@@ -91,14 +90,18 @@ def rollup_keys(roster: DataFrame, ascii_names: bool = False) -> DataFrame:
                     .otherwise(F.col("name_slug")).alias("agent_key")))
 
 
-def with_rollup_key(calls: DataFrame, keys: DataFrame, ascii_names: bool = False) -> DataFrame:
-    """Team and agent key of each call; an extension off the roster is UNASSIGNED under its name."""
-    make = text.slug_ascii if ascii_names else text.slug
-    wanted = calls.withColumn("_ext", text.strip(F.coalesce("agent_extension", F.lit(""))))
-    joined = wanted.join(keys.withColumnRenamed("extension", "_x"), F.col("_ext") == F.col("_x"), "left")
+def with_rollup_key(calls: DataFrame, keys: DataFrame) -> DataFrame:
+    """Team and agent key of each call; an extension off the roster is UNASSIGNED under its name.
+
+    Names are made keys once each, then joined back: the fold of accents never runs per call.
+    """
+    name = F.coalesce("agent_name", F.lit(""))
+    named = calls.select(name.alias("_name")).distinct().withColumn("_slug", text.slug("_name"))
+    wanted = calls.withColumns({"_ext": text.strip(F.coalesce("agent_extension", F.lit(""))), "_name": name})
+    joined = wanted.join(keys.withColumnRenamed("extension", "_x"), F.col("_ext") == F.col("_x"), "left").join(named, "_name", "left")
     return joined.withColumns({
-        "agent_key": F.coalesce("agent_key", make(F.coalesce("agent_name", F.lit("")))),
-        "team": F.coalesce("team", F.lit(K.UNASSIGNED_TEAM))}).drop("_ext", "_x")
+        "agent_key": F.coalesce("agent_key", "_slug"),
+        "team": F.coalesce("team", F.lit(K.UNASSIGNED_TEAM))}).drop("_ext", "_x", "_name", "_slug")
 
 
 def audited_agents(roster: DataFrame) -> DataFrame:

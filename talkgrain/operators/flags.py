@@ -254,7 +254,7 @@ def dedupe_flags(flags: DataFrame, width: int | None = ordered.AUTO) -> DataFram
     ``occurrence_turns``.  Not a transitive closure: a flag that joins two findings extends the
     first of them only.  Findings of different types or of turn ranges that do not touch cannot
     meet, so the ordered fold runs per type and range of one call; a pile of flags on one turn
-    needs no fold at all.
+    needs no fold at all.  All other columns (quote, reason, source) are those of the kept finding.
     """
     if width == ordered.AUTO:
         return ordered.by_size(flags, ["call_id", "flag_type"], dedupe_flags)
@@ -293,9 +293,14 @@ def dedupe_flags(flags: DataFrame, width: int | None = ordered.AUTO) -> DataFram
               .select(*keys, F.explode(F.aggregate("_flags", empty, fold)).alias("k"))
               .select(*keys, "k.seq", F.col("k.rank").alias("_rank"), "k.turn_index",
                       F.col("k.turns").alias("occurrence_turns"), "k.occurrences", F.col("k.n").alias("flags_merged")))
-    return (pile.withColumn("occurrences", F.when(F.col("flags_merged") > 1, F.greatest("occurrences", F.lit(1)))
-                            .otherwise(F.col("occurrences")).cast("bigint"))
-            .unionByName(folded).withColumn("severity", marks.severity_name("_rank")).drop("_rank", "segment"))
+    merged = (pile.withColumn("occurrences", F.when(F.col("flags_merged") > 1, F.greatest("occurrences", F.lit(1)))
+                              .otherwise(F.col("occurrences")).cast("bigint"))
+              .unionByName(folded).withColumn("severity", marks.severity_name("_rank")).drop("_rank", "segment"))
+    rest = [c for c in flags.columns if c not in merged.columns]
+    if not rest:
+        return merged
+    told = ["call_id", "flag_type", "seq"]
+    return merged.join(flags.groupBy(*told).agg(F.min(F.struct(*rest)).alias("_rest")), told, "left").select(*merged.columns, "_rest.*")
 
 
 def carry_over(report_flags: DataFrame, upstream: DataFrame, turns: DataFrame, dismissed: DataFrame,
