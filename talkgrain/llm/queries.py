@@ -22,10 +22,7 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Counts before and after personal data is edited out of each document."""
-    trees = token_counts.with_trees(_table(spark, folder, "documents").select("doc_id", "text"))
-    edits = token_counts.personal_edits(trees).select("*", F.col("n_tokens").alias("n_tokens_before"), F.length("text").cast("long").alias("n_chars_before"))
-    return token_counts.with_edits(edits).select(
-        "doc_id", "n_chars_before", "n_tokens_before", F.size("leaf_ends").cast("long").alias("n_leaves"), "n_edits", "n_encoded", "n_tokens")
+    return token_counts.counted_through(_table(spark, folder, "documents").select("doc_id", "text"), token_counts.personal).drop("text")
 
 
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -187,14 +187,45 @@ def with_edits(trees: DataFrame, settings: Settings | None = None, *, edits_col:
     return out.withColumn("n_tokens", total(out["token_tree"]))
 
 
+def counted_through(docs: DataFrame, find: Callable[[str], list[tuple[int, int, str]]], settings: Settings | None = None, *, text_col: str = "text") -> DataFrame:
+    """docs with the counts before and after the edits that `find` gives for each whole text: the steps of with_trees and with_edits
+    in one task, for callers that keep neither trees nor edited texts.
+
+    New columns: n_chars_before, n_tokens_before, n_leaves, n_edits, n_encoded, n_tokens. A NULL text counts as empty.
+    """
+    settings = settings or Settings()
+    ranks = _ranks(docs.sparkSession, settings)
+    names = ("n_chars_before", "n_tokens_before", "n_leaves", "n_edits", "n_encoded", "n_tokens")
+
+    @F.pandas_udf(", ".join(f"{n} long" for n in names))
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(ranks.value)
+        for batch in batches:
+            rows = []
+            for text in batch:
+                ends = cut(text, settings.leaf)
+                tree = summed(encoder.counts([text[a:b] for a, b in zip([0, *ends], ends, strict=False)]))
+                edits = settled(find(text), len(text))
+                _, left, after, encoded = recounted(text, ends, tree, edits, encoder, settings.leaf)
+                rows.append((len(text), tree[1], len(left), len(edits), encoded, after[1]))
+            yield pd.DataFrame(rows, columns=names)
+
+    return docs.withColumn("_counts", count.asNondeterministic()(whole(docs[text_col]))).withColumns({n: F.col(f"_counts.{n}") for n in names}).drop("_counts")
+
+
 PERSONAL = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\+?\d[\d ().-]{7,}\d|[0-9a-f]{32,}")
 
 
+def personal(text: str, mark: str = "<removed>") -> list[tuple[int, int, str]]:
+    """The edits that take e-mail addresses, long numbers and long hex runs out of a text."""
+    return [(m.start(), m.end(), mark) for m in PERSONAL.finditer(text)]
+
+
 def personal_edits(docs: DataFrame, *, text_col: str = "text", edits_col: str = "edits", mark: str = "<removed>") -> DataFrame:
-    """docs with the edits that take e-mail addresses, long numbers and long hex runs out of a text."""
+    """docs with the edits of `personal`."""
 
     @F.pandas_udf("array<struct<start int, end int, text string>>")
     def find(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: [{"start": m.start(), "end": m.end(), "text": mark} for m in PERSONAL.finditer(x)])
+        return texts.map(lambda x: [{"start": a, "end": b, "text": t} for a, b, t in personal(x, mark)])
 
     return docs.withColumn(edits_col, find.asNondeterministic()(whole(docs[text_col])))
