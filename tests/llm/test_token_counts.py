@@ -63,4 +63,7 @@ def test_frames(spark, encoder):
     for row in rows:
         assert row["n_tokens"] == (encoder.counts([row["text"]])[0] if row["text"] else 0)
     assert tc.with_edits(tc.personal_edits(tc.with_trees(no_docs(spark)))).count() == 0
+    through = tc.counted_through(edge_docs(spark), tc.personal).collect()
+    assert sorted((r["n_tokens"], r["n_edits"], r["n_encoded"]) for r in through) == sorted((r["n_tokens"], r["n_edits"], r["n_encoded"]) for r in rows)
+    assert tc.counted_through(no_docs(spark), tc.personal).count() == 0
     assert len(texts()) > 10
