@@ -140,6 +140,24 @@ def src_8(t: Inputs) -> DataFrame:
     return calls.point_lookup(t.calls, keys).select("call_id", "processing_status", "duration_sec")
 
 
+@query("src_8_existence", "select cast(doc_id as varchar) as call_id, cast(doc_id as varchar) in (select call_id from v_calls) as is_stored from labels")
+def src_8_existence(t: Inputs) -> DataFrame:
+    keys = t.labels.select(F.col("doc_id").cast("string").alias("call_id"))
+    return calls.existing(t.calls, keys)
+
+
+@query("src_8_token_window", """
+select w.unique_token, min(l.callid) as callid, count(l.callid) as deliveries
+from (select distinct unique_token, start_ts + case when length(callid) % 2 = 0 then interval '20' minute else interval '45' minute end as around from v_log_raw) w
+left join v_log_raw l on w.unique_token = l.unique_token and l.start_ts between w.around - interval '30' minute and w.around + interval '30' minute group by w.unique_token
+""")
+def src_8_token(t: Inputs) -> DataFrame:
+    """Half of the tokens are asked for too far from their time."""
+    late = F.when(F.length("callid") % 2 == 0, F.expr("INTERVAL 20 MINUTES")).otherwise(F.expr("INTERVAL 45 MINUTES"))
+    wanted = t.log_raw.select("unique_token", (F.col("start_ts") + late).alias("around"))
+    return calls.by_token(t.log_raw, wanted).select("unique_token", "callid", "deliveries")
+
+
 @query("prj_1_agent_side", "select callid, arrival, agent_extension, agent_display_name from s_sided")
 def prj_1(t: Inputs) -> DataFrame:
     return sided(t).select("callid", "arrival", "agent_extension", "agent_display_name")

@@ -219,6 +219,26 @@ def point_lookup(calls: DataFrame, keys: DataFrame, key: str = "call_id") -> Dat
     return calls.join(keys.select(key), key, "left_semi")
 
 
+def existing(calls: DataFrame, keys: DataFrame, key: str = "call_id") -> DataFrame:
+    """``keys`` with ``is_stored``: whether there is a row of that key."""
+    stored = calls.select(key).distinct().withColumn("is_stored", F.lit(True))
+    return keys.join(stored, key, "left").withColumn("is_stored", F.coalesce("is_stored", F.lit(False)))
+
+
+def by_token(log: DataFrame, wanted: DataFrame, minutes: int = K.TOKEN_WINDOW_MINUTES, token: str = "unique_token",
+             at: str = "start_ts") -> DataFrame:
+    """The log row of each ``wanted(token, around)`` that starts within the minutes around; ``deliveries`` of it.
+
+    Of several the first counts, by start and then call id.  A wanted token without a row has NULL fields and no deliveries.
+    """
+    pad = F.expr(f"INTERVAL {minutes} MINUTES")
+    asked = wanted.select(token, "around").distinct()
+    near = asked.join(log.select(token, at, "callid"), token).where(F.col(at).between(F.col("around") - pad, F.col("around") + pad))
+    first = near.groupBy(token, "around").agg(F.min(F.struct(at, "callid")).alias("_row"), F.count("*").alias("deliveries"))
+    return (asked.join(first, [token, "around"], "left")
+            .select(token, "around", "_row.callid", F.col(f"_row.{at}").alias(at), F.coalesce("deliveries", F.lit(0)).cast("bigint").alias("deliveries")))
+
+
 def list_calls(calls: DataFrame, agent: str | None = None, status: str | None = None,
                start: Column | None = None, end: Column | None = None, limit: int | None = None) -> DataFrame:
     """Newest first, filtered; without a window there is no time filter."""

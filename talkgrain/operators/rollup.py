@@ -159,6 +159,11 @@ def leaderboard(spans: DataFrame, by: str = "score_mean", step: float = 0.01) ->
     return rank_descending(cut(spans.where(F.col(by).isNotNull())), by, F.floor(F.col(by) / step))
 
 
+def rows_of(rollups: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Stored rows by key and day; stored by ``date_key``, only the wanted days are read."""
+    return rollups.join(wanted.select("pk", "date_key").distinct(), ["pk", "date_key"], "left_semi")
+
+
 def rebuild_days(calls_keyed: DataFrame, days: DataFrame) -> DataFrame:
     """Fresh roll-up rows of the touched days only, in one job."""
     touched = days.select("date_key").where(F.col("date_key") != "").distinct()
