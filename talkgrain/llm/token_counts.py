@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.llm.shared import stretches, whole
+from talkgrain.llm.shared import whole
 
 # Fixed value: how the byte-level vocabulary splits a text into pre-tokens.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -44,7 +44,7 @@ class Encoder:
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
     def counts(self, texts: list[str]) -> list[int]:
-        return [len(x) for own in stretches(texts) for x in self.encoding.encode_ordinary_batch(texts[own], num_threads=1)]
+        return [len(self.encoding.encode_ordinary(x)) for x in texts]  # a batch call would start a pool of threads each time
 
 
 def cut(text: str, leaf: int) -> list[int]:
