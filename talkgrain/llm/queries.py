@@ -54,11 +54,8 @@ def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 def op6_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     """Documents scored for likeness to those rated well written and clean."""
     docs, labels = _table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "labels")
-    good = labels.where("quality = 1 and toxic = 0").select("doc_id", F.lit(True).alias("good")).distinct()
-    # ratings grow with the documents: joined by a shuffle at every size, never broadcast
-    told = docs.join(good.hint("merge"), "doc_id", "left")
-    table = cross_entropy.train(told, told["good"])
-    return cross_entropy.scored(docs, table).select("doc_id", "n_words", "target_loss", "background_loss", "loss_difference")
+    good = labels.where("quality = 1 and toxic = 0").select("doc_id")
+    return cross_entropy.compared(docs, good).select("doc_id", "n_words", "target_loss", "background_loss", "loss_difference")
 
 
 def graded(labels: DataFrame) -> DataFrame:
