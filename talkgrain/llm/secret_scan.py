@@ -1,7 +1,7 @@
 """Secret scans: patterns, and assignment-aware lexing.
 
-Three patterns find assignments, access keys and long hex runs. On top of them each line that holds an assignment is lexed into
-name-literal pairs; constants are propagated through names and concatenations; a literal that reaches a sensitive name is scored
+Three patterns find assignments, access keys and long hex runs. On top of them each line that holds an assignment is lexed, and the
+value is read on over line breaks, into name-literal pairs; constants are propagated through names and concatenations; a literal that reaches a sensitive name is scored
 by that name and by its own strength.
 """
 
@@ -40,6 +40,17 @@ LEXEME = re.compile(
     r"""|(?P<name>[^\W\d][\w$]*(?:[.-][^\W\d][\w$]*)*)"""
     r"""|(?P<set>:=|=>|(?<![=!<>])=(?!=)|:(?!//))|(?P<plus>\+)|(?P<close>\])|(?P<open>\[)|(?P<rest>[^\s])"""
 )
+# A literal where a value is read: also over lines.
+LITERAL = re.compile(
+    r"""(?i:[rbuf]{0,2})(?:(?P<triple>\"{3}|'{3})(?P<long>(?:\\[\s\S]|(?!(?P=triple))[\s\S])*+)(?P=triple)"""
+    r"""|"(?P<double>(?:[^"\\\n]|\\[\s\S])*+)"|'(?P<single>(?:[^'\\\n]|\\[\s\S])*+)'|`(?P<back>[^`]*+)`)"""
+)
+GAP, BREAK = re.compile(r"[^\S\n]*"), re.compile(r"(?:\s|\\\r?\n)*")
+NAME = re.compile(r"[^\W\d][\w$]*(?:[.-][^\W\d][\w$]*)*")
+ASSIGNED = re.compile(r"\s*(?::=|=>|=(?!=)|:(?!//))")
+OWN_LINE = re.compile(r"""[^\s"'`,;(){}\[\]<>#]+(?=[^\S\n]*(?:\n|\Z))""")
+KEY = re.compile(r"[\w.-]+(?::|=[^=])|[^=]*:$")
+TYPE_WORDS = frozenset("str string String int integer Integer long float double bool boolean Boolean char byte bytes any Any object Object auto var let const None null Optional Final".split())
 BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>#]+""")
 NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
@@ -117,11 +128,13 @@ def pair_spans(text: str, settings: Settings) -> list[tuple[int, int, int, int,
     found: list[tuple[int, int, int, int, int]] = []
     for start, end in _lines(text):
         lexemes = [(m.lastgroup, m.start(), m.end()) for m in LEXEME.finditer(text, start, end)]
+        typed = {colon: k for k in range(len(lexemes)) if (colon := _colon(text, lexemes, k))}
+        names = {k: colon for colon, k in typed.items()}
         for k, (kind, _, after) in enumerate(lexemes):
-            if kind != "set" or not k:
+            if kind != "set" or not k or k in typed:
                 continue
-            target = _target(text, lexemes, k)
-            value = _value(text, lexemes, k, after, end, known, settings) if target else None
+            target = _target(text, lexemes, names.get(k, k))
+            value = _value(text, after, end, known, settings) if target else None
             if value is None:
                 continue
             known[target] = value
@@ -131,36 +144,97 @@ def pair_spans(text: str, settings: Settings) -> list[tuple[int, int, int, int,
     return sorted(set(found), key=lambda x: (x[1], x[2]))
 
 
+def _colon(text: str, lexemes: list, k: int) -> int:
+    """Where `name : type` before the equals sign at k has its colon; 0 if there is no type."""
+    kind, start, end = lexemes[k]
+    if kind != "set" or text[start:end] != "=":
+        return 0
+    depth, named = 0, False
+    for j in range(k - 1, 0, -1):
+        kind, start, end = lexemes[j]
+        sign = text[start:end]
+        if kind == "set":
+            return j if sign == ":" and not depth and j < k - 1 and lexemes[j - 1][0] in ("name", "text") else 0
+        depth += (sign in "])>") - (sign in "[(<") if kind in ("open", "close", "rest") else 0
+        if depth < 0 or not depth and (kind in ("text", "plus") or kind == "rest" and sign not in "|<>()?&*!" or kind == "name" and named):
+            return 0
+        named = kind == "name"
+    return 0
+
+
 def _target(text: str, lexemes: list, k: int) -> str:
-    """The name on the left of an assignment: a name, a quoted key, or a quoted subscript."""
+    """The name on the left of an assignment: a name, a quoted key, or a quoted subscript; never a word for a type."""
     kind, start, end = lexemes[k - 1]
     if kind == "close" and k >= 3 and lexemes[k - 3][0] == "open":
         kind, start, end = lexemes[k - 2]
+    elif kind == "name" and text[start:end] in TYPE_WORDS:
+        kind, start, end = lexemes[k - 2] if k >= 2 and lexemes[k - 2][0] == "name" else ("", 0, 0)
+        kind = "" if text[start:end] in TYPE_WORDS else kind
     return text[start:end] if kind == "name" else text[start + 1 : end - 1] if kind == "text" else ""
 
 
-def _value(text: str, lexemes: list, k: int, after: int, end: int, known: dict[str, Value], settings: Settings) -> Value | None:
-    """Literals and known names on the right, joined by plus signs."""
+def _literal(m: re.Match) -> Value:
+    """A literal; one of several lines as its lines, joined if no line has spaces."""
+    group = next(g for g in ("long", "double", "single", "back") if m[g] is not None)
+    inner, start = m[group], m.start(group)
+    if "\n" not in inner and group != "long":
+        return Value(inner, start, m.end(group), True)
+    lines = []
+    for line in re.finditer(r"[^\n]+", inner):
+        own = line[0].rstrip().removesuffix("\\").rstrip()
+        skip = len(own) - len(own.lstrip())
+        if own.strip():
+            lines.append(Value(own.strip(), start + line.start() + skip, start + line.start() + len(own), True))
+    if len(lines) == 1:
+        return lines[0]
+    joined = "".join(x.text for x in lines)
+    return Value(None if any(c.isspace() for c in joined) else joined, quoted=True, parts=tuple(lines))
+
+
+def _value(text: str, after: int, end: int, known: dict[str, Value], settings: Settings) -> Value | None:
+    """Literals and known names on the right, on the same line or after line breaks and opening brackets: joined by plus signs or side
+    by side, and in brackets also one by one."""
+    at, depth = BREAK.match(text, after).end(), 0
+    while at < len(text) and text[at] in "([":
+        depth, at = depth + 1, BREAK.match(text, at + 1).end()
+    broken = at > end and not depth
+    values: list[Value] = []
     parts: list[Value] = []
-    at = k + 1
-    while at < len(lexemes):
-        kind, start, stop = lexemes[at]
-        if kind == "text":
-            parts.append(Value(text[start + 1 : stop - 1], start + 1, stop - 1, True))
-        elif kind == "name" and text[start:stop] in known:
-            parts.append(known[text[start:stop]])
-        else:
-            break
-        if at + 1 < len(lexemes) and lexemes[at + 1][0] == "plus":
-            at += 2
+    joins = True
+    while at < len(text):
+        if m := LITERAL.match(text, at):
+            one = _literal(m)
+        elif joins and (m := NAME.match(text, at)) and m[0] in known:
+            one = known[m[0]]
         else:
             break
-    if not parts:
-        skip = after
-        while skip < end and text[skip] in " \t":
-            skip += 1
-        bare = BARE.match(text, skip, end)
-        return Value(bare[0], bare.start(), bare.end()) if bare else None
+        if (broken or not joins and "\n" in text[stop:at]) and ASSIGNED.match(text, m.end()):
+            break  # the key of the next assignment
+        parts.append(one)
+        stop = m.end()
+        at = BREAK.match(text, stop).end()
+        if joins := text.startswith("+", at) and not text.startswith(("+=", "++"), at):
+            at = BREAK.match(text, at + 1).end()
+        elif depth and text.startswith(",", at):
+            values.append(_joined(parts, settings))
+            parts, joins, at = [], True, BREAK.match(text, at + 1).end()
+        elif not depth:
+            beside = GAP.match(text, stop).end()
+            if not (text.startswith("\\\n", beside) or beside == at):
+                break
+    if parts:
+        values.append(_joined(parts, settings))
+    if values:
+        return values[0] if len(values) == 1 else Value(None, quoted=True, parts=tuple(values))
+    if not broken:
+        bare = BARE.match(text, at) if depth else BARE.match(text, GAP.match(text, after, end).end(), end)
+    else:
+        bare = OWN_LINE.match(text, at)
+        bare = bare if bare and not KEY.match(bare[0]) else None
+    return Value(bare[0], bare.start(), bare.end()) if bare else None
+
+
+def _joined(parts: list[Value], settings: Settings) -> Value:
     if len(parts) == 1:
         return parts[0]
     texts = [p.text for p in parts]

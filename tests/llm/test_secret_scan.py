@@ -76,3 +76,35 @@ def test_whole_table(spark):
     rows = ss.scanned(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
     assert all(r["base_sha256"] == hashlib.sha256(plain(r["text"]).encode()).hexdigest() for r in rows)
     assert sum(r["n_assign"] for r in rows) > 5
+
+
+@pytest.mark.parametrize("text, literals", [
+    ('password: str = "Zk39fQx81bTrW"', ["Zk39fQx81bTrW"]),
+    ('const token: string = "Zk39fQx81bTrW";', ["Zk39fQx81bTrW"]),
+    ('token: Optional[str] | None = "Zk39fQx81bTrW"', ["Zk39fQx81bTrW"]),
+    ('token: Dict[str, str] = "Zk39fQx81bTrW"', ["Zk39fQx81bTrW"]),
+    ('var token string = "Zk39fQx81bTrW"', ["Zk39fQx81bTrW"]),
+    ('region: str = "us-east-1"\ntoken: str = "Zk39fQx81bTrW"', ["Zk39fQx81bTrW"]),
+    ('def f(region: str = "us-east-1", token: str = "Zk39fQx81bTrW"):', ["Zk39fQx81bTrW"]),
+    ('password = \\\n    "Zk39fQx81bTrW"', ["Zk39fQx81bTrW"]),
+    ('"password":\n  "Zk39fQx81bTrW"', ["Zk39fQx81bTrW"]),
+    ("password:\n  Zk39fQx81bTrW\n", ["Zk39fQx81bTrW"]),
+    ('password = ("Zk39fQx81bTrW")', ["Zk39fQx81bTrW"]),
+    ('password = (\n  "Zk39fQx8"\n  "1bTrW7yU"\n)', ["Zk39fQx8", "1bTrW7yU"]),
+    ('password = "Zk39fQx8" "1bTrW7yU"', ["Zk39fQx8", "1bTrW7yU"]),
+    ('password = "Zk39fQx8" +\n  "1bTrW7yU"', ["Zk39fQx8", "1bTrW7yU"]),
+    ('password = """Zk39fQx81bTrW"""', ["Zk39fQx81bTrW"]),
+    ('password = """\n  Zk39fQx81bTrW\n"""', ["Zk39fQx81bTrW"]),
+    ("key = \'\'\'\n-----BEGIN KEY-----\nZk39fQx81bTrWmmA\n\'\'\'", ["Zk39fQx81bTrWmmA"]),
+    ("secret = `Zk39fQx8\n1bTrW7yU`", ["Zk39fQx8", "1bTrW7yU"]),
+    ('tokens = 1\ntoken = ["Zk39fQx81bTrW", "qP55sLm20vNcX"]', ["Zk39fQx81bTrW", "qP55sLm20vNcX"]),
+    ('password:\n  "colour": "9f8e7d6c5b4a"', []), ("password:\n  colour: 9f8e7d6c5b4a\n", []), ('password = ""\n"9f8e7d6c5b4a"', []),
+    ('colour: str = "9f8e7d6c5b4a"', []), ("token: str\n", []),
+])
+def test_forms_of_assignment(text, literals):
+    assert [text[a:b] for _, a, b, _, _ in ss.pair_spans(text, SETTINGS)] == literals
+
+
+def test_long_texts_of_marks_stay_linear():
+    for text in ('a = (\n' * 20_000, 'a: ' * 20_000, 'token = """' * 5_000, "x = `" * 20_000 + "\n", "a:\n" * 20_000):
+        ss.pair_spans(text, SETTINGS)
