@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkgrain.llm import cross_entropy, decontamination, graded_quality, html_wrappers, ngram_join, packing, quality_rules, secret_scan, token_counts, warc_fixity
+from talkgrain.llm import cross_entropy, decontamination, filter_audit, graded_quality, html_wrappers, ngram_join, packing, quality_rules, secret_scan, token_counts, warc_fixity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -91,6 +91,11 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of five filters removes, in every order of them, by source."""
+    return filter_audit.audited(filter_audit.failures(_table(spark, folder, "documents"), _table(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 def _quoted(pattern: str) -> str:
@@ -165,4 +171,33 @@ select * from (
 where status is not null"""
 
 
-ORACLES: dict[str, str] = {"op1_quality_rules": quality_sql(quality_rules.Rules()), "op4_warc_fixity": fixity_sql(warc_fixity.Settings())}
+def filter_audit_sql() -> str:
+    """op12 in DuckDB's SQL: every step of every order looks at every cell, without survivors carried along."""
+    words = _quoted(r"[^\x20\x09-\x0D]+")
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t, coalesce(source, '') as part, regexp_extract_all(coalesce(text, ''), {words}) as w from documents),
+m as (
+  select doc_id, part, (case when len(w) < {filter_audit.LEAST_WORDS} then 1 else 0 end) + (case when 100 * len(list_distinct(w)) < {filter_audit.LEAST_DISTINCT} * len(w) then 2 else 0 end)
+    + (case when 100 * len(regexp_extract_all(t, '[A-Z]')) > {filter_audit.MOST_CAPITALS} * length(t) then 4 else 0 end) + (case when regexp_matches(t, {_quoted(filter_audit.SIGNS)}) then 8 else 0 end)
+    + (case when doc_id > min(doc_id) over (partition by t) then 16 else 0 end) as mask
+  from d),
+cells as (
+  select part, mask, count(*) as n, count(*) filter (where doc_id in (select doc_id from labels where quality = 1)) as good, count(*) filter (where doc_id in (select doc_id from labels where toxic = 1)) as toxic
+  from m group by part, mask),
+f as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) x(name, bit)),
+orders as (
+  select a.name || b.name || c.name || d.name || e.name as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from f a, f b, f c, f d, f e where a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s as (select filter_order, step, bits[step] as bit, cast(coalesce(list_sum(bits[1 : step - 1]), 0) as bigint) as earlier from orders, range(1, 6) r(step)),
+told as (
+  select part, filter_order, s.step, bit, sum(n) filter (where mask & (earlier | bit) = 0) as kept, sum(n) filter (where mask & earlier = 0 and mask & bit <> 0) as removed,
+    sum(n) filter (where mask & earlier <> 0 and mask & bit <> 0) as redundant, sum(n) filter (where mask = bit) as unique_fails,
+    sum(good) filter (where mask & earlier = 0 and mask & bit <> 0) as good_lost, sum(toxic) filter (where mask & earlier = 0 and mask & bit <> 0) as toxic_lost
+  from s, cells group by all)
+select part, filter_order, cast(step as integer) as step, cast(coalesce(kept, 0) as bigint) as kept, cast(coalesce(removed, 0) as bigint) as removed, cast(coalesce(redundant, 0) as bigint) as redundant,
+  cast(coalesce(unique_fails, 0) as bigint) as unique_fails, cast(coalesce(good_lost, 0) as bigint) as good_lost, cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+  cast(coalesce(sum(removed) over (partition by part, bit), 0) as bigint) as shapley
+from told"""
+
+
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_sql(quality_rules.Rules()), "op4_warc_fixity": fixity_sql(warc_fixity.Settings()), "op12_filter_audit": filter_audit_sql()}
