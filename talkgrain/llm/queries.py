@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkgrain.llm import cross_entropy, decontamination, filter_audit, graded_quality, html_wrappers, ngram_join, packing, quality_rules, secret_scan, token_counts, warc_fixity
+from talkgrain.llm import cross_entropy, decontamination, filter_audit, graded_quality, html_wrappers, merkle_manifest, ngram_join, packing, quality_rules, secret_scan, token_counts, warc_fixity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -96,6 +96,11 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audited(filter_audit.failures(_table(spark, folder, "documents"), _table(spark, folder, "labels")))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Roots and proofs of all documents; every seventh or so is checked with a tampered leaf."""
+    return merkle_manifest.manifest(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op12_filter_audit": op12_filter_audit,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 def _quoted(pattern: str) -> str:
@@ -200,4 +206,43 @@ select part, filter_order, cast(step as integer) as step, cast(coalesce(kept, 0)
 from told"""
 
 
-ORACLES: dict[str, str] = {"op1_quality_rules": quality_sql(quality_rules.Rules()), "op4_warc_fixity": fixity_sql(warc_fixity.Settings()), "op12_filter_audit": filter_audit_sql()}
+def merkle_sql() -> str:
+    """op13 in DuckDB's SQL: all levels by a recursive query over whole levels, then siblings looked up by level."""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen(cast({value} as varchar)) || ':' || cast({value} as varchar), '-')"
+
+    def leaf(n_chars: str) -> str:
+        return "sha256(" + " || ".join([field("doc_id"), field("source"), field("lang"), field(n_chars), field("text")]) + ")"
+
+    def levels(name: str, start: str) -> str:
+        return f"""{name} as (
+  {start}
+  union all
+  select tree, level + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2 from {name} where n > 1 group by tree, level, i // 2, n)"""
+
+    def steps(name: str) -> str:
+        return f"""select x.tree, x.i, list(case when y.h is null then 'N' when y.i < x.i >> x.l then 'L' || y.h else 'R' || y.h end order by x.l) as path
+  from (select tree, i, unnest(range(0, height)) as l from {name} join (select tree, max(level) as height from {name} group by tree) t using (tree) where level = 0) x
+  left join {name} y on y.tree = x.tree and y.level = x.l and y.i = xor(x.i >> x.l, 1)
+  group by x.tree, x.i"""
+
+    crc = "list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint)), lambda r, c: list_reduce([xor(r, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end), cast(4294967295 as bigint))"
+    return f"""
+with recursive d as (
+  select doc_id, lang, {leaf("n_chars")} as leaf, case when doc_id is not null and xor({crc}, 4294967295) % 7 = 0 then {leaf("cast(n_chars as hugeint) + 1")} end as bad from documents),
+ranked as (select *, coalesce('1' || lang, '0') as tree, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by lang) as n from d),
+{levels("nodes", "select tree, 0 as level, cast(i as bigint) as i, leaf as h, cast(n as bigint) as n from ranked")},
+subs as (select tree as of, h, row_number() over (order by tree) - 1 as i, count(*) over () as n from nodes where n = 1),
+{levels("tops", "select '2' as tree, 0 as level, cast(i as bigint) as i, h, cast(n as bigint) as n from subs")},
+paths as ({steps("nodes")}),
+top_paths as ({steps("tops")}),
+proved as (
+  select doc_id, leaf, bad, subs.h as subroot, list_concat(coalesce(p.path, []), coalesce(t.path, [])) as path
+  from ranked r join subs on subs.of = r.tree left join paths p on p.tree = r.tree and p.i = r.i left join top_paths t on t.i = subs.i)
+select doc_id, leaf, subroot, root.h as root, sha256(coalesce(list_aggregate(list_transform(path, lambda s: s[2:]), 'string_agg', ''), '')) as proof_sha256,
+  list_reduce(path, lambda x, s: sha256(case s[1] when 'L' then s[2:] || x when 'R' then x || s[2:] else x end), coalesce(bad, leaf)) as folded_root, folded_root = root.h as verified
+from proved, (select h from tops where n = 1) root"""
+
+
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_sql(quality_rules.Rules()), "op4_warc_fixity": fixity_sql(warc_fixity.Settings()), "op12_filter_audit": filter_audit_sql(), "op13_merkle_manifest": merkle_sql()}
