@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkgrain.llm import cross_entropy, decontamination, filter_audit, graded_quality, html_wrappers, merkle_manifest, ngram_join, packing, quality_rules, secret_scan, token_counts, warc_fixity
+from talkgrain.llm import cross_entropy, decontamination, filter_audit, graded_quality, html_wrappers, license_rules, license_scan, merkle_manifest, ngram_join, packing, quality_rules, secret_scan, token_counts, warc_fixity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -91,6 +91,15 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan.scanned(_table(spark, folder, "documents").select("doc_id", "text"))
+    base, detections = F.col("base"), F.col("detections")
+    starts = F.transform(base, lambda h: h["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
+        license_scan.labels_of(base).alias("base_labels"), license_scan.labels_of(base, detections).alias("labels"), license_scan.score(base, detections).alias("score"))
+
+
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     """What each of five filters removes, in every order of them, by source."""
     return filter_audit.audited(filter_audit.failures(_table(spark, folder, "documents"), _table(spark, folder, "labels")))
@@ -112,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_license_scan": op11_license_scan,
     "op12_filter_audit": op12_filter_audit,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -177,6 +187,47 @@ select * from (
 where status is not null"""
 
 
+def license_sql() -> str:
+    """op11 in DuckDB's SQL: rules joined by keyword, hits settled one after another by a recursive query."""
+    def values(rules) -> str:
+        return ", ".join(f"({k}, {_quoted(r.label)}, {r.level}, {_quoted(r.keyword)}, {_quoted(license_scan.compiled(r.pattern))})" for k, r in enumerate(rules))
+
+    def hits(name: str, rules: str) -> str:
+        return f"""{name} as (
+  select row, rule, label, level, k - j as s, k - j + len(regexp_extract_all(ms[j + 1], '[^ ]+')) as e
+  from (
+    select row, rule, label, level, ms, unnest(range(0, len(places))) as j, unnest(places) as k
+    from (
+      select row, rule, label, level, regexp_extract_all(stream, pattern) as ms,
+        list_filter(list_transform(string_split_regex(regexp_replace(stream, '(' || pattern || ')', ' ' || chr(1) || ' \\1', 'g'), ' +'), lambda w, i: case when w = chr(1) then i - 2 end), lambda k: k is not null) as places
+      from d join {rules} on list_contains(words, keyword)) x
+    where len(ms) > 0) y)"""
+
+    scores = " ".join(f"when {level} then {value}" for level, value in license_scan.SCORES.items())
+    lower = f"translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}')"
+    return f"""
+with recursive rules(rule, label, level, keyword, pattern) as (values {values(license_rules.RULES)}),
+phrases(rule, label, level, keyword, pattern) as (values {values(license_rules.BASE)}),
+w as (select row_number() over () as row, doc_id, regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+d as materialized (select row, doc_id, words, ' ' || array_to_string(words, '  ') || ' ' as stream from w),
+{hits("b", "phrases")},
+{hits("h", "rules")},
+o as materialized (select *, row_number() over (partition by row order by s, e desc, level, rule) as k, count(*) over (partition by row) as n from h),
+sweep as (
+  select row, k, n, s as ps, e as pe, level as pl, label as pending, cast(null as varchar) as out_label, cast(null as integer) as out_level from o where k = 1
+  union all
+  select row, k, n, case when stays then ps else s end, case when stays then pe else e end, case when stays then pl else level end, case when stays then pending else label end,
+    case when follows then pending end, case when follows then pl end
+  from (select sweep.row, o.k, o.n, ps, pe, pl, pending, s, e, level, label, s >= pe or (level = pl and e > pe) as follows, not (s >= pe or (level = pl and e > pe)) and level >= pl as stays
+    from sweep join o on o.row = sweep.row and o.k = sweep.k + 1) x),
+kept as (select row, out_label as label, out_level as level from sweep where out_label is not null union all select row, pending, pl from sweep where k = n),
+bs as (select row, count(*) as n_base, min(s) as first_word, max(s) as last_word, string_agg(distinct label, ',' order by label) as base_labels from b group by row),
+ls as (select row, string_agg(distinct label, ',' order by label) as labels, min(level) as best from (select row, label, level from b union all select * from kept) x group by row)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_base, 0) as n_base, cast(first_word as bigint) as first_word, cast(last_word as bigint) as last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, cast(case best {scores} else 0 end as double) as score
+from d left join bs on bs.row = d.row left join ls on ls.row = d.row"""
+
+
 def filter_audit_sql() -> str:
     """op12 in DuckDB's SQL: every step of every order looks at every cell, without survivors carried along."""
     words = _quoted(r"[^\x20\x09-\x0D]+")
@@ -245,4 +296,7 @@ select doc_id, leaf, subroot, root.h as root, sha256(coalesce(list_aggregate(lis
 from proved, (select h from tops where n = 1) root"""
 
 
-ORACLES: dict[str, str] = {"op1_quality_rules": quality_sql(quality_rules.Rules()), "op4_warc_fixity": fixity_sql(warc_fixity.Settings()), "op12_filter_audit": filter_audit_sql(), "op13_merkle_manifest": merkle_sql()}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality_sql(quality_rules.Rules()), "op4_warc_fixity": fixity_sql(warc_fixity.Settings()),
+    "op11_license_scan": license_sql(), "op12_filter_audit": filter_audit_sql(), "op13_merkle_manifest": merkle_sql(),
+}
