@@ -452,26 +452,26 @@ def str_7(t: Inputs) -> DataFrame:
     return nested.select("doc_id", transcripts.redact_nested(F.col("d"), nested.schema["d"].dataType, K.REDACTION_EXEMPT_KEYS).alias("d")).select("doc_id", "d.text", "d.verbatim")
 
 
-def _last(stop: str) -> str:
+def last_place(stop: str) -> str:
     return f"case when contains(head, '{stop}') then length(head) - (strpos(reverse(head), '{stop[::-1]}') - 1) - {len(stop)} else -1 end"
 
 
 @query("str_8_shorten", f"""
 select doc_id, case when length(text) <= 400 then text when a >= 200 then trim(left(head, a + 1)) when b >= 200 then trim(left(head, b + 1)) when c >= 200 then trim(left(head, c + 1))
     else left(concat(rtrim(case when s >= 200 then left(head, s) else left(head, 399) end, ' ,;:-—–'), '…'), 400) end as text, (length(text) > 400) as trimmed
-from (select doc_id, text, head, {_last('. ')} as a, {_last('! ')} as b, {_last('? ')} as c, {_last(' ')} as s from (select doc_id, text, left(text, 400) as head from documents) x) y
+from (select doc_id, text, head, {last_place('. ')} as a, {last_place('! ')} as b, {last_place('? ')} as c, {last_place(' ')} as s from (select doc_id, text, left(text, 400) as head from documents) x) y
 """)
 def str_8(t: Inputs) -> DataFrame:
     return t.documents.select("doc_id", text.shorten("text", 400).alias("text"), (F.length("text") > 400).alias("trimmed"))
 
 
-_CITE = r"(?i)\s*[(\[]?\s*(?:at|in|on|by|from|during|see|through|across|over)?\s*turns?\s+\d+(?:(?:\s*(?:,|and|&|-|–)\s*)+\d+)*\s*[)\]]?"
+CITE = r"(?i)\s*[(\[]?\s*(?:at|in|on|by|from|during|see|through|across|over)?\s*turns?\s+\d+(?:(?:\s*(?:,|and|&|-|–)\s*)+\d+)*\s*[)\]]?"
 
 
 @query("str_9_turn_citations", rf"""
 select call_id, pos, case when cut = raw then raw else concat(upper(left(tidy, 1)), substr(tidy, 2)) end as text, (cut <> raw) as stripped
 from (select *, trim(regexp_replace(regexp_replace(cut, '\s{{2,}}', ' ', 'g'), '\s+([,.;:])', '\1', 'g')) as tidy
-  from (select call_id, pos, raw, regexp_replace(raw, '{_CITE}', ' ', 'g') as cut
+  from (select call_id, pos, raw, regexp_replace(raw, '{CITE}', ' ', 'g') as cut
     from (select call_id, pos, case when role = 'user' then text else concat('At turn ', pos, ' ', lower(text), ' (turns 3, ', pos, ' and 9), see turn 4. End.') end as raw from v_turns_raw) a) b) c
 """)
 def str_9(t: Inputs) -> DataFrame:

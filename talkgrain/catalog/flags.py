@@ -152,30 +152,6 @@ def jn_11(t: Inputs) -> DataFrame:
     return flags.unlinked_repeats(objections(t), turns(t), share=0.1)
 
 
-_CITED = """
-select r.call_id, f as field, x as turn from (
-  select call_id, unnest([turn_index, also_at, occurrences * 3, -1]) as x, unnest(['turn_index', 'occurrence_turns', 'evidence_turns', 'turn_index']) as f from v_report_flags) r where x is not null
-"""
-
-
-def cited(t: Inputs) -> DataFrame:
-    rows = t.report_flags.withColumns({"evidence": F.array(F.col("occurrences") * 3), "spread": F.array_compact(F.array("also_at")), "none": F.lit(-1)})
-    one = quality.citations(rows, {"turn_index": "turn_index"}, {"occurrence_turns": "spread", "evidence_turns": "evidence"})
-    return one.unionByName(quality.citations(rows, {"turn_index": "none"}, {}))
-
-
-@query("jsn_2_citations", f"select call_id, field, turn, count(*) as times from ({_CITED}) x group by 1, 2, 3")
-def jsn_2(t: Inputs) -> DataFrame:
-    return cited(t).groupBy("call_id", "field", "turn").agg(F.count("*").alias("times"))
-
-
-@query("jn_12_citation_bounds", f"""
-select distinct x.call_id, x.turn, z.n as total_turns from ({_CITED}) x join s_sizes z on x.call_id = z.call_id where x.turn <> -1 and (x.turn < 0 or x.turn >= z.n)
-""")
-def jn_12(t: Inputs) -> DataFrame:
-    return quality.out_of_bounds(cited(t), turns(t))
-
-
 # --- merging ------------------------------------------------------------------------
 def _merge_sql(source: str, name: str) -> None:
     """Steps of the merge of neighbouring flags: one flag after the other in turn order."""

@@ -246,6 +246,65 @@ select cast(l_orderkey as varchar(20)) as call_id,
 from lineitem
 """)
 
+_N, _T = "cast(length(text) as int)", "cast(turn as varchar(20))"
+_W = "concat(split_part(replace(text, chr(10), ' '), ' ', 2), '_', cast(length(text) % 97 as varchar(20)))"
+_LONG = "repeat(concat('{} ', " + _W + ", '. '), cast(1 + length(text) % {} as int))"
+_PICK = lambda values, base: _names(values, f"cast(length(text) % {base} as int)")
+_CLAIMS = "concat('{\"text\":\"', " + _W + ", '\",\"evidence_turns\":[', " + _T + ", ',', cast(length(text) % 9 as varchar(20)), ']}')"
+_QUOTE = "concat('{\"verbatim\":\"', " + _W + ", '\",\"turn_index\":', cast(length(text) % 8 - 1 as varchar(20)), '}')"
+
+
+def _json(**fields: str) -> str:
+    """SQL that writes a JSON object; values are SQL texts of JSON."""
+    parts = [f"'\"{name}\":', {value}" for name, value in fields.items()]
+    return "concat('{', " + ", ',', ".join(parts) + ", '}')"
+
+
+def _quote(sql: str) -> str:
+    return f"concat('\"', {sql}, '\"')"
+
+
+def _some(item: str, most: int) -> str:
+    """A list of 0 to most - 1 equal items."""
+    return f"concat('[', case when length(text) % {most} > 0 then concat({item}, repeat(concat(',', {item}), cast(length(text) % {most} - 1 as int))) else '' end, ']')"
+
+
+_REPORT = _json(
+    call_purpose=_CLAIMS,
+    customer_profile=_json(attempts_given="cast(length(text) % 4 - 1 as varchar(20))", decision_maker=_quote(_PICK(("self", "parent", "both", "uncle"), 4)), evidence_turns="'[]'", pet="'\"cat\"'"),
+    lead_relevance=_json(is_relevant="case when length(text) % 4 = 0 then 'false' else 'true' end", reason=_quote(_LONG.format("never a buyer", 60)), evidence_turns="'null'"),
+    call_continuity=_json(
+        is_follow_up="case when length(text) % 3 = 0 then 'true' else 'false' end", basis="'null'",
+        repeated_from_previous=_some(_json(criterion="'\"purpose_of_call\"'", what=_quote(_LONG.format("again", 40)), already_covered="'\"fees\"'", evidence_turns=f"concat('[', {_T}, ']')"), 14)),
+    discovery_quality=_json(questions_asked=_some(_quote(_LONG.format("asked which class", 40)), 15), evidence_turns="'[3]'"),
+    timeline=_some(_json(phase=_quote(_PICK(("opening", "coffee", "pitch"), 3)), start_turn="cast(length(text) % 6 - 1 as varchar(20))", end_turn=_T, mood="'{\"is\":[1]}'"), 3),
+    objections=_some(_json(
+        objection_type=_quote(_PICK(("price", "weather", "other"), 3)), quote=_QUOTE, repeated_at_turns=f"concat('[', {_T}, ',2]')", response_turn_indices="'[1,null,40]'",
+        handling_quality=_quote(_PICK(("ignored", "deflected", "laughed"), 3))), 3),
+    outcome_block=_json(
+        outcome=_quote(_PICK(("demo_agreed", "wrong_number", "eloped"), 3)), outcome_evidence_turns=f"concat('[', {_T}, ']')",
+        next_step=_json(action="'null'", evidence_turns="'[7]'", more="'{\"deep\":{\"er\":1}}'"), conversion_probability="case when length(text) % 5 = 0 then '1.5' else concat('0.', cast(length(text) % 5 as varchar(20))) end"),
+    scorecard=_json(
+        purpose_of_call=_json(reached="'true'", awarded="cast(length(text) % 13 - 1 as varchar(20))", justification=_quote(_LONG.format("said plainly at turn 3", 60)), evidence_turns=f"concat('[', {_T}, ']')"),
+        pitch_flow_order=_json(reached="'true'", awarded="'5'", introduction_first=_quote(_PICK(("held", "broken", "bent"), 3)), qualification_block="'\"held\"'"), humour="'{\"awarded\":10}'"),
+    compliance_flags=_some(_json(
+        flag_type=_quote(_PICK(("abusive_language", "yelling"), 2)), severity=_quote(_PICK(("low", "grave"), 2)), quote=_QUOTE, why_flagged="'\"at turn 4\"'",
+        occurrences="cast(length(text) % 3 as varchar(20))", occurrence_turns=f"concat('[', {_T}, ',-2]')"), 3),
+    coaching=_json(strengths=_some(_CLAIMS, 6), coaching_actions=_some(_json(action="'\"slow down\"'", criterion="'\"purpose_of_call\"'", evidence_turns="'[2]'"), 7), best_line="'null'", worst_line=_QUOTE),
+    sales_summary=_json(
+        auditor_note=_quote(_LONG.format("He was told in turns 3, 4 and 9 that", 30)), snapshot_points=_some(_quote(_LONG.format("paid at turn 5", 40)), 8), call_tone="'\"warm\"'",
+        call_in_brief=_quote(f"concat('At turn ', {_T}, ' ', {_W}, ' rang (turn 2), and left.')"), conversion_reasons=_some(_quote("'said yes, see turn 8'"), 6),
+        improvements=_some(_json(title=_quote("'Ask first'"), detail=_quote(_LONG.format("By turn 12 ask", 50))), 6), bottom_line=_quote(_LONG.format("stop", 300)),
+        carry_forward=_json(student_details=_some(_quote("concat('class ', " + _T + ")"), 12), open_threads=_some(_quote(_LONG.format("call back from turn 9", 30)), 10))),
+    sentiment_layer_agreement=_json(agrees="'true'", dismissed_turns="'[1]'"),
+    turn_range=f"concat('[', {_T}, ',', cast(length(text) % 50 as varchar(20)), case when length(text) % 3 = 0 then ',1' else '' end, ']')")
+
+# A report for each turn, with keys, values, sizes and citations that the schema allows and others that it does not.
+_view("v_report", "conversations", f"""
+select concat(cast(conv_id as varchar(20)), '-', cast(turn as varchar(20))) as call_id, cast(conv_id as varchar(20)) as of_call, turn, {_REPORT} as body
+from conversations
+""")
+
 
 class Inputs:
     """Driver tables and their views of one scale-factor folder."""

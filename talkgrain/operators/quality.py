@@ -100,9 +100,13 @@ def citations(documents: DataFrame, singles: dict[str, str], lists: dict[str, st
             .select("call_id", "c.field", "c.turn").where(F.col("turn").isNotNull()))
 
 
-def out_of_bounds(cited: DataFrame, turns: DataFrame) -> DataFrame:
-    """Cited turns outside the transcript, each once; the placeholder's -1 is allowed."""
-    sizes = turns.groupBy("call_id").agg(F.count("*").alias("total_turns"))
+def beyond(cited: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Cited turns outside the transcript, each once, by (call_id, total_turns); the placeholder's -1 is allowed."""
     distinct = cited.where(F.col("turn") != -1).select("call_id", "turn").distinct()
     return (distinct.join(sizes, "call_id").where((F.col("turn") < 0) | (F.col("turn") >= F.col("total_turns")))
             .select("call_id", "turn", "total_turns"))
+
+
+def out_of_bounds(cited: DataFrame, turns: DataFrame) -> DataFrame:
+    """``beyond`` with the sizes counted from the turns."""
+    return beyond(cited, turns.groupBy("call_id").agg(F.count("*").alias("total_turns")))
