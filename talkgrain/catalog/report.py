@@ -119,10 +119,7 @@ from (select *, {last_place('. ')} as a, {last_place('! ')} as b, {last_place('?
 """)
 def str_8_log(t: Inputs) -> DataFrame:
     """What was cut where, and what stands there afterwards."""
-    cut = report.trimmed(reports(t))
-    texts = places.gathered(F.col("report"), schemas.REPORT, lambda n, k: n in _CAPPED, lambda path, n, v: F.struct(path.alias("path"), v.alias("text")))
-    logged = cut.select("call_id", F.explode("trims").alias("l")).select("call_id", "l.*")
-    return logged.join(cut.select("call_id", F.explode(texts).alias("x")).select("call_id", "x.*"), ["call_id", "path"]).select("call_id", "path", "field", "was", "cap", "text")
+    return report.trimmed(reports(t)).select("call_id", F.explode("trims").alias("l")).select("call_id", "l.*")
 
 
 _SUMMARY_TEXTS = [n for n, k in places.leaves(schemas.REPORT) if n.startswith("sales_summary.")]

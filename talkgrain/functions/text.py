@@ -121,15 +121,15 @@ def _rfind(text: Column, needle: str) -> Column:
     return F.length(text) - F.length(tail) - F.lit(len(needle))
 
 
-def shorten(value: Column | str, cap: int) -> Column:
+def shorten(value: Column | str, cap: int | Column) -> Column:
     """Fit text into ``cap`` characters: at a sentence end, else a word end, else a hard cut."""
-    text = _col(value)
-    head = F.substring(text, 1, cap)
-    half = cap // 2
+    text, most = _col(value), F.lit(cap) if isinstance(cap, int) else cap
+    head = F.left(text, most)
+    half = F.lit(cap // 2) if isinstance(cap, int) else F.floor(most / 2)
     space = _rfind(head, " ")
-    cut = F.when(space >= half, F.left(head, space)).otherwise(F.left(head, F.lit(cap - 1)))
-    hard = F.left(F.concat(F.regexp_replace(cut, r"[ ,;:\-—–]+$", ""), F.lit("…")), F.lit(cap))
-    result = F.when(F.length(text) <= cap, text)
+    cut = F.when(space >= half, F.left(head, space)).otherwise(F.left(head, most - 1))
+    hard = F.left(F.concat(F.regexp_replace(cut, r"[ ,;:\-—–]+$", ""), F.lit("…")), most)
+    result = F.when(F.length(text) <= most, text)
     for stop in (". ", "! ", "? ", "। "):
         at = _rfind(head, stop)
         result = result.when(at >= half, strip(F.left(head, at + 1)))

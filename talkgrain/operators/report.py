@@ -40,15 +40,20 @@ def cap_of(name: str) -> int | None:
 
 
 def trimmed(reports: DataFrame, report: str = "report", log: str = "trims") -> DataFrame:
-    """Texts over their cap made to fit, entries of lists too, and a log: (path, field, characters, cap)."""
-    def change(name: str, _: T.DataType):
-        cap = cap_of(name)
+    """Texts over their cap made to fit, entries of lists too, and a log: (path, field, characters, cap, the new text)."""
+    def change(name: str, leaf: T.DataType):
+        cap = cap_of(name) if isinstance(leaf, T.StringType) else None
         return None if cap is None else lambda value: text.shorten(value, cap)
 
-    caps = F.create_map(*[F.lit(x) for name, kind in places.leaves(schemas.REPORT) if isinstance(kind, T.StringType) and cap_of(name) for x in (name, cap_of(name))])
-    new, changes = places.with_changes(F.col(report), schemas.REPORT, change)
-    notes = F.transform(changes, lambda c: F.struct(c["path"].alias("path"), c["field"].alias("field"), F.length(c["before"]).cast("bigint").alias("was"), caps[c["field"]].cast("bigint").alias("cap")))
-    return reports.withColumns({report: new, log: notes})
+    def entry(path: Column, name: str, value: Column) -> Column:
+        return F.struct(path.alias("path"), F.lit(name).alias("field"), F.length(value).cast("bigint").alias("was"), F.lit(cap_of(name)).cast("bigint").alias("cap"), value.alias("text"))
+
+    def cut(e: Column) -> Column:
+        return e.withField("text", text.shorten(e["text"], e["cap"].cast("int")))
+
+    capped = places.gathered(F.col(report), schemas.REPORT, lambda name, leaf: change(name, leaf) is not None, entry)
+    over = F.transform(F.filter(capped, lambda e: e["was"] > e["cap"]), cut)
+    return reports.withColumns({report: places.rewritten(F.col(report), schemas.REPORT, change), log: over})
 
 
 def scrubbed(reports: DataFrame, report: str = "report", log: str = "scrubs") -> DataFrame:
