@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from talkgrain import constants as K
 from talkgrain.functions import marks, text
-from talkgrain.plans import ordered
+from talkgrain.plans import ordered, scan
 from talkgrain.plans.lookup import first_containing
 from talkgrain.plans.similarity import overlapping_pairs
 
@@ -93,42 +93,32 @@ def reanchor(flags: DataFrame, turns: DataFrame) -> DataFrame:
             .drop("_found"))
 
 
-def merge_neighbours(flags: DataFrame, gap: int = K.MERGE_GAP_TURNS, width: int | None = ordered.AUTO) -> DataFrame:
+def merge_neighbours(flags: DataFrame, gap: int = K.MERGE_GAP_TURNS, width: int = scan.WIDTH) -> DataFrame:
     """Flags of one category within ``gap`` turns of the first become one finding.
 
     Rows carry ``turn``, ``seq`` (order of arrival), ``category``, ``severity``, ``source``,
     ``reason`` and ``also_at_turns``.  In turn order, a flag joins the finding before it if the
     category is the same and its turn is at most ``gap`` past that finding's first turn.
 
-    A flag surely starts a finding when the flag before it has another category or is further away
-    than ``gap``; that splits a call into runs.  Inside a run only the distinct turns decide.
+    One ordered scan finds the finding of each flag, by its first flag's turn and order of arrival.
     """
-    return ordered.by_size(flags, ["call_id"], lambda rows, width: _merge_neighbours(rows, gap, width), width)
-
-
-def _merge_neighbours(flags: DataFrame, gap: int, width: int | None) -> DataFrame:
-    order = ["turn", "seq"]
-    prior = ordered.previous(flags.withColumn("_c", F.coalesce("category", F.lit(""))),
-                             ["call_id"], "turn", ["_c", "turn"], width, order)
-    breaks = F.col("prev_turn").isNull() | (F.col("prev__c") != F.col("_c")) | (F.col("turn") - F.col("prev_turn") > gap)
-    runs = ordered.islands(prior.withColumn("_breaks", breaks), ["call_id"], "turn", width, starts="_breaks", out="run", order=order)
-    runs = anchored(runs, ["call_id", "run"], "turn", gap, "_anchor", width)
-    place = F.struct(*order)
+    if width <= gap:
+        raise ValueError("a block must be wider than the gap")
+    rows = flags.withColumn("_c", F.coalesce("category", F.lit("")))
+    finding = _findings(rows, gap, width)
+    own = ["call_id", "turn", "seq"]
+    tagged = rows.drop("_c").join(finding, own)
+    place = F.struct("turn", "seq")
+    is_first = (F.col("turn") == F.col("_anchor")) & (F.col("seq") == F.col("_first"))
     base = F.struct("category", "severity", "source", "reason", "seq", *[c for c in ("speaker", "phrase") if c in flags.columns])
     rank = F.coalesce(marks.severity_rank("severity"), F.lit(1))
     whole = F.when(F.coalesce("source", F.lit("")) != "conduct_scan", F.struct(place.alias("p"), F.coalesce("source", F.lit("whole_call")).alias("source")))
-    finding = ["call_id", "run", "_anchor"]
-    if width is None:
-        tagged = runs.withColumn("_first", F.min(place).over(Window.partitionBy(*finding)))
-    else:
-        tagged = runs.join(runs.groupBy(*finding).agg(F.min(place).alias("_first")), finding)
-    is_first = F.col("_first") == place
-    merged = tagged.groupBy("call_id", "run", "_anchor").agg(
+    merged = tagged.groupBy("call_id", "_anchor", "_first").agg(
         F.min_by(base, place).alias("b"), F.count("*").alias("flags_merged"),
         F.min_by(F.struct("severity"), F.struct((-rank).alias("r"), place.alias("p"))).alias("_worst"),
         F.max(F.when(~is_first, whole)).alias("_whole"))
     spread = _spread(tagged, is_first)
-    return (merged.join(spread, ["call_id", "run", "_anchor"], "left").select(
+    return (merged.join(spread, ["call_id", "_anchor", "_first"], "left").select(
         "call_id", F.col("_anchor").alias("turn"), *[F.col(f"b.{c}").alias(c) for c in ("seq", "category")],
         *[F.col(f"b.{c}").alias(c) for c in ("speaker", "phrase") if c in flags.columns],
         F.col("_worst.severity").alias("severity"),
@@ -139,83 +129,62 @@ def _merge_neighbours(flags: DataFrame, gap: int, width: int | None) -> DataFram
         F.coalesce("also", F.array().cast("array<bigint>")).alias("also_at_turns"), "flags_merged"))
 
 
+def _findings(rows: DataFrame, gap: int, width: int) -> DataFrame:
+    """(call_id, turn, seq, _anchor, _first) of each flag.
+
+    The state is the last finding: its category, and turn and seq of its first flag.  A block can be entered with a finding that
+    began 1 to ``gap`` turns before it, or with none that matters; its summary says what each of these makes of it, and the
+    category that such a finding must have to matter.
+    """
+    def walk(state, flags):
+        for turn, seq, category in flags:
+            if state is None or state[0] != category or turn - state[1] > gap:
+                state = (category, turn, seq)
+            yield turn, seq, state
+
+    def summarise(flags):
+        first, ends, taken = None, None, [True] * gap
+        for turn, seq, category in flags:
+            if first is None:
+                first = category
+                start = turn // width * width
+                ends = [(first, start - d, None) for d in range(1, gap + 1)] + [None]
+            for k, end in enumerate(ends):
+                if end is None or end[0] != category or turn - end[1] > gap:
+                    ends[k] = (category, turn, seq)
+                    if k < gap:
+                        taken[k] = False
+        # For each finding before the block: whether it goes on to the block's end, and else what the block ends with.
+        return first, start, [dict(open=k < gap and taken[k], category=e[0], turn=e[1], seq=e[2]) for k, e in enumerate(ends)]
+
+    def enter(state, summary):
+        first, start, ends = summary
+        back = start - state[1] if state is not None and state[0] == first else 0
+        end = ends[back - 1] if 0 < back <= gap else ends[gap]
+        return state if end["open"] else (end["category"], end["turn"], end["seq"])
+
+    def apply(state, flags):
+        for turn, seq, (_, anchor, first) in walk(state, flags):
+            yield turn, seq, anchor, first
+
+    return scan.scanned(
+        rows, ["call_id"], "turn", ["turn", "seq"], ["turn", "seq", "_c"], width=width, summarise=summarise, enter=enter, apply=apply,
+        summary="first string, start bigint, ends array<struct<open boolean, category string, turn bigint, seq bigint>>",
+        state="category string, turn bigint, seq bigint", schema="turn bigint, seq bigint, _anchor bigint, _first bigint")
+
+
 def _spread(tagged: DataFrame, is_first: Column) -> DataFrame:
     """The other turns of each finding: those folded in and those its first flag listed.
 
     A turn that anchors a finding of its own is in no other finding's spread.
     """
-    named = tagged.select("call_id", "run", "_anchor", F.explode(F.concat(
+    finding = ["call_id", "_anchor", "_first"]
+    named = tagged.select(*finding, F.explode(F.concat(
         F.when(is_first, F.coalesce("also_at_turns", F.array().cast("array<bigint>"))).otherwise(F.array("turn")),
         F.array().cast("array<bigint>"))).alias("_t")).where(F.col("_t").isNotNull() & (F.col("_t") != F.col("_anchor")))
     anchors = tagged.select("call_id", F.col("_anchor").alias("_t")).distinct()
     kept = named.distinct().join(anchors, ["call_id", "_t"], "left_anti")
-    return kept.groupBy("call_id", "run", "_anchor").agg(F.array_sort(F.collect_list("_t")).alias("also"))
-
-
-def anchored(df: DataFrame, keys: list[str], turn: str, gap: int, out: str, width: int | None = None) -> DataFrame:
-    """The first turn of the stretch each row is in: a stretch reaches ``gap`` turns past its first.
-
-    Where a stretch starts depends on where the one before began, so the distinct turns of a run
-    are folded in order.  Long runs are cut into blocks.  A block depends on the one before only
-    through how many of its first turns that one still covers, a number from 0 to ``gap``.  So each
-    block works out its answer for every such number, the answers are chained over the run's block
-    summaries, and each block then uses the right one.
-    """
-    if width is None:
-        stretch = F.struct(F.array().cast("array<bigint>").alias("a"), F.lit(None).cast("bigint").alias("at"))
-
-        def walk(acc: Column, t: Column) -> Column:
-            opens = acc["at"].isNull() | (t - acc["at"] > gap)
-            return F.struct(F.when(opens, F.concat(acc["a"], F.array(t))).otherwise(acc["a"]).alias("a"),
-                            F.when(opens, t).otherwise(acc["at"]).alias("at"))
-
-        begun = (df.groupBy(*keys).agg(F.array_sort(F.collect_set(turn)).alias("_turns"))
-                 .select(*keys, F.explode(F.aggregate("_turns", stretch, walk)["a"]).alias(turn), F.lit(1).alias("_s")))
-        started = df.join(begun, [*keys, turn], "left").withColumn("_start", F.when(F.col("_s").isNotNull(), F.col(turn))).drop("_s")
-        before = ordered.running_max(started, keys, turn, F.col("_start"), "_earlier")
-        return before.withColumn(out, F.coalesce("_start", "_earlier")).drop("_start", "_earlier")
-    if width <= gap:
-        raise ValueError("a block must be wider than the gap")
-    turns = ordered.with_block(df.select(*keys, turn).distinct(), turn, width)
-    blocks = turns.groupBy(*keys, "_block").agg(F.array_sort(F.collect_list(turn)).alias("_turns"))
-    zero = F.lit(None).cast("bigint")
-
-    def anchors_given(covered: Column) -> Column:
-        """Anchors of the block's turns when its first ``covered`` turns belong to the last stretch."""
-        free_from = F.col("_block") * width + covered
-        start = F.struct(F.array().cast("array<bigint>").alias("a"), zero.alias("at"))
-
-        def step(acc: Column, t: Column) -> Column:
-            opens = (t >= free_from) & (acc["at"].isNull() | (t - acc["at"] > gap))
-            return F.struct(F.when(opens, F.concat(acc["a"], F.array(t))).otherwise(acc["a"]).alias("a"),
-                            F.when(opens, t).otherwise(acc["at"]).alias("at"))
-
-        return F.aggregate("_turns", start, step)
-
-    answers = F.array(*[anchors_given(F.lit(c)) for c in range(gap + 1)])
-    end = (F.col("_block") + 1) * width
-    carried = F.transform("_answers", lambda r, i: F.when(
-        r["at"].isNotNull(), F.greatest(r["at"] + gap + 1 - end, F.lit(0)))
-        .otherwise(F.greatest(i + F.col("_block") * width - end, F.lit(0))))
-    blocks = blocks.withColumn("_answers", answers).withColumn("_carry", carried)
-    chain = (blocks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_block", "_carry"))).alias("_chain")))
-    begin = F.struct(F.array().cast("array<struct<b:bigint,c:bigint>>").alias("seen"),
-                     F.lit(0).cast("bigint").alias("c"), F.lit(-2).cast("bigint").alias("b"))
-
-    def link(acc: Column, item: Column) -> Column:
-        here = F.when(item["_block"] == acc["b"] + 1, acc["c"]).otherwise(F.lit(0).cast("bigint"))
-        entry = F.struct(item["_block"].alias("b"), here.alias("c"))
-        return F.struct(F.concat(acc["seen"], F.array(entry)).alias("seen"),
-                        F.element_at(item["_carry"], (here + 1).cast("int")).cast("bigint").alias("c"),
-                        item["_block"].alias("b"))
-
-    covered = (chain.select(*keys, F.explode(F.aggregate("_chain", begin, link)["seen"]).alias("_e"))
-               .select(*keys, F.col("_e.b").alias("_block"), F.col("_e.c").alias("_covered")))
-    starts = (blocks.join(covered, [*keys, "_block"])
-              .select(*keys, F.explode(F.element_at("_answers", (F.col("_covered") + 1).cast("int"))["a"]).alias(turn)))
-    opened = df.join(starts.withColumn("_start", F.col(turn)), [*keys, turn], "left")
-    before = ordered.running_max(opened, keys, turn, F.col("_start"), "_earlier", width)
-    return before.withColumn(out, F.coalesce("_start", "_earlier")).drop("_start", "_earlier")
+    return kept.groupBy(*finding).agg(F.array_sort(F.collect_list("_t")).alias("also"))
 
 
 def add_scan_flags(existing: DataFrame, scan: DataFrame) -> DataFrame:
@@ -238,30 +207,55 @@ def scan_flags_added(existing: DataFrame, merged: DataFrame, scan: DataFrame) ->
             .select("call_id", F.greatest(F.coalesce("has", F.lit(0)) - F.coalesce("had", F.lit(0)), F.lit(0)).alias("added")))
 
 
-def _segments(rows: DataFrame, keys: list[str], low: str, high: str, width: int | None) -> DataFrame:
-    """Number the groups of intervals that touch; intervals of different groups share no turn."""
-    order = ["_lo", "seq"]
-    reach = ordered.running_max(rows.withColumn("_lo", F.col(low)), keys, "_lo", F.col(high), "_reach", width, order)
-    starts = F.col("_reach").isNull() | (F.col("_lo") > F.col("_reach"))
-    found = ordered.islands(reach.withColumn("_starts", starts), keys, "_lo", width, starts="_starts", out="segment", order=order)
-    return found.drop("_lo", "_reach", "_starts")
-
+def _segments(rows: DataFrame, keys: list[str], low: str, high: str, width: int = scan.WIDTH) -> DataFrame:
+    """(keys, seq, segment) of intervals: those that touch, one by the other, are one segment, named by its first (low, seq).
 
-def dedupe_flags(flags: DataFrame, width: int | None = ordered.AUTO) -> DataFrame:
+    Intervals of different segments share no turn.  An ordered scan: the state is how far the intervals reach and the segment they are
+    in; a block's summary is how far it reaches and its last start by itself, which is a start if it lies beyond what came before.
+    """
+    def summarise(items):
+        reach = low_at = seq_at = None
+        for at, seq, end in items:
+            if reach is None or at > reach:
+                low_at, seq_at = at, seq
+            reach = end if reach is None else max(reach, end)
+        return reach, low_at, seq_at
+
+    def enter(state, summary):
+        reach, at, seq = summary
+        if state is None or at > state[0]:
+            return reach if state is None else max(reach, state[0]), at, seq
+        return max(reach, state[0]), state[1], state[2]
+
+    def apply(state, items):
+        for at, seq, end in items:
+            if state is None or at > state[0]:
+                state = (end if state is None else max(end, state[0]), at, seq)
+            else:
+                state = (max(end, state[0]), state[1], state[2])
+            yield seq, {"low": state[1], "seq": state[2]}
+
+    named = rows.select(*keys, "seq", F.col(low).cast("bigint").alias("_lo"), F.col(high).cast("bigint").alias("_hi"))
+    return scan.scanned(
+        named, keys, "_lo", ["_lo", "seq"], ["_lo", "seq", "_hi"], width=width, summarise=summarise, enter=enter, apply=apply,
+        summary="reach bigint, low bigint, seq bigint", state="reach bigint, low bigint, seq bigint", schema="seq bigint, segment struct<low bigint, seq bigint>")
+
+
+def dedupe_flags(flags: DataFrame, width: int = scan.WIDTH) -> DataFrame:
     """Merge flags of one type that share a turn, each into the first it meets.
 
     Rows carry ``seq``, ``flag_type``, ``severity``, ``turn_index``, ``occurrences`` and
     ``occurrence_turns``.  Not a transitive closure: a flag that joins two findings extends the
     first of them only.  Findings of different types or of turn ranges that do not touch cannot
-    meet, so the ordered fold runs per type and range of one call; a pile of flags on one turn
-    needs no fold at all.  All other columns (quote, reason, source) are those of the kept finding.
+    meet, so the ordered fold runs per type and range of one call, as a stream that knows the first
+    finding on each turn; a pile of flags on one turn needs no fold at all.  All other columns
+    (quote, reason, source) are those of the kept finding.
     """
-    if width == ordered.AUTO:
-        return ordered.by_size(flags, ["call_id", "flag_type"], dedupe_flags)
     turns = F.array_sort(F.array_distinct(F.concat(
         F.coalesce("occurrence_turns", F.array().cast("array<bigint>")), F.array("turn_index"))))
     rows = flags.withColumn("_turns", turns).withColumns({"_low": F.array_min("_turns"), "_high": F.array_max("_turns")})
-    rows = _segments(rows, ["call_id", "flag_type"], "_low", "_high", width)
+    told = ["call_id", "flag_type", "seq"]
+    rows = rows.join(_segments(rows, ["call_id", "flag_type"], "_low", "_high", width), told)
     keys = ["call_id", "flag_type", "segment"]
     rank = marks.severity_rank("severity")
     spans = rows.groupBy(*keys).agg((F.min("_low") == F.max("_high")).alias("_single"))
@@ -270,51 +264,47 @@ def dedupe_flags(flags: DataFrame, width: int | None = ordered.AUTO) -> DataFram
         F.min("seq").alias("seq"), F.max(rank).alias("_rank"), F.min_by("turn_index", "seq").alias("turn_index"),
         F.min_by("_turns", "seq").alias("occurrence_turns"), F.max("occurrences").alias("occurrences"),
         F.count("*").alias("flags_merged"))
-    entry = F.struct("seq", "turn_index", rank.alias("rank"), F.col("occurrences").cast("bigint").alias("occurrences"), F.col("_turns").alias("turns"),
-                     F.lit(1).cast("bigint").alias("n"))
-    empty = F.array().cast("array<struct<seq:bigint,turn_index:bigint,rank:bigint,occurrences:bigint,turns:array<bigint>,n:bigint>>")
-
-    def fold(kept: Column, flag: Column) -> Column:
-        meets = F.transform(kept, lambda k, i: F.when(F.arrays_overlap(k["turns"], flag["turns"]), i))
-        first = F.array_min(F.filter(meets, lambda i: i.isNotNull()))
-
-        def absorb(k: Column) -> Column:
-            union = F.array_sort(F.array_union(k["turns"], flag["turns"]))
-            return F.struct(k["seq"].alias("seq"), k["turn_index"].alias("turn_index"),
-                            F.greatest(k["rank"], flag["rank"]).alias("rank"),
-                            F.greatest(k["occurrences"], flag["occurrences"], F.size(union).cast("bigint")).alias("occurrences"),
-                            union.alias("turns"), (k["n"] + 1).alias("n"))
-
-        grown = F.transform(kept, lambda k, i: F.when(i == first, absorb(k)).otherwise(k))
-        return F.when(first.isNull(), F.concat(kept, F.array(flag))).otherwise(grown)
-
-    folded = (rows.where(~F.col("_single")).groupBy(*keys)
-              .agg(F.array_sort(F.collect_list(entry)).alias("_flags"))
-              .select(*keys, F.explode(F.aggregate("_flags", empty, fold)).alias("k"))
-              .select(*keys, "k.seq", F.col("k.rank").alias("_rank"), "k.turn_index",
-                      F.col("k.turns").alias("occurrence_turns"), "k.occurrences", F.col("k.n").alias("flags_merged")))
+
+    def fold(_, items):
+        findings, first_on = [], {}
+        for seq, turn, level, times, own in items:
+            met = [first_on[t] for t in own if t in first_on]
+            if met:
+                k = min(met)
+                found = findings[k]
+                found[4].update(own)
+                found[2] = max(found[2], level)
+                found[3] = max(found[3], times, len(found[4]))
+                found[5] += 1
+            else:
+                k = len(findings)
+                findings.append([seq, turn, level, times, set(own), 1])
+            for t in own:
+                first_on[t] = min(first_on.get(t, k), k)
+        for seq, turn, level, times, own, merged in findings:
+            yield seq, level, turn, sorted(own), times, merged
+
+    listed = rows.where(~F.col("_single")).withColumns({"_rank": F.coalesce(rank, F.lit(-1)).cast("bigint"), "_times": F.coalesce("occurrences", F.lit(0)).cast("bigint"), "_at": F.col("turn_index").cast("bigint")})
+    folded = scan.streamed(listed, keys, ["seq"], ["seq", "_at", "_rank", "_times", "_turns"],
+                           "seq bigint, _rank bigint, turn_index bigint, occurrence_turns array<bigint>, occurrences bigint, flags_merged bigint", fold)
     merged = (pile.withColumn("occurrences", F.when(F.col("flags_merged") > 1, F.greatest("occurrences", F.lit(1)))
                               .otherwise(F.col("occurrences")).cast("bigint"))
               .unionByName(folded).withColumn("severity", marks.severity_name("_rank")).drop("_rank", "segment"))
     rest = [c for c in flags.columns if c not in merged.columns]
     if not rest:
         return merged
-    told = ["call_id", "flag_type", "seq"]
     return merged.join(flags.groupBy(*told).agg(F.min(F.struct(*rest)).alias("_rest")), told, "left").select(*merged.columns, "_rest.*")
 
 
 def carry_over(report_flags: DataFrame, upstream: DataFrame, turns: DataFrame, dismissed: DataFrame,
-               width: int | None = ordered.AUTO) -> DataFrame:
+               width: int = scan.WIDTH) -> DataFrame:
     """What becomes of each upstream flag that the report may have missed.
 
     ``upstream`` rows carry ``seq``, ``stated``, ``speaker``, ``phrase``, ``category``, ``severity``,
     ``reason`` and ``also_at_turns``; ``dismissed`` holds (call_id, turn).  ``fate`` is ``covered``,
     ``dismissed``, ``not_conduct`` or ``carried``.  A carried flag covers its turns for the flags
     after it.
-
     """
-    if width == ordered.AUTO:
-        return ordered.by_size(upstream, ["call_id"], lambda rows, width: carry_over(report_flags, rows, turns, dismissed, width))
     sizes = turns.groupBy("call_id").agg(F.count("*").alias("_n"))
     spoken = turns.select("call_id", F.col("turn").cast("bigint").alias("turn"), F.col("text").alias("_text"))
     covered = (report_flags.select("call_id", F.explode(F.array_union(
@@ -343,7 +333,7 @@ def carry_over(report_flags: DataFrame, upstream: DataFrame, turns: DataFrame, d
     gone = F.coalesce("_thrown", "_thrown_stated", F.lit(False))
     judged = judged.withColumn("_state", F.when(F.coalesce("_covered", F.lit(False)), "covered").when(gone, "dismissed")
                                .when(~is_conduct("category"), "not_conduct").otherwise("open"))
-    fates = ordered.by_size(judged.select("call_id", "seq", "turn", "occurrence_turns", "_state"), ["call_id"], _fates, width)
+    fates = _fates(judged.select("call_id", "seq", "turn", "occurrence_turns", "_state"), width)
     final = judged.join(fates, ["call_id", "seq"]).join(spoken, ["call_id", "turn"], "left")
     return final.select(
         "call_id", "seq", "stated", "turn", "anchored", "fate", flag_type("category").alias("flag_type"),
@@ -352,38 +342,28 @@ def carry_over(report_flags: DataFrame, upstream: DataFrame, turns: DataFrame, d
         F.lit("sentiment_layer").alias("source"), "occurrence_turns")
 
 
-def _fates(judged: DataFrame, width: int | None) -> DataFrame:
+def _fates(judged: DataFrame, width: int) -> DataFrame:
     """(call_id, seq, fate) of judged flags, taken in order.
 
-    The flags of a call are folded.  Of a heavy call, the flags on one turn that may be carried are
-    first reduced to the earliest, as no other can be; what is left is cut into turn ranges that do
-    not touch, which do not affect each other, and each range is folded.
+    The flags on one turn that may be carried are first reduced to the earliest, as no other can be;
+    what is left is cut into turn ranges that do not touch, which do not affect each other, and each
+    range is folded as a stream that knows the covered turns.
     """
-    nothing = F.array().cast("array<bigint>")
-    if width is None:
-        def settle(acc: Column, f: Column) -> Column:
-            fate = (F.when(F.array_contains(acc["covered"], f["turn"]), "covered")
-                    .when(f["_state"] != "open", f["_state"]).otherwise("carried"))
-            covers = F.when(fate == "carried", F.array_union(acc["covered"], f["occurrence_turns"])).otherwise(acc["covered"])
-            return F.struct(covers.alias("covered"), F.array_append(acc["fates"], F.struct(f["seq"].alias("seq"), fate.alias("fate"))).alias("fates"))
-
-        begin = F.struct(nothing.alias("covered"), F.array().cast("array<struct<seq:bigint,fate:string>>").alias("fates"))
-        listed = judged.groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("seq", "turn", "occurrence_turns", "_state"))).alias("_list"))
-        return listed.select("call_id", F.explode(F.aggregate("_list", begin, settle)["fates"]).alias("f")).select("call_id", "f.seq", "f.fate")
     candidates = (judged.where(F.col("_state") == "open").groupBy("call_id", "turn")
                   .agg(F.min_by(F.struct("seq", "occurrence_turns"), "seq").alias("c"))
                   .select("call_id", "turn", F.col("c.seq").alias("seq"), F.col("c.occurrence_turns").alias("_occ"))
                   .withColumns({"_low": F.array_min("_occ"), "_high": F.array_max("_occ")}))
-    ranges = _segments(candidates, ["call_id"], "_low", "_high", width)
-    start = F.struct(nothing.alias("covered"), nothing.alias("taken"))
+    ranges = candidates.join(_segments(candidates, ["call_id"], "_low", "_high", width), ["call_id", "seq"])
 
-    def fold(acc: Column, c: Column) -> Column:
-        free = ~F.array_contains(acc["covered"], c["turn"])
-        return F.struct(F.when(free, F.array_union(acc["covered"], c["_occ"])).otherwise(acc["covered"]).alias("covered"),
-                        F.when(free, F.array_append(acc["taken"], c["seq"])).otherwise(acc["taken"]).alias("taken"))
+    def fold(_, items):
+        covered = set()
+        for seq, turn, own in items:
+            if turn not in covered:
+                covered.update(own)
+                yield (seq,)
 
-    taken = (ranges.groupBy("call_id", "segment").agg(F.array_sort(F.collect_list(F.struct("seq", "turn", "_occ"))).alias("_list"))
-             .select("call_id", F.explode(F.aggregate("_list", start, fold)["taken"]).alias("seq")).withColumn("_taken", F.lit(True)))
+    taken = scan.streamed(ranges, ["call_id", "segment"], ["seq"], ["seq", "turn", "_occ"], "taken bigint", fold).select(
+        "call_id", F.col("taken").alias("seq"), F.lit(True).alias("_taken"))
     covers = (judged.join(taken, ["call_id", "seq"], "left_semi").select("call_id", F.explode("occurrence_turns").alias("turn"), "seq")
               .groupBy("call_id", "turn").agg(F.min("seq").alias("_first_cover")))
     placed = judged.join(taken, ["call_id", "seq"], "left").join(covers, ["call_id", "turn"], "left")

@@ -1,12 +1,13 @@
 """Ordered helpers and folds: the plain and the blocked way against simple loops."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from talkgrain.operators import conversation, flags
-from talkgrain.plans import ordered
+from talkgrain.plans import ordered, scan
 
 WIDTHS = [None, 8]
 
@@ -115,25 +116,6 @@ def test_utterances(spark, width, seed):
     assert [tuple(map(str, g)) for g in got] == [tuple(map(str, w)) for w in sorted(want, key=lambda w: (w[0], w[1]))]
 
 
-def loop_anchors(turns, gap):
-    anchor, found = None, {}
-    for t in sorted(set(turns)):
-        if anchor is None or t - anchor > gap:
-            anchor = t
-        found[t] = anchor
-    return found
-
-
-@pytest.mark.parametrize("width", [None, 5, 7, 16])
-def test_anchored(spark, width):
-    rng = random.Random(5)
-    data = [(str(k), rng.randint(0, 120)) for k in range(4) for _ in range(40 + 10 * k)]
-    df = spark.createDataFrame(data, "call_id string, turn long")
-    got = {(r["call_id"], r["turn"]): r["anchor"] for r in flags.anchored(df, ["call_id"], "turn", 4, "anchor", width).collect()}
-    want = {(k, t): a for k in {c for c, _ in data} for t, a in loop_anchors([t for c, t in data if c == k], 4).items()}
-    assert got == want
-
-
 RANK = {"low": 0, "medium": 1, "high": 2}
 
 
@@ -153,10 +135,10 @@ def loop_merge(items, gap=4):
     return [(m["turn"], m["seq"], m["category"], m["severity"], m["source"], sorted({t for t in m["also"] if t != m["turn"] and t not in anchors})) for m in merged]
 
 
-@pytest.mark.parametrize("width", WIDTHS)
-def test_merge_neighbours(spark, width):
-    rng = random.Random(6)
-    data = [{"call_id": str(c), "seq": i, "turn": rng.randint(0, 70), "category": rng.choice("pq"), "severity": rng.choice(list(RANK)),
+@pytest.mark.parametrize("width, span", [(5, 70), (7, 70), (65_536, 70), (5, 1), (6, 300)])
+def test_merge_neighbours(spark, width, span):
+    rng = random.Random(6 + span)
+    data = [{"call_id": str(c), "seq": i, "turn": rng.randint(0, span), "category": rng.choice("ppppq" if width == 7 else "pq"), "severity": rng.choice(list(RANK)),
              "source": rng.choice(["conduct_scan", "whole_call"]), "reason": "why", "also_at_turns": rng.sample(range(80), rng.randint(0, 2))}
             for c in range(4) for i in range(40)]
     df = spark.createDataFrame(data, "call_id string, seq long, turn long, category string, severity string, source string, reason string, also_at_turns array<long>")
@@ -182,7 +164,7 @@ def loop_dedupe(items):
     return [(k["flag_type"], k["seq"], k["severity"], k["occurrences"], sorted(k["turns"])) for k in kept]
 
 
-@pytest.mark.parametrize("width", WIDTHS)
+@pytest.mark.parametrize("width", [3, 16, 65_536])
 @pytest.mark.parametrize("seed", [7, 8])
 def test_dedupe(spark, width, seed):
     rng = random.Random(seed)
@@ -195,7 +177,7 @@ def test_dedupe(spark, width, seed):
     assert got == sorted((str(c), *k) for c in range(4) for k in loop_dedupe([d for d in data if d["call_id"] == str(c)]))
 
 
-@pytest.mark.parametrize("width", WIDTHS)
+@pytest.mark.parametrize("width", [3, 16, 65_536])
 def test_carry_over_fates(spark, width):
     rng = random.Random(9)
     data = [(str(c), i, (t := rng.randint(0, 50)), sorted({t, *(t + rng.randint(-3, 3) for _ in range(rng.randint(0, 2)))}),
@@ -213,6 +195,66 @@ def test_carry_over_fates(spark, width):
     assert got == want
 
 
+def test_scan_sums_across_blocks_and_keys(spark):
+    """A running sum with the sum of a block as its summary, over NULLs in keys and values and a key without rows."""
+    rng = random.Random(3)
+    data = [(c, p, rng.choice([None, 1, 2, 3])) for c in ("a", "b", None) for p in rng.sample(range(-50, 400), 120)]
+    df = spark.createDataFrame(data, "k string, pos long, v long").repartition(5)
+
+    def running(state, rows):
+        total = state[0] if state else 0
+        for pos, v in rows:
+            total += v or 0
+            yield pos, total
+
+    out = scan.scanned(df.where("k is not null"), ["k"], "pos", ["pos"], ["pos", "v"], summary="s bigint", state="s bigint", schema="pos bigint, total bigint", width=16,
+                       summarise=lambda rows: (sum(v or 0 for _, v in rows),), enter=lambda state, s: ((state[0] if state else 0) + s[0],), apply=running)
+    want = {}
+    for k in "ab":
+        total = 0
+        for _, p, v in sorted((r for r in data if r[0] == k), key=lambda r: r[1]):
+            total += v or 0
+            want[k, p] = total
+    assert {(r["k"], r["pos"]): r["total"] for r in out.collect()} == want
+    streams = scan.streamed(df, ["k"], ["pos"], ["pos"], "n bigint, first bigint", lambda key, rows: [(len(own := [r[0] for r in rows]), own[0])])
+    assert {r["k"]: (r["n"], r["first"]) for r in streams.collect()} == {c: (120, min(p for k, p, _ in data if k == c)) for c in ("a", "b", None)}
+    assert scan.streamed(df.where("false"), ["k"], ["pos"], ["pos"], "n bigint", lambda key, rows: [(1,)]).collect() == []
+
+
+def many_flags(spark, n):
+    """n flags of one call: most at turns that chain up, a third of them on one turn."""
+    turn = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % (n // 2))
+    return spark.range(n).select(
+        F.lit("hot").alias("call_id"), F.col("id").alias("seq"), turn.alias("turn"), F.when(F.col("id") % 1000 == 1, "q").otherwise("p").alias("category"), F.lit("low").alias("severity"),
+        F.lit("whole_call").alias("source"), F.lit("why").alias("reason"), F.array().cast("array<bigint>").alias("also_at_turns"))
+
+
+def test_many_flags_of_one_call(spark):
+    """Work on a call's flags grows with their number: quadratic folds of so many would not end within the limit."""
+    begin = time.time()
+    n = 200_000
+    rows = many_flags(spark, n)
+    merged = flags.merge_neighbours(rows).agg(F.sum("flags_merged").alias("n"), F.count("*").alias("findings")).first()
+    assert merged["n"] == n and merged["findings"] > n // 12
+    report = rows.select("call_id", "seq", F.lit("x").alias("flag_type"), "severity", F.col("turn").alias("turn_index"), F.lit(1).cast("long").alias("occurrences"), F.array("turn", F.col("turn") + 1).alias("occurrence_turns"))
+    deduped = flags.dedupe_flags(report).agg(F.sum("flags_merged").alias("n"), F.count("*").alias("left")).first()
+    assert deduped["n"] == n and deduped["left"] < n // 2
+    fates = flags._fates(rows.select("call_id", "seq", "turn", F.array("turn", F.col("turn") + 1).alias("occurrence_turns"), F.lit("open").alias("_state")), scan.WIDTH)
+    assert {r["fate"] for r in fates.groupBy("fate").count().collect()} == {"carried", "covered"}
+    assert time.time() - begin < 240
+
+
+def test_plans_are_built_without_a_job(spark):
+    rows = many_flags(spark, 100)
+    spark.sparkContext.setJobGroup("plans", "none")
+    try:
+        flags.merge_neighbours(rows)
+        flags.dedupe_flags(rows.select("call_id", "seq", F.lit("x").alias("flag_type"), "severity", F.col("turn").alias("turn_index"), F.lit(1).alias("occurrences"), "also_at_turns", F.array("turn").alias("occurrence_turns")))
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("plans") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_heavy_keys_take_the_blocked_way(spark):
     data = [("hot", i, "A") for i in range(50)] + [("cold", i, "A") for i in range(5)]
     df = spark.createDataFrame(data, "call_id string, pos long, label string")
