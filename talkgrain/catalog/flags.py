@@ -82,7 +82,7 @@ def jn_8(t: Inputs) -> DataFrame:
 step("s_quoted", r"select call_id, seq, turn_index as stated, 'employee' as said, trim(regexp_replace(verbatim, '\s+', ' ', 'g')) as needle from v_report_flags")
 step("s_quotes_found", located_sql("s_quoted"))
 step("s_reanchored", """
-select r.call_id, r.seq, r.flag_type, r.severity, r.verbatim, r.occurrences, r.source, coalesce(q.found_turn is not null and q.found_turn <> r.turn_index, false) as moved,
+select r.call_id, r.seq, r.flag_type, r.severity, r.verbatim, r.occurrences, r.source, r.why_flagged, coalesce(q.found_turn is not null and q.found_turn <> r.turn_index, false) as moved,
   case when q.found_turn is not null and q.found_turn <> r.turn_index then q.found_turn else r.turn_index end as turn_index,
   case when q.found_turn is not null and q.found_turn <> r.turn_index
     then list_sort(list_distinct(list_concat([q.found_turn], list_filter([r.turn_index, r.also_at], lambda x: x is not null and x <> r.turn_index))))
@@ -98,23 +98,22 @@ def jn_9(t: Inputs) -> DataFrame:
 
 # The check takes one upstream flag of a call after the other and keeps what is covered.
 step("s_sizes", "select call_id, count(*) as n from s_turns group by 1")
-step("s_covered", "select call_id, list_distinct(flatten(list(list_filter([turn_index, also_at], lambda x: x is not null)))) as covered from v_report_flags group by 1")
 step("s_dismissed", "select call_id, list(turn) as thrown from v_dismissed group by 1")
-step("s_judged", f"""
+JUDGED = f"""
 select u.call_id, u.seq, u.stated, row_number() over (partition by u.call_id order by u.seq) as i, lower(trim(u.category)) as category,
   case when lower(trim(severity)) in ('low', 'medium', 'high') then lower(trim(severity)) else 'medium' end as severity, l.found_turn is not null as anchored,
   coalesce(l.found_turn, case when u.stated >= 0 and u.stated < z.n then u.stated else 0 end) as turn, u.also_at, z.n,
   coalesce(c.covered, []) as covered0, list_filter(coalesce(d.thrown, []), lambda x: not list_contains(coalesce(c.covered, []), x)) as thrown
 from v_upstream u join s_located l on u.call_id = l.call_id and u.seq = l.seq join s_sizes z on u.call_id = z.call_id
   left join s_covered c on u.call_id = c.call_id left join s_dismissed d on u.call_id = d.call_id
-""")
-step("s_judged2", """
+"""
+JUDGED_2 = """
 select *, list_sort(list_distinct(list_concat([turn], case when also_at is not null and also_at + coalesce(turn - stated, 0) >= 0 and also_at + coalesce(turn - stated, 0) < n
     then [also_at + coalesce(turn - stated, 0)] else [] end))) as occ,
   (list_contains(thrown, turn) or coalesce(list_contains(thrown, stated), false)) as gone, category in ('misleading_claim', 'false_claim', 'false_promise', 'overpromise', 'exaggeration',
   'unrealistic_promise', 'product_claim', 'misrepresentation') as product from s_judged
-""")
-step("s_carry", """
+"""
+CARRY = """
 select * from (with recursive walk as (
   select call_id, cast(0 as bigint) as i, any_value(covered0) as covered, cast(null as bigint) as seq, cast('' as varchar) as fate from s_judged2 group by call_id
   union all
@@ -122,7 +121,19 @@ select * from (with recursive walk as (
     case when list_contains(w.covered, j.turn) then 'covered' when j.gone then 'dismissed' when j.product then 'not_conduct' else 'carried' end
   from walk w join s_judged2 j on j.call_id = w.call_id and j.i = w.i + 1)
 select * from walk where seq is not null) z
-""")
+"""
+
+
+def carry_steps(p: str, covered: str) -> None:
+    """Steps of the carry-over, by the turns that some report flags cover."""
+    step(f"s_{p}covered", f"select call_id, list_distinct(flatten(list({covered}))) as covered from {'s_reanchored' if p else 'v_report_flags'} group by 1")
+    step(f"s_{p}judged", JUDGED.replace("s_covered", f"s_{p}covered"))
+    step(f"s_{p}judged2", JUDGED_2.replace("s_judged", f"s_{p}judged"))
+    step(f"s_{p}carry", CARRY.replace("s_judged2", f"s_{p}judged2"))
+
+
+carry_steps("", "list_filter([turn_index, also_at], lambda x: x is not null)")
+carry_steps("chain_", "list_append(occurrence_turns, turn_index)")
 
 
 def carried(t: Inputs) -> DataFrame:
@@ -238,7 +249,11 @@ from (select call_id, seq, case when seq % 5 = 0 then 'abusive_language' else 'c
 """)
 _NEW = "struct_pack(seq := {0}.seq, rk := {0}.rk, occ := cast({0}.occurrences as bigint), turns := {0}.turns, n := cast(1 as bigint))"
 _HIT = "list_position(list_transform(w.kept, lambda k: len(list_intersect(k.turns, o.turns)) > 0), true)"
-step("s_dedupe_walk", f"""
+def dedupe_steps(source: str, name: str) -> None:
+    step(name, DEDUPE.replace("s_dedupe_in", source))
+
+
+DEDUPE = f"""
 select * from (with recursive walk as (
   select o.call_id, o.flag_type, o.i, [{_NEW.format('o')}] as kept from s_dedupe_in o where i = 1
   union all
@@ -247,7 +262,9 @@ select * from (with recursive walk as (
       occ := greatest(k.occ, o.occurrences, len(list_distinct(list_concat(k.turns, o.turns)))), turns := list_sort(list_distinct(list_concat(k.turns, o.turns))), n := k.n + 1) else k end) end
   from walk w join s_dedupe_in o on o.call_id = w.call_id and o.flag_type = w.flag_type and o.i = w.i + 1)
 select call_id, flag_type, unnest(kept) as k from walk w where i = (select max(i) from s_dedupe_in m where m.call_id = w.call_id and m.flag_type = w.flag_type)) z
-""")
+"""
+
+dedupe_steps("s_dedupe_in", "s_dedupe_walk")
 
 
 def dedupe_input(t: Inputs) -> DataFrame:
@@ -268,13 +285,6 @@ def win_12(t: Inputs) -> DataFrame:
     return flags.dedupe_flags(dedupe_input(t)).select("call_id", "flag_type", "seq", "severity", "occurrences", _text("occurrence_turns"), "flags_merged", "verbatim", "why_flagged", "source")
 
 
-@query("win_13_post_steps")
-def win_13(t: Inputs) -> DataFrame:
-    """Re-anchor, carry over, de-duplicate, then total: each step reads what the one before changed."""
-    final = flags.post_steps(report_flags(t), upstream(t), turns(t), t.dismissed)
-    return flags.flag_totals(final).select("call_id", "flag_count", _text("disqualifying_flags"), "disqualified")
-
-
 @query("set_4_turn_sets", """
 select call_id, seq, array_to_string(list_sort(list_distinct(list_concat(a, b))), ',') as both, (len(list_intersect(a, b)) > 0) as meets, array_to_string(list_sort(list_filter(a, lambda x: not list_contains(b, x))), ',') as only_a
 from (select call_id, seq, list_filter([seq, also_at], lambda x: x is not null) as a, [coalesce(stated, 0), 2] as b from v_upstream) x

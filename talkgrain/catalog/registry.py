@@ -19,6 +19,13 @@ def step(name: str, sql: str) -> None:
     _STEPS[name] = sql.strip()
 
 
+def again(prefix: str, names: list[str], other: dict[str, str]) -> None:
+    """Steps once more, named ``s_<prefix>...``, that read each other and the ``other`` tables in place of their own."""
+    swap = {name: f"s_{prefix}{name[2:]}" for name in names} | other
+    for name in names:
+        _STEPS[swap[name]] = re.sub(r"\b(" + "|".join(swap) + r")\b", lambda m: swap[m.group()], _STEPS[name])
+
+
 def _needed(sql: str, seen: list[str]) -> list[str]:
     for name in _STEPS:
         if name not in seen and re.search(rf"\b{name}\b", sql):

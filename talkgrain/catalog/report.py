@@ -45,7 +45,7 @@ from v_report r, json_tree(r.body) x
 _REPORT_NAMES = _declared(schemas.REPORT)
 _CITED_FIELDS = [n for n in [*_REPORT_NAMES, "turn_range"] if places.last(n) in K.CITATION_FIELDS]
 step("s_cited_turns", f"""
-select call_id, path, string_split(field, '.')[-1] as field, cast(val as bigint) as turn from s_nodes where type in ('UBIGINT', 'BIGINT') and field in ({_quoted(_CITED_FIELDS)})
+select call_id, path, string_split(field, '.')[-1] as field, try_cast(val as bigint) as turn from s_nodes where type in ('UBIGINT', 'BIGINT') and field in ({_quoted(_CITED_FIELDS)})
 """)
 
 

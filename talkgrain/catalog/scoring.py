@@ -129,6 +129,20 @@ _SCORE_COLUMNS = ["call_id", "earned_marks", "repetition_deductions", "not_appli
                   "disqualified", "score_before_flags", "overall_score_100"]
 
 
+CALL_WARNINGS = """
+select s.call_id, w.w as warning, w.n from s_scores s left join (select call_id, count(*) as repeats from v_repeats group by 1) r on r.call_id = s.call_id,
+  unnest([struct_pack(w := case when not s.is_follow_up and repeats > 0 then 'repeats_without_follow_up' end, n := repeats), struct_pack(w := case when s.irrelevant_lead then 'irrelevant_lead' end, n := null),
+    struct_pack(w := case when s.disqualified then 'score_voided' end, n := s.flag_count), struct_pack(w := case when not s.disqualified and s.flag_count > 0 then 'flags_recorded' end, n := s.flag_count)]) u(w)
+where w.w is not null
+"""
+step("s_call_warnings", CALL_WARNINGS)
+
+
+@query("scr_6_call_warnings", "select call_id, warning, n from s_call_warnings")
+def scr_6_calls(t: Inputs) -> DataFrame:
+    return scorecard.call_warnings(scorecard.scores(marked(t), flags.flag_totals(t.call_flags)), t.repeats)
+
+
 @query("scr_7_scores", f"select {', '.join(_SCORE_COLUMNS)} from s_scores")
 def scr_7(t: Inputs) -> DataFrame:
     return scorecard.scores(marked(t), flags.flag_totals(t.call_flags)).select(*_SCORE_COLUMNS)

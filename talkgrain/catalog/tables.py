@@ -166,7 +166,8 @@ select cast(conv_id as varchar(20)) as call_id, turn as seq,
   case when length(text) % 7 = 0 then '' else {_PHRASE} end as verbatim,
   case when length(text) % 4 = 0 then turn + 1 when length(text) % 4 = 1 then turn - 1 else turn end as turn_index,
   1 + length(text) % 2 as occurrences,
-  case when length(text) % 3 = 0 then turn + 2 end as also_at, 'audit' as source
+  case when length(text) % 3 = 0 then turn + 2 end as also_at, 'audit' as source,
+  case when length(text) % 2 = 0 then 'said in anger' else 'pressed twice' end as why_flagged
 from conversations where role = 'assistant'
 """)
 
@@ -177,6 +178,15 @@ select cast(conv_id as varchar(20)) as call_id, turn as objection_id, text as ve
 from conversations where role = 'user'
 """)
 
+# Some quote what the customer said two turns before: an earlier surfacing that is not linked.
+_view("v_quoted_objections", "conversations", """
+select call_id, objection_id, objection_type, case when length(verbatim) % 4 = 0 then coalesce(earlier, verbatim) else verbatim end as verbatim, turn_index, repeated_at
+from (
+  select cast(conv_id as varchar(20)) as call_id, turn as objection_id, text as verbatim, turn as turn_index, 'price' as objection_type,
+    lag(text) over (partition by conv_id order by turn) as earlier, case when length(text) % 8 = 0 then turn - 2 end as repeated_at
+  from conversations where role = 'user') x
+""")
+
 _view("v_dismissed", "conversations",
       "select cast(conv_id as varchar(20)) as call_id, turn from conversations where role = 'system'")
 

@@ -377,21 +377,10 @@ def with_carried(report_flags: DataFrame, carried: DataFrame) -> DataFrame:
     more = (carried.where(F.col("fate") == "carried").join(top, "call_id", "left")
             .select("call_id", (F.col("seq") + F.coalesce(F.col("_top") + 1, F.lit(0))).alias("seq"), "flag_type", "severity",
                     "verbatim", F.col("turn").alias("turn_index"), F.lit(1).cast("bigint").alias("occurrences"),
-                    "occurrence_turns", "source"))
+                    "occurrence_turns", "why_flagged", "source"))
     return report_flags.unionByName(more, allowMissingColumns=True)
 
 
-def post_steps(report_flags: DataFrame, upstream: DataFrame, turns: DataFrame, dismissed: DataFrame) -> DataFrame:
-    """Final flags of each call: re-anchored, with what upstream raised carried over, de-duplicated.
-
-    The order is fixed, as each step goes by the turns the one before settled.
-    """
-    turns = ordered.cut(turns)
-    moved = ordered.cut(reanchor(report_flags, turns).drop("moved"))
-    carried = ordered.cut(carry_over(moved, upstream, turns, dismissed))
-    return dedupe_flags(ordered.cut(with_carried(moved, carried)))
-
-
 def unlinked_repeats(objections: DataFrame, turns: DataFrame, share: float = 0.5) -> DataFrame:
     """Earlier customer turns that say much the same as an objection but are not linked to it.
 

@@ -117,6 +117,20 @@ def score_warnings(marked: DataFrame) -> DataFrame:
     return marked.select("call_id", "criterion", F.explode(codes).alias("warning"))
 
 
+def call_warnings(scores: DataFrame, repeats: DataFrame) -> DataFrame:
+    """(call_id, warning, n) on whole calls: repeats listed on a call that is no follow-up, a lead that was never a buyer, a voided score,
+    flags that cost nothing."""
+    counts = repeats.groupBy("call_id").agg(F.count("*").alias("_repeats"))
+    rows = scores.join(counts, "call_id", "left")
+    told = lambda test, code, n: F.when(test, F.struct(F.lit(code).alias("warning"), n.cast("bigint").alias("n")))
+    void = F.coalesce("disqualified", F.lit(False))
+    codes = F.array_compact(F.array(
+        told(~F.coalesce("is_follow_up", F.lit(False)) & (F.col("_repeats") > 0), "repeats_without_follow_up", F.col("_repeats")),
+        told(F.coalesce("irrelevant_lead", F.lit(False)), "irrelevant_lead", F.lit(None)),
+        told(void, "score_voided", F.col("flag_count")), told(~void & (F.col("flag_count") > 0), "flags_recorded", F.col("flag_count"))))
+    return rows.select("call_id", F.explode(codes).alias("w")).select("call_id", "w.*")
+
+
 def section_totals(marked: DataFrame) -> DataFrame:
     return (marked.withColumn("section", marks.section_of("criterion")).groupBy("call_id", "section")
             .agg(F.sum("awarded").alias("section_marks"), F.sum(marks.full_marks("criterion")).alias("section_max")))
