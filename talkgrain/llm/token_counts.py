@@ -26,6 +26,10 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 BOUNDARY = re.compile(r"(?<=\S)(?=[ \t\r\n])")
 
 
+# White space as the pattern has it, in runs that its matcher cannot be trusted with: it backs up sign by sign and ends the process at a million.
+LONG_RUN = re.compile("[\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+
+
 @dataclass(frozen=True)
 class Settings:
     """vocabulary: a file of ranks, read by the driver; its size is that of the vocabulary. leaf: least characters of a leaf."""
@@ -44,7 +48,16 @@ class Encoder:
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
     def counts(self, texts: list[str]) -> list[int]:
-        return [len(self.encoding.encode_ordinary(x)) for x in texts]  # a batch call would start a pool of threads each time
+        return [self.count(x) for x in texts]  # a batch call would start a pool of threads each time
+
+    def count(self, text: str) -> int:
+        """A long run of white space is counted apart: it is a pre-token if the text ends with it, else all of it but the last sign is."""
+        done = at = 0
+        for run in LONG_RUN.finditer(text) if len(text) >= 1000 else ():
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            done += len(self.encoding.encode_ordinary(text[at : run.start()])) + len(self.encoding._core_bpe.encode_single_piece(text[run.start() : end].encode()))
+            at = end
+        return done + len(self.encoding.encode_ordinary(text[at:]))
 
 
 def cut(text: str, leaf: int) -> list[int]:

@@ -67,3 +67,24 @@ def test_frames(spark, encoder):
     assert sorted((r["n_tokens"], r["n_edits"], r["n_encoded"]) for r in through) == sorted((r["n_tokens"], r["n_edits"], r["n_encoded"]) for r in rows)
     assert tc.counted_through(no_docs(spark), tc.personal).count() == 0
     assert len(texts()) > 10
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_long_runs_of_white_space_count_as_the_pattern_has_them(encoder, seed):
+    """Short enough for the pattern's own matcher, long enough to be counted apart."""
+    rng = random.Random(seed)
+    for _ in range(6):
+        text = "".join(rng.choice(["a", " b", "9", "!", "", "\x1c"]) + "".join(rng.choice(sign) for _ in range(rng.choice([1, 999, 1000, 1001, 3000]))) for sign in rng.choices([" ", "\n", " \n", "\u00a0\u3000", "\r\n\t"], k=4)) + rng.choice(["", "end", "9", "!"])
+        assert encoder.count(text) == len(encoder.encoding.encode_ordinary(text))
+
+
+@pytest.mark.parametrize("text, n", [
+    (" " * 5_000_000, 5_000_000), ("\n" * 5_000_000, 2_500_000), ("a" + " " * 5_000_000 + "b", 5_000_001), ("a" * 5_000_000, 1_250_000), ("!?" * 2_500_000, 2_500_001), ("", 0)], ids=["blanks", "breaks", "between", "letters", "signs", "empty"])
+def test_texts_of_millions(encoder, text, n):
+    assert encoder.count(text) == n
+
+
+def test_a_text_of_blanks_ends_no_job(spark):
+    docs = spark.createDataFrame([(1, " " * 1_500_000), (2, "a" + "\n" * 1_200_000 + "b c@d.ef"), (3, "plain")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in tc.counted_through(docs, tc.personal).collect()}
+    assert rows[1]["n_tokens"] == 1_500_000 and rows[2]["n_edits"] == 1 and rows[3]["n_tokens"] == 1
