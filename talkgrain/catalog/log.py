@@ -140,9 +140,13 @@ def src_8(t: Inputs) -> DataFrame:
     return calls.point_lookup(t.calls, keys).select("call_id", "processing_status", "duration_sec")
 
 
-@query("src_8_existence", "select cast(doc_id as varchar) as call_id, cast(doc_id as varchar) in (select call_id from v_calls) as is_stored from labels")
+@query("src_8_existence", """
+select call_id, call_id in (select call_id from v_calls) as is_stored from (select case when doc_id % 3 = 0 then 'no-' || doc_id else cast(doc_id as varchar) end as call_id from labels) x
+""")
 def src_8_existence(t: Inputs) -> DataFrame:
-    keys = t.labels.select(F.col("doc_id").cast("string").alias("call_id"))
+    """A third of the ids asked for is stored nowhere."""
+    name = F.col("doc_id").cast("string")
+    keys = t.labels.select(F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("no-"), name)).otherwise(name).alias("call_id"))
     return calls.existing(t.calls, keys)
 
 

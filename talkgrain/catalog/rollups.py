@@ -64,11 +64,11 @@ def ag_7(t: Inputs) -> DataFrame:
     return agents.rollup_keys(resolved_roster(t))
 
 
-@query("src_8_rollup_row", "select pk, date_key, total_calls, total_flags from s_rollup where concat(pk, date_key) in (select concat('FLOOR', strftime(started_at, '%Y-%m-%d')) from v_calls where flag_count > 0 union select concat(pk, date_key) from s_rollup where total_flags > 1)")
+@query("src_8_rollup_row", "select pk, date_key, total_calls, total_flags from s_rollup where concat(pk, date_key) in (select concat('OVERALL', strftime(started_at, '%Y-%m-%d')) from v_calls where flag_count > 0 union select concat(pk, date_key) from s_rollup where total_flags > 1)")
 def src_8_row(t: Inputs) -> DataFrame:
     """The floor's rows of days with a flag, and the rows of any scope with more than one."""
     stored = day_rollup(t)
-    floor = t.calls.where("flag_count > 0").select(F.lit("FLOOR").alias("pk"), F.date_format("started_at", "yyyy-MM-dd").alias("date_key"))
+    floor = t.calls.where("flag_count > 0").select(F.lit("OVERALL").alias("pk"), F.date_format("started_at", "yyyy-MM-dd").alias("date_key"))
     wanted = floor.unionByName(stored.where("total_flags > 1").select("pk", "date_key"))
     return rollup.rows_of(stored, wanted).select("pk", "date_key", "total_calls", "total_flags")
 

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from talkgrain.catalog.log import ISO_SQL
 from talkgrain.catalog.registry import query
-from talkgrain.catalog.rollups import NUMBERS, keyed_calls
+from talkgrain.catalog.rollups import NUMBERS, day_rollup, keyed_calls
 from talkgrain.catalog.tables import VIEWS, Inputs
 from talkgrain.functions import timing
 from talkgrain.operators import rollup
 from talkgrain.session import checkpoint_folder
+from talkgrain.sources import storage
 from talkgrain.streaming import jobs
 
 
@@ -116,3 +117,24 @@ def stm_7(t: Inputs) -> DataFrame:
     # The stream above shares the table's name; the stored calls were read before it.
     _drain(t, changes, jobs.rebuild_touched_days(lambda days: rollup.rebuild_days(calls, days).select("pk", "date_key", *NUMBERS), path))
     return t.spark.read.parquet(path).select("pk", F.col("date_key").cast("string").alias("date_key"), *NUMBERS)
+
+
+MOST_FLAGS = 3
+
+
+@query("snk_5_manifest", f"""
+select month_key, case when failed then 0 else written end as rows_written, case when failed then 0 else held end as rows_deleted, failed from (
+  select left(date_key, 7) as month_key, count(*) filter (where total_calls > 1 or pk = 'OVERALL') as written, count(*) as held,
+    coalesce(bool_or(total_flags > {MOST_FLAGS}) filter (where total_calls > 1 or pk = 'OVERALL'), false) as failed
+  from s_rollup group by 1) x
+""")
+def snk_5_manifest(t: Inputs) -> DataFrame:
+    """Stored parts built again with fewer rows; a part that holds a row with more flags than allowed is left as it was.
+
+    Parts are months here: the tables have days of a call or two.
+    """
+    path = _folder(t) + "/months"
+    stored = day_rollup(t).select("pk", "date_key", "total_calls", "total_flags", F.substring("date_key", 1, 7).alias("month_key"))
+    storage.overwrite_days(stored, path, "month_key")
+    fresh = t.spark.read.parquet(path).where("total_calls > 1 or pk = 'OVERALL'").select("pk", "date_key", "total_calls", "total_flags", F.col("month_key").cast("string").alias("month_key"))
+    return storage.replace_days(fresh, path, stored.select("month_key").distinct(), "month_key", check=lambda _: F.col("total_flags") <= MOST_FLAGS)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkgrain.functions import paths
 
@@ -75,6 +79,46 @@ def overwrite_days(df: DataFrame, path: str, day: str = "date_key", touched: Dat
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def replace_days(fresh: DataFrame, path: str, touched: DataFrame, day: str = "date_key", check: Callable[[DataFrame], Column] | None = None) -> DataFrame:
+    """Replace the touched days one by one, each whole or not at all, and say what became of it.
+
+    Rows are staged beside the table, a folder a day.  A day whose staged rows fail ``check`` (a condition on each row), or which can't be
+    published, leaves its stored rows and every other day as they are.  Returns a manifest, (day, rows_written, rows_deleted, failed), that is
+    also added to the table's ``_manifest``.  A day counts as published once its folder is in place: a run that is broken off may be
+    started again.  Stored rows are those the day had; the driver handles names and counts of days, never rows.
+    """
+    spark = fresh.sparkSession
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    store = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    run = f"{path}/_staged/{uuid.uuid4().hex}"
+    days = touched.select(F.col(day).cast("string").alias(day)).where(F.col(day).isNotNull()).distinct()
+    rows = fresh.withColumn(day, F.col(day).cast("string")).join(days, day, "left_semi")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartition(tasks, day).write.partitionBy(day).parquet(run)
+
+    schema = T.StructType([f for f in fresh.schema.fields if f.name != day] + [T.StructField(day, T.StringType())])
+    bad = F.lit(0) if check is None else F.when(F.coalesce(check(fresh), F.lit(False)), 0).otherwise(1)
+    staged = spark.read.schema(schema).parquet(run).groupBy(day).agg(F.count("*").alias("rows_written"), F.sum(bad).alias("_bad"))
+    if store.exists(fs_path(path)) and any(s.getPath().getName().startswith(f"{day}=") for s in store.listStatus(fs_path(path))):
+        held = spark.read.schema(T.StructType([T.StructField(day, T.StringType())])).parquet(path).join(F.broadcast(days), day).groupBy(day).agg(F.count("*").alias("rows_deleted"))
+    else:
+        held = days.where("false").withColumn("rows_deleted", F.lit(0).cast("bigint"))
+    told = days.join(staged, day, "left").join(held, day, "left").na.fill(0).collect()  # one row a day
+
+    manifest = []
+    for row in sorted(told, key=lambda r: r[day]):
+        home, made = fs_path(path, f"{day}={row[day]}"), fs_path(run, f"{day}={row[day]}")
+        failed = row["_bad"] > 0
+        if not failed:
+            store.delete(home, True)
+            failed = row["rows_written"] > 0 and not store.rename(made, home)
+        manifest.append((row[day], 0 if failed else row["rows_written"], 0 if failed else row["rows_deleted"], failed))
+    store.delete(fs_path(run), True)
+    out = spark.createDataFrame(manifest, f"{day} string, rows_written long, rows_deleted long, failed boolean")
+    out.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/_manifest")
+    return out
+
+
 def stale_rows(existing: DataFrame, fresh: DataFrame, keys: tuple[str, ...] = ("pk", "date_key")) -> DataFrame:
     """Stored rows of the rebuilt days that the rebuild did not write again."""
     return existing.select(*keys).join(fresh.select(*keys), list(keys), "left_anti")

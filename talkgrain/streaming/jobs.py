@@ -48,7 +48,10 @@ STALL_OUTPUT = StructType([StructField("call_id", StringType()), StructField("si
 
 
 class _StallWatch(StatefulProcessor):
-    """Remember when a call went INGESTING; report it when the timer finds it still there."""
+    """Remember when a call went INGESTING; report it when the timer finds it still there.
+
+    Nothing is kept of a call that is done: once the watermark has passed its newest change, an older one would be too late to come in.
+    """
 
     def __init__(self, minutes: int) -> None:
         self._wait_ms = minutes * 60_000
@@ -72,9 +75,11 @@ class _StallWatch(StatefulProcessor):
             self._handle.registerTimer(changed + self._wait_ms)
         else:
             self._since.clear()
+            self._handle.registerTimer(changed + 1)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._seen.clear()
         if self._since.exists():
             since = self._since.get()[0]
             self._since.clear()
