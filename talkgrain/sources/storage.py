@@ -62,6 +62,9 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, path: str, key: str =
     one_per_key(new, key).join(existing, key, "left_anti").write.mode("append").parquet(path)
 
 
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # where Spark's writer puts rows without a day
+
+
 def overwrite_days(df: DataFrame, path: str, day: str = "date_key", touched: DataFrame | None = None) -> None:
     """Replace just the days present in ``df``; the days' stale rows go with their partitions.
 
@@ -72,10 +75,10 @@ def overwrite_days(df: DataFrame, path: str, day: str = "date_key", touched: Dat
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.repartition(tasks, day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path))
     if touched is not None:
-        emptied = touched.select(F.col(day).cast("string").alias(day)).distinct().join(df.select(F.col(day).cast("string").alias(day)).distinct(), day, "left_anti")
+        emptied = touched.select(F.col(day).cast("string").alias(day)).distinct().exceptAll(df.select(F.col(day).cast("string").alias(day)).distinct())
         spark = df.sparkSession
         for row in emptied.toLocalIterator():  # a name for each day of the rebuild at most
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{day}={row[day]}")
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{day}={NO_DAY if row[day] is None else row[day]}")
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -119,8 +122,13 @@ def replace_days(fresh: DataFrame, path: str, touched: DataFrame, day: str = "da
     return out
 
 
-def stale_rows(existing: DataFrame, fresh: DataFrame, keys: tuple[str, ...] = ("pk", "date_key")) -> DataFrame:
-    """Stored rows of the rebuilt days that the rebuild did not write again."""
+def stale_rows(existing: DataFrame, fresh: DataFrame, keys: tuple[str, ...] = ("pk", "date_key"), touched: DataFrame | None = None, day: str = "date_key") -> DataFrame:
+    """Stored rows of the rebuilt days that the rebuild did not write again.
+
+    ``touched`` has the rebuilt days; without it ``existing`` must hold no others.
+    """
+    if touched is not None:
+        existing = existing.join(touched.select(day).distinct(), day, "left_semi")
     return existing.select(*keys).join(fresh.select(*keys), list(keys), "left_anti")
 
 

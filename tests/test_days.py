@@ -34,6 +34,21 @@ def test_one_failing_day_leaves_the_others(spark, tmp_path):
     assert told(again) == {"2026-09-05": (1, 1, False)} and len(table(spark, path)) == 4
 
 
+def test_a_touched_day_without_a_name_is_emptied(spark, tmp_path):
+    path = str(tmp_path / "days")
+    frame = lambda rows: spark.createDataFrame(rows, "date_key string, pk string, n long")
+    storage.overwrite_days(frame([(None, "a", 1), ("2026-09-01", "a", 2), ("2026-09-02", "a", 3)]), path)
+    storage.overwrite_days(frame([("2026-09-01", "b", 4)]), path, touched=frame([(None, "", 0), ("2026-09-01", "", 0), ("2026-09-01", "", 0)]))
+    assert table(spark, path) == [("2026-09-01", "b", 4), ("2026-09-02", "a", 3)]
+
+
+def test_stale_rows_are_of_touched_days(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "pk string, date_key string")
+    stored, fresh = frame([("a", "d1"), ("b", "d1"), ("a", "d2")]), frame([("a", "d1")])
+    assert [tuple(r) for r in storage.stale_rows(stored, fresh, touched=frame([("", "d1"), ("", "d1")])).collect()] == [("b", "d1")]
+    assert storage.stale_rows(stored, fresh).count() == 2
+
+
 def test_finished_calls_leave_the_state(spark, tmp_path):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     schema = "call_id string, processing_status string, status_at timestamp"
