@@ -1,17 +1,14 @@
 """Language-model scoring by cross-entropy difference.
 
-A target and a background model of word pairs are matched: both share one vocabulary of hashed words, one smoothing, and, by
-scaling, one size. A document's score is the mean over its tokens of the loss under the target model less the loss under the
-background model; the lower, the more it is like the target.
-
-`compared` counts every word and pair of the corpus. `train`, `Models` and `scored` hash them to tables of a fixed size, in which
-words and pairs of a larger corpus fall together; no query uses them.
+A target and a background model of word pairs are matched: both share one vocabulary, one smoothing, and, by scaling, one size. A
+document's score is the mean over its tokens of the loss under the target model less the loss under the background model; the
+lower, the more it is like the target. A document that is in the models is scored without its own counts, so that a score does
+not tell whether the document was counted.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -21,139 +18,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.llm.shared import picked, stretches, whole
+from talkgrain.llm.shared import stretches, whole
 
 
 @dataclass(frozen=True)
 class Settings:
-    """word_bits, pair_bits: of the hashed vocabulary and of the table of pairs; they bound what a task holds and what is
-    broadcast. prior: weight of the single-word model in the pair model, in tokens. chunk: bytes of text that a task of `compared`
-    works on at a time."""
+    """prior: weight of the single-word model in the pair model, in tokens. chunk: bytes of text that a task works on at a time."""
 
-    word_bits: int = 18
-    pair_bits: int = 20
     prior: float = 50.0
-    slice: int = 1 << 14
     chunk: int = 8_000_000
 
 
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
-def hashed(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Vocabulary ids of the lower-cased words, of the word before each (0 before the first), and the places of the pairs."""
-    words = text.lower().split()
-    if not words:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    codes = pd.util.hash_array(np.array(words, dtype=object), categorize=False)
-    ids = codes >> np.uint64(64 - settings.word_bits)
-    before = np.concatenate([[np.uint64(0)], ids[:-1]])
-    pairs = ((before * MULTIPLY) ^ ids) * MULTIPLY
-    return ids.astype(np.int64), before.astype(np.int64), (pairs >> np.uint64(64 - settings.pair_bits)).astype(np.int64)
-
-
-@dataclass
-class Counts:
-    """Target and background counts: words, contexts (as the word before) and pairs, one after another in one row each."""
-
-    table: np.ndarray
-    settings: Settings
-
-    @staticmethod
-    def empty(settings: Settings) -> Counts:
-        return Counts(np.zeros((2, (2 << settings.word_bits) + (1 << settings.pair_bits)), np.int64), settings)
-
-    def add(self, text: str, target: bool) -> None:
-        ids, before, pairs = hashed(text, self.settings)
-        width = 1 << self.settings.word_bits
-        for row in (0, 1) if target else (1,):
-            for places in (ids, before + width, pairs + 2 * width):
-                np.add.at(self.table[row], places, 1)
-
-
-def counted(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(text, target) to summed slices of the count tables. Each task sums its own rows first and sends its slices that are not
-    empty; the slices of all tasks are then summed as a stream, so that no task holds more than its part of the tables."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = Counts.empty(settings)
-        for rows in batches:
-            for text, target in zip(rows["text"], rows["target"], strict=True):
-                counts.add(text, bool(target))
-        yield from _slices({k: counts.table[:, k * settings.slice : (k + 1) * settings.slice] for k in range(counts.table.shape[1] // settings.slice)})
-
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        for rows in batches:
-            for k, packed in zip(rows["slice"], rows["counts"], strict=True):
-                own = np.frombuffer(zlib.decompress(packed), np.int64).reshape(2, settings.slice)
-                sums[k] = sums[k] + own if k in sums else own
-        yield from _slices(sums)
-
-    schema = "slice int, counts binary"
-    slices = ((2 << settings.word_bits) + (1 << settings.pair_bits)) // settings.slice
-    return docs.mapInPandas(count, schema).repartition(min(slices, 64), "slice").mapInPandas(add_up, schema)
-
-
-def _slices(sums: dict[int, np.ndarray]) -> Iterator[pd.DataFrame]:
-    for k, table in sums.items():
-        if table.any():
-            yield pd.DataFrame({"slice": [k], "counts": [zlib.compress(np.ascontiguousarray(table).tobytes(), 1)]})
-
-
-def train(docs: DataFrame, is_target, settings: Settings | None = None, *, text_col: str = "text") -> np.ndarray:
-    """The tables of both models over all docs; target documents count in the background too. Their size is fixed by settings."""
-    settings = settings or Settings()
-    rows = picked(docs, text=whole(docs[text_col]), target=F.coalesce(is_target, F.lit(False)))
-    table = Counts.empty(settings).table
-    for row in counted(rows, settings).collect():
-        table[:, row["slice"] * settings.slice : (row["slice"] + 1) * settings.slice] += np.frombuffer(zlib.decompress(row["counts"]), np.int64).reshape(2, settings.slice)
-    return table
-
-
-class Models:
-    """Log-probabilities under both models."""
-
-    def __init__(self, table: np.ndarray, settings: Settings) -> None:
-        self.settings, width = settings, 1 << settings.word_bits
-        words, contexts, pairs = table[:, :width], table[:, width : 2 * width], table[:, 2 * width :]
-        size = words.sum(axis=1)
-        share = np.array([1.0, size[0] / size[1] if size[1] else 1.0])  # the background as large as the target
-        self.words = (words * share[:, None] + 1.0) / (size * share + width)[:, None]
-        self.contexts, self.pairs = contexts * share[:, None], pairs * share[:, None]
-
-    def losses(self, text: str) -> tuple[int, float, float]:
-        """Tokens, and the mean loss under target and background."""
-        ids, before, pairs = hashed(text, self.settings)
-        if not len(ids):
-            return 0, float("nan"), float("nan")
-        prior = self.settings.prior
-        chance = (self.pairs[:, pairs] + prior * self.words[:, ids]) / (self.contexts[:, before] + prior)
-        loss = -np.log(np.minimum(chance, 1.0)).mean(axis=1)
-        return len(ids), float(loss[0]), float(loss[1])
-
-
-def scored(docs: DataFrame, table: np.ndarray, settings: Settings | None = None, *, text_col: str = "text") -> DataFrame:
-    """docs with n_words, target_loss, background_loss and loss_difference (per token; NULL for a text without words).
-
-    Columns of docs with these names are replaced.
-    """
-    settings = settings or Settings()
-    held = docs.sparkSession.sparkContext.broadcast(table)  # its size is fixed by settings
-
-    @F.pandas_udf("n_words long, target_loss double, background_loss double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        models = Models(held.value, settings)
-        for texts in batches:
-            yield pd.DataFrame([models.losses(x) for x in texts], columns=["n_words", "target_loss", "background_loss"])
-
-    out = docs.withColumn("_loss", score.asNondeterministic()(whole(docs[text_col])))
-    out = out.withColumns({n: F.nanvl(F.col(f"_loss.{n}"), F.lit(None)) for n in ("target_loss", "background_loss")} | {"n_words": F.col("_loss.n_words")}).drop("_loss")
-    return out.withColumn("loss_difference", F.col("target_loss") - F.col("background_loss"))
-
-
-# Exact models. The documents are dealt into chunks. A chunk asks for each of its distinct words and pairs once, whatever their
+# The documents are dealt into chunks. A chunk asks for each of its distinct words and pairs once, whatever their
 # number, so a frequent pair is in one row of a chunk at most. Words and pairs are dealt by hash into parts; a part adds up what
 # all chunks tell and answers each in the order in which it asked.
 
@@ -286,19 +165,33 @@ def _answered(asked: pa.Table) -> pa.Table:
     })
 
 
-def _losses(chunk: Chunk, told: pa.Table, settings: Settings) -> np.ndarray:
-    """The mean loss of each text with words under target and background. Every part has answered, so its sizes sum up to those of the
-    models. A word that isn't in the background is one more word of the vocabulary."""
+def _own(owner: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """For each token, how often its place occurs in its own text."""
+    _, at, counts = np.unique(owner * size + places, return_inverse=True, return_counts=True)
+    return counts[at]
+
+
+def _losses(chunk: Chunk, told: pa.Table, target: np.ndarray, held: np.ndarray, settings: Settings) -> np.ndarray:
+    """The mean loss of each text with words under target and background, each without the text's own counts. Every part has answered,
+    so its sizes sum up to those of the models. The vocabulary is that of the whole background and one word more for unseen ones."""
     told = told.sort_by("part")
     words, pairs = _counts(told["word_counts"].to_pylist(), 4), _counts(told["counts"].to_pylist(), 2)
     vocabulary, *size = (sum(told[c].to_pylist()) for c in ("vocabulary", "target_size", "size"))
-    starts = (np.cumsum(chunk.lengths) - chunk.lengths)[chunk.lengths > 0]
+    lengths = chunk.lengths
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    own_words, own_contexts, own_pairs = (_own(owner, at, most) for at, most in ((chunk.word_at, len(chunk.words)), (chunk.before_at, len(chunk.words)), (chunk.pair_at, len(chunk.keys))))
+    counted = ((held & target).astype(np.int64), held.astype(np.int64))
+    sizes = [size[m] - lengths * counted[m] for m in (0, 1)]
+    shares = (np.ones(len(lengths)), sizes[0] / np.maximum(sizes[1], 1))  # the background as large as the target
+    some = lengths > 0
+    starts = (np.cumsum(lengths) - lengths)[some]
     out = np.zeros((2, len(starts)))
-    for m, share in enumerate((1.0, size[0] / size[1] if size[1] else 1.0)):  # the background as large as the target
-        single = (words[m] * share + 1.0) / (size[m] * share + vocabulary + 1.0)
-        chance = (pairs[m][chunk.pair_at] * share + settings.prior * single[chunk.word_at]) / (words[2 + m][chunk.before_at] * share + settings.prior)
+    for m in (0, 1):
+        mine, share = counted[m][owner], shares[m][owner]
+        single = ((words[m][chunk.word_at] - own_words * mine) * share + 1.0) / (sizes[m] * shares[m] + vocabulary + 1.0)[owner]
+        chance = ((pairs[m][chunk.pair_at] - own_pairs * mine) * share + settings.prior * single) / ((words[2 + m][chunk.before_at] - own_contexts * mine) * share + settings.prior)
         if len(starts):
-            out[m] = np.add.reduceat(-np.log(chance), starts) / chunk.lengths[chunk.lengths > 0]
+            out[m] = np.add.reduceat(-np.log(chance), starts) / lengths[some]
     return out
 
 
@@ -306,7 +199,9 @@ def compared(docs: DataFrame, targets: DataFrame, settings: Settings | None = No
     """docs without their text, with n_words, target_loss, background_loss and loss_difference (per token; NULL for a text without words).
 
     targets: the ids of target documents, in a column id_col; they count in the background too. Documents that aren't in_models are
-    scored only. Columns of docs with the new names are replaced.
+    scored only; all others are scored by the models less their own counts. Other copies of a text are documents of their own and stay
+    counted. Rows that repeat an id are scored one by one, and are targets if the id is one; a NULL id is never a target. Columns of docs
+    with the new names are replaced. Without documents there are no rows; without targets the target model knows no word.
     """
     settings = settings or Settings()
     new = ("n_words", "target_loss", "background_loss", "loss_difference")
@@ -321,7 +216,7 @@ def compared(docs: DataFrame, targets: DataFrame, settings: Settings | None = No
         *(docs[c].alias(f"c{k}") for k, c in enumerate(rest)), docs[id_col].cast("string").alias("_id"), whole(docs[text_col]).alias("_text"),
         F.coalesce(F.lit(True) if in_models is None else in_models, F.lit(False)).alias("_held"))
     rows = rows.withColumn("_chunk", dealt(F.coalesce("_id", "_text"))).groupBy("_chunk")
-    ids = targets.select(targets[id_col].cast("string").alias("_id")).where("_id is not null").withColumn("_chunk", dealt(F.col("_id"))).groupBy("_chunk")
+    ids = targets.select(targets[id_col].cast("string").alias("_id")).where("_id is not null").withColumn("_chunk", dealt(F.col("_id")))
 
     def ask(own: pa.Table, good: pa.Table) -> pa.Table:
         n = parts if own.num_rows else 0
@@ -337,17 +232,19 @@ def compared(docs: DataFrame, targets: DataFrame, settings: Settings | None = No
         })
 
     def score(own: pa.Table, told: pa.Table) -> pa.Table:
-        chunk = Chunk.of(own["_text"].to_pylist())
+        chunk, known = Chunk.of(own["_text"].to_pylist()), set(told["_id"].to_pylist()) - {None}
+        target, held = np.array([x in known for x in own["_id"].to_pylist()], bool), np.array(own["_held"].to_pylist(), bool)
         some = chunk.lengths > 0
         losses = np.full((3, len(some)), np.nan)
         if some.any():
-            losses[:2, some] = _losses(chunk, told, settings)
+            losses[:2, some] = _losses(chunk, told.filter(told["part"].is_valid()), target, held, settings)
         losses[2] = losses[0] - losses[1]
         columns = {f"c{k}": own[f"c{k}"] for k in range(len(rest))} | {"n_words": pa.array(chunk.lengths, _LONG)}
         return pa.table(columns | {n: pa.array(x, pa.float64(), mask=~some) for n, x in zip(new[1:], losses, strict=True)})
 
-    asked = rows.cogroup(ids).applyInArrow(ask, ASKED)
-    told = asked.groupBy("part").applyInArrow(_answered, TOLD).groupBy("chunk")
+    asked = rows.cogroup(ids.groupBy("_chunk")).applyInArrow(ask, ASKED)
+    told = asked.groupBy("part").applyInArrow(_answered, TOLD)
+    told = told.unionByName(ids.select(F.col("_chunk").alias("chunk"), "_id"), allowMissingColumns=True).groupBy("chunk")
     kinds = dict(docs.dtypes)
     schema = ", ".join([*(f"c{k} {kinds[c]}" for k, c in enumerate(rest)), "n_words long", *(f"{n} double" for n in new[1:])])
     return rows.cogroup(told).applyInArrow(score, schema).select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(rest)), *new)

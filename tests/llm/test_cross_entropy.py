@@ -13,53 +13,8 @@ from tests.llm.frames import edge_docs, no_docs
 SETTINGS = ce.Settings()
 
 
-def test_tables_and_scores(spark):
-    rows = [(k, f"the cat {'sat' if k % 2 else 'ran'} on mat {k % 5}", k % 2 == 1) for k in range(40)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, good boolean").repartition(5)
-    table = ce.train(docs, docs["good"], SETTINGS)
-    models = ce.Models(table, SETTINGS)
-    words, pairs, contexts = [Counter(), Counter()], [Counter(), Counter()], [Counter(), Counter()]
-    for _, text, good in rows:
-        own = text.split()
-        for m in (0, 1) if good else (1,):
-            words[m].update(own)
-            pairs[m].update(zip(["", *own], own))
-            contexts[m].update(["", *own][:-1])
-    size = [sum(w.values()) for w in words]
-    share, vocabulary = [1.0, size[0] / size[1]], 1 << SETTINGS.word_bits
-    for _, text, _ in rows[:6]:
-        own = text.split()
-        for m in (0, 1):
-            single = lambda w: (words[m][w] * share[m] + 1) / (size[m] * share[m] + vocabulary)  # noqa: B023, E731
-            loss = [-math.log((pairs[m][a, b] * share[m] + SETTINGS.prior * single(b)) / (contexts[m][a] * share[m] + SETTINGS.prior)) for a, b in zip(["", *own], own)]
-            assert abs(models.losses(text)[1 + m] - sum(loss) / len(loss)) < 1e-9
-    assert ce.scored(docs, table).where("(loss_difference < 0) <> good").count() == 0
-
-
-def test_held_out(spark):
-    folder = "/root/testdata/sf0.01"
-    docs = spark.read.parquet(f"{folder}/documents.parquet").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
-    seen = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
-    table = ce.train(docs.where(seen), F.col("quality") == 1)
-    rows = ce.scored(docs.where(~seen), table).select("quality", "loss_difference").toPandas()
-    good, bad = rows[rows.quality == 1].loss_difference.to_numpy(), rows[rows.quality == 0].loss_difference.to_numpy()
-    assert (good[:, None] < bad[None, :]).mean() > 0.9
-
-
-def test_edge_cases(spark):
-    docs = edge_docs(spark)
-    table = ce.train(docs, F.lit(None).cast("boolean"))
-    assert table[0].sum() == 0 and table[1].sum() > 0
-    rows = ce.scored(docs, table).collect()
-    assert len(rows) == docs.count()
-    assert all((r["loss_difference"] is None) == (not (r["text"] or "").split()) for r in rows)
-    none = ce.train(no_docs(spark), F.lit(True))
-    assert not none.any() and ce.scored(no_docs(spark), none).count() == 0
-    assert np.isfinite(ce.Models(none, SETTINGS).losses("some words")[1])
-
-
 def loops(rows):
-    """(text, target, in the models) to words and mean losses by plain counting of words as strings."""
+    """(text, target, in the models) to words and mean losses by plain counting of words as strings, each text left out of its models."""
     words, pairs, contexts = [Counter(), Counter()], [Counter(), Counter()], [Counter(), Counter()]
     for text, good, held in rows:
         own = text.lower().split()
@@ -68,28 +23,57 @@ def loops(rows):
             pairs[m].update(zip(["", *own], own))
             contexts[m].update(["", *own][:-1] if own else [])
     size, vocabulary = [sum(w.values()) for w in words], len(words[1]) + 1
-    share = [1.0, size[0] / size[1] if size[1] else 1.0]
     out = []
-    for text, _, _ in rows:
+    for text, good, held in rows:
         own = text.lower().split()
-        sums = [0.0, 0.0]
+        mine = [Counter(own), Counter(zip(["", *own], own)), Counter(["", *own][:-1] if own else [])]
+        none = [Counter(), Counter(), Counter()]
+        less = [mine if held and good else none, mine if held else none]
+        left = [size[m] - less[m][0].total() for m in (0, 1)]
+        share, sums = [1.0, left[0] / left[1] if left[1] else 0.0], [0.0, 0.0]
         for m in (0, 1):
             for a, b in zip(["", *own], own):
-                single = (words[m][b] * share[m] + 1) / (size[m] * share[m] + vocabulary)
-                sums[m] -= math.log((pairs[m][a, b] * share[m] + SETTINGS.prior * single) / (contexts[m][a] * share[m] + SETTINGS.prior))
+                single = ((words[m][b] - less[m][0][b]) * share[m] + 1) / (left[m] * share[m] + vocabulary)
+                sums[m] -= math.log(((pairs[m][a, b] - less[m][1][a, b]) * share[m] + SETTINGS.prior * single) / ((contexts[m][a] - less[m][2][a]) * share[m] + SETTINGS.prior))
         out.append((len(own), *((x / len(own) for x in sums) if own else (None, None))))
     return out
 
 
+def auc(low, high):
+    """The chance that one of `low` is below one of `high`."""
+    return (low[:, None] < high[None, :]).mean() + (low[:, None] == high[None, :]).mean() / 2
+
+
+def test_scores_do_not_tell_who_was_counted(spark):
+    """Half of the good documents are named as targets: the named are not told from the unnamed."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").withColumn("good", F.expr("quality = 1 and toxic = 0"))
+    named = F.col("good") & (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    rows = ce.compared(docs, labels.where(named).select("doc_id")).join(labels.where("good").select("doc_id", named.alias("named")), "doc_id").dropna(subset=["loss_difference"]).toPandas()
+    assert 0.4 < auc(rows[rows.named].loss_difference.to_numpy(), rows[~rows.named].loss_difference.to_numpy()) < 0.6
+
+
+def test_held_out(spark):
+    """Models of one half of the documents tell the well written ones of the other half from the rest."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").join(labels.select("doc_id"), "doc_id")
+    seen = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    scored = ce.compared(docs, labels.where("quality = 1").select("doc_id"), in_models=F.pmod(F.xxhash64(docs["doc_id"]), F.lit(2)) == 0)
+    rows = scored.where(~seen).join(labels, "doc_id").dropna(subset=["loss_difference"]).select("quality", "loss_difference").toPandas()
+    assert auc(rows[rows.quality == 1].loss_difference.to_numpy(), rows[rows.quality == 0].loss_difference.to_numpy()) > 0.9
+
+
 def test_exact_beyond_any_table(spark):
-    """More distinct words and pairs than the hashed tables have places; frequent ones, words held out of the models, many chunks."""
+    """A million distinct words and pairs; frequent ones, texts held out of the models, many chunks."""
     rng = random.Random(5)
     rows = [(k, " ".join(f"w{rng.randrange(2_000_000)}" if rng.random() < 0.9 else "The cat" for _ in range(1000)), k % 3 == 0, k % 7 != 0) for k in range(1400)]
     rows += [(2000, "", True, True), (2001, "  \n", False, True), (2002, "alone", False, False), (9007199254740993, "the cat", True, True), (None, "the cat", False, True)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, good boolean, held boolean").repartition(5)
     targets = docs.where("good").select("doc_id")
     got = ce.compared(docs, targets, ce.Settings(chunk=1_500_000), in_models=docs["held"]).collect()
-    assert len({w for _, text, *_ in rows for w in text.split()}) > 1 << SETTINGS.word_bits
+    assert len({w for _, text, *_ in rows for w in text.split()}) > 500_000
     want = {i: x for (i, *_), x in zip(rows, loops([r[1:] for r in rows]))}
     assert len(got) == len(rows) and "text" not in got[0].asDict()
     for r in got:
