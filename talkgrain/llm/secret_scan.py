@@ -13,6 +13,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import add
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,7 +31,7 @@ LEAST_VALUE, LEAST_ACCESS = 8, 16
 
 # Fixed values of the scoring: how telling a word of a name is, and values that stand for no secret.
 NAME_WEIGHTS = {
-    "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 0.9, "credential": 0.9,
+    "password": 1.0, "passwd": 1.0, "pwd": 1.0, "pass": 0.8, "pw": 0.8, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 0.9, "credential": 0.9,
     "credentials": 0.9, "private": 0.8, "auth": 0.7, "bearer": 0.8, "signature": 0.6, "key": 0.6, "dsn": 0.6, "salt": 0.6,
 }
 PLACEHOLDER = re.compile(r"(?i)^(?:change_?me|example|placeholder|todo|none|null|nil|true|false|undefined|redacted|x+|\*+|\.+|your[-_ ].*|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%)$")
@@ -52,25 +54,59 @@ OWN_LINE = re.compile(r"""[^\s"'`,;(){}\[\]<>#]+(?=[^\S\n]*(?:\n|\Z))""")
 KEY = re.compile(r"[\w.-]+(?::|=[^=])|[^=]*:$")
 TYPE_WORDS = frozenset("str string String int integer Integer long float double bool boolean Boolean char byte bytes any Any object Object auto var let const None null Optional Final".split())
 BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>#]+""")
+PUT_IN = re.compile(r"\{\s*([^\W\d]\w*)\s*\}")
+LOOKUP = re.compile(r"(?i)(?:env|get|property|config|setting|lookup|fetch|param|option)s?$|getenv|environ|get_?(?:env|property|config|setting|param|option)")
+MEMBER = re.compile(r"\.[^\S\n]*[^\W\d][\w$]*")
+CHOICE = re.compile(r"[^\S\n]*(?:\bor\b|\|\||\?\?|\?:)[^\S\n]*")
+PIECE = re.compile(LITERAL.pattern + r"|(?P<call>[^\W\d][\w$]*(?:\.[^\W\d][\w$]*)*)|(?P<sign>[(),\[\]])")
+OWN_TEXT = re.compile(r"(?m)^[^\S\n]*(\S+)[^\S\n]*$")
+# Forms without a sign of assignment: name and literal.
+ELEMENT = re.compile(r"<([^\W\d][\w.:-]*)(?:\s[^<>]*)?>\s*([^<>\s]+)\s*</\1\s*>")
+DEFINED = re.compile(r"(?m)^[^\S\n]*#[^\S\n]*define[^\S\n]+([^\W\d]\w*)[^\S\n]+\"([^\"\s]+)\"")
+SETTER = re.compile(r"""\bset_?([^\W\d]\w*)\([^\S\n]*["']([^"'\s]+)["'][^\S\n]*\)""")
+BLOCK = re.compile(r"""(?m)^([^\S\n]*)(?:-[^\S\n]+)?["']?([\w.-]+)["']?[^\S\n]*:[^\S\n]*[|>][+-]?\d?[^\S\n]*\n((?:\1[^\S\n]+\S[^\n]*(?:\n|\Z))+)""")
 NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
 @dataclass(frozen=True)
 class Settings:
-    """least: score of a pair that counts. bits: information in a literal of full strength. joined: characters up to which a
-    concatenation is scored as one literal; the parts of a longer one are scored one by one."""
+    """least: score of a pair that counts. bits: information in a literal of full strength."""
 
     least: float = 0.3
     bits: float = 60.0
-    joined: int = 10_000
+
+
+@dataclass(frozen=True)
+class Look:
+    """What the score of a text needs, whatever its length: its first and last signs, and how often each sign occurs."""
+
+    head: str
+    tail: str
+    signs: Counter
+
+    ENDS = 16
+
+    @staticmethod
+    def of(text: str) -> Look:
+        return Look(text[: Look.ENDS], text[-Look.ENDS :], Counter(text))
+
+    def __add__(self, other: Look) -> Look:
+        return Look((self.head + other.head)[: Look.ENDS], (self.tail + other.tail)[-Look.ENDS :], self.signs + other.signs)
+
+    def stand_in(self) -> str:
+        """A text that is a placeholder just if the whole one is: placeholders are known by their ends, or by being one sign throughout."""
+        n = self.signs.total()
+        if n <= Look.ENDS:
+            return self.head
+        return self.head + "".join(sorted(self.signs)) + self.tail
 
 
 @dataclass
 class Value:
-    """What a name stands for: a literal of the text (start, end), or several values joined. told: its literals were found secret;
-    asked: the weight of the most telling name that it was judged under."""
+    """What a name stands for: a literal of the text (start, end), or several values joined, of which look tells the whole. told: its
+    literals were found secret; asked: the weight of the most telling name that it was judged under."""
 
-    text: str | None
+    look: Look | None
     start: int = -1
     end: int = -1
     quoted: bool = False
@@ -99,16 +135,19 @@ def name_weight(name: str) -> float:
     return max((NAME_WEIGHTS.get(w, 0.0) for w in words + joined), default=0.0)
 
 
-def strength(value: str, quoted: bool, settings: Settings) -> float:
+def strength(value: str | Look, quoted: bool, settings: Settings) -> float:
     """0 for placeholders and, unquoted, for values of one kind of character; else the information in it against `bits`."""
-    if len(value) < 6 or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+    look = Look.of(value) if isinstance(value, str) else value
+    n = look.signs.total()
+    if n < 6 or any(c.isspace() for c in look.signs) or PLACEHOLDER.match(look.stand_in()):
         return 0.0
-    kinds = any(c.isdigit() for c in value) + any(c.isalpha() for c in value) + any(not c.isalnum() for c in value)
+    kinds = any(c.isdigit() for c in look.signs) + any(c.isalpha() for c in look.signs) + any(not c.isalnum() for c in look.signs)
     if not quoted and kinds < 2:
         return 0.0
-    n = len(value)
-    per = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
-    return min(1.0, per * n / settings.bits)
+    if len(look.signs) > 1 and n.bit_length() > settings.bits + 1:
+        return 1.0  # n signs that are not all alike hold log2(n) bits at least
+    per = -sum(k / n * math.log2(k / n) for k in look.signs.values())
+    return min(1.0, per * n / settings.bits) if per else 0.0
 
 
 def _lines(text: str) -> Iterator[tuple[int, int]]:
@@ -130,17 +169,22 @@ def pair_spans(text: str, settings: Settings) -> list[tuple[int, int, int, int,
         lexemes = [(m.lastgroup, m.start(), m.end()) for m in LEXEME.finditer(text, start, end)]
         typed = {colon: k for k in range(len(lexemes)) if (colon := _colon(text, lexemes, k))}
         names = {k: colon for colon, k in typed.items()}
+        calls = Calls(text, start, end, known)
         for k, (kind, _, after) in enumerate(lexemes):
             if kind != "set" or not k or k in typed:
                 continue
             target = _target(text, lexemes, names.get(k, k))
-            value = _value(text, after, end, known, settings) if target else None
+            value = _value(text, after, end, known, calls) if target else None
             if value is None:
                 continue
             known[target] = value
             weight = name_weight(target)
             if weight:
                 _tell(value, weight, settings, found)
+    for name, places in _forms(text):
+        if weight := name_weight(name):
+            for start, end in places:
+                _tell(Value(Look.of(text[start:end]), start, end, True), weight, settings, found)
     return sorted(set(found), key=lambda x: (x[1], x[2]))
 
 
@@ -173,25 +217,35 @@ def _target(text: str, lexemes: list, k: int) -> str:
     return text[start:end] if kind == "name" else text[start + 1 : end - 1] if kind == "text" else ""
 
 
-def _literal(m: re.Match) -> Value:
+def _with_names(m: re.Match, literal: Value, inner: str, known: dict[str, Value]) -> Value:
+    """A literal, and the known values that an interpolation puts into it, each judged on its own."""
+    opened = m[0][: m[0].index(inner)] if inner else ""
+    if "f" in opened.lower() or opened.endswith("`"):
+        put = tuple(known[n] for n in dict.fromkeys(PUT_IN.findall(inner)) if n in known)
+        if put:
+            return Value(None, quoted=True, parts=(literal, *put))
+    return literal
+
+
+def _literal(m: re.Match, known: dict[str, Value]) -> Value:
     """A literal; one of several lines as its lines, joined if no line has spaces."""
     group = next(g for g in ("long", "double", "single", "back") if m[g] is not None)
     inner, start = m[group], m.start(group)
     if "\n" not in inner and group != "long":
-        return Value(inner, start, m.end(group), True)
+        return _with_names(m, Value(Look.of(inner), start, m.end(group), True), inner, known)
     lines = []
     for line in re.finditer(r"[^\n]+", inner):
         own = line[0].rstrip().removesuffix("\\").rstrip()
         skip = len(own) - len(own.lstrip())
         if own.strip():
-            lines.append(Value(own.strip(), start + line.start() + skip, start + line.start() + len(own), True))
+            lines.append(Value(Look.of(own.strip()), start + line.start() + skip, start + line.start() + len(own), True))
     if len(lines) == 1:
         return lines[0]
-    joined = "".join(x.text for x in lines)
-    return Value(None if any(c.isspace() for c in joined) else joined, quoted=True, parts=tuple(lines))
+    look = reduce(add, (x.look for x in lines)) if lines else Look.of("")
+    return Value(None if any(c.isspace() for c in look.signs) else look, quoted=True, parts=tuple(lines))
 
 
-def _value(text: str, after: int, end: int, known: dict[str, Value], settings: Settings) -> Value | None:
+def _value(text: str, after: int, end: int, known: dict[str, Value], calls: Calls) -> Value | None:
     """Literals and known names on the right, on the same line or after line breaks and opening brackets: joined by plus signs or side
     by side, and in brackets also one by one."""
     at, depth = BREAK.match(text, after).end(), 0
@@ -203,7 +257,7 @@ def _value(text: str, after: int, end: int, known: dict[str, Value], settings: S
     joins = True
     while at < len(text):
         if m := LITERAL.match(text, at):
-            one = _literal(m)
+            one = _literal(m, known)
         elif joins and (m := NAME.match(text, at)) and m[0] in known:
             one = known[m[0]]
         else:
@@ -216,30 +270,111 @@ def _value(text: str, after: int, end: int, known: dict[str, Value], settings: S
         if joins := text.startswith("+", at) and not text.startswith(("+=", "++"), at):
             at = BREAK.match(text, at + 1).end()
         elif depth and text.startswith(",", at):
-            values.append(_joined(parts, settings))
+            values.append(_joined(parts))
             parts, joins, at = [], True, BREAK.match(text, at + 1).end()
         elif not depth:
             beside = GAP.match(text, stop).end()
             if not (text.startswith("\\\n", beside) or beside == at):
                 break
     if parts:
-        values.append(_joined(parts, settings))
+        values.append(_joined(parts))
     if values:
         return values[0] if len(values) == 1 else Value(None, quoted=True, parts=tuple(values))
     if not broken:
+        form, value = _flowing(text, at, calls)
+        if form:
+            return value
         bare = BARE.match(text, at) if depth else BARE.match(text, GAP.match(text, after, end).end(), end)
     else:
         bare = OWN_LINE.match(text, at)
         bare = bare if bare and not KEY.match(bare[0]) else None
-    return Value(bare[0], bare.start(), bare.end()) if bare else None
+    return Value(Look.of(bare[0]), bare.start(), bare.end()) if bare else None
 
 
-def _joined(parts: list[Value], settings: Settings) -> Value:
+def _joined(parts: list[Value]) -> Value:
     if len(parts) == 1:
         return parts[0]
-    texts = [p.text for p in parts]
-    whole_text = "".join(texts) if all(t is not None for t in texts) and sum(map(len, texts)) <= settings.joined else None
-    return Value(whole_text, quoted=True, parts=tuple(parts))
+    look = None if any(p.look is None for p in parts) else reduce(add, (p.look for p in parts))
+    return Value(look, quoted=True, parts=tuple(parts))
+
+
+class Calls:
+    """The brackets of a line, each with its end and the literals in it, read once when first asked for. Inner brackets are part of the outer
+    ones. What a lookup is asked for, its first argument, is no value."""
+
+    def __init__(self, text: str, start: int, end: int, known: dict[str, Value]) -> None:
+        self.text, self.start, self.end, self.known = text, start, end, known
+        self.closed: dict[int, tuple[int, Value | None]] | None = None
+
+    def at(self, opener: int) -> tuple[int, Value | None] | None:
+        if self.closed is None:
+            self.closed = self._read()
+        return self.closed.get(opener)
+
+    def _read(self) -> dict[int, tuple[int, Value | None]]:
+        closed: dict[int, tuple[int, Value | None]] = {}
+        stack: list[tuple[int, bool, list[Value]]] = []
+        name, first = "", True
+        for m in PIECE.finditer(self.text, self.start, self.end):
+            sign = m["sign"]
+            if m["call"]:
+                name = m["call"]
+                continue
+            if not sign:
+                if stack and not (stack[-1][1] and first):
+                    stack[-1][2].append(_literal(m, self.known))
+            elif sign in "([":
+                stack.append((m.start(), sign == "[" or bool(LOOKUP.search(name)), []))
+                first = True
+            elif sign == ",":
+                first = False
+            elif stack:
+                opener, _, parts = stack.pop()
+                value = Value(None, quoted=True, parts=tuple(parts)) if parts else None
+                closed[opener] = m.end(), value
+                if value and stack and not (stack[-1][1] and first):
+                    stack[-1][2].append(value)
+                first = False
+            name = ""
+        return closed
+
+
+def _flowing(text: str, at: int, calls: Calls) -> tuple[bool, Value | None]:
+    """Literals that reach a name through a call or as the other choice: `decode("…")`, `getenv("NAME", "…")`, `x or "…"`. Whether the right side is
+    such a form, and its value."""
+    end = calls.end
+    m = NAME.match(text, at, end)
+    if not m:
+        return False, None
+    found: list[Value] = []
+    at, seen = m.end(), False
+    while at < end and text[at] in "([":
+        call = calls.at(at)
+        if call is None:
+            return False, None
+        found += [call[1]] if call[1] else []
+        at, seen = call[0], True
+        while more := MEMBER.match(text, at, end):
+            at = more.end()
+    while other := CHOICE.match(text, at, end):
+        one, seen = LITERAL.match(text, other.end(), end), True
+        if not one:
+            break
+        found.append(_literal(one, calls.known))
+        at = one.end()
+    return seen, Value(None, quoted=True, parts=tuple(found)) if found else None
+
+
+def _forms(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """Names and the places of their literals in forms without a sign of assignment: elements, definitions, setters, blocks of values."""
+    if "</" in text:
+        yield from ((m[1], [m.span(2)]) for m in ELEMENT.finditer(text))
+    if "define" in text:
+        yield from ((m[1], [m.span(2)]) for m in DEFINED.finditer(text))
+    if "set" in text:
+        yield from ((m[1], [m.span(2)]) for m in SETTER.finditer(text))
+    for m in BLOCK.finditer(text):
+        yield m[2], [(m.start(3) + x.start(1), m.start(3) + x.end(1)) for x in OWN_TEXT.finditer(m[3])]
 
 
 def _tell(value: Value, weight: float, settings: Settings, found: list) -> None:
@@ -250,9 +385,9 @@ def _tell(value: Value, weight: float, settings: Settings, found: list) -> None:
         if one.told or not sure and one.asked >= weight:
             continue  # nothing new below it, for this or a less telling name
         one.asked = max(one.asked, weight)
-        sure = sure or (one.text is not None and weight * strength(one.text, one.quoted, settings) >= settings.least)
+        sure = sure or (one.look is not None and weight * strength(one.look, one.quoted, settings) >= settings.least)
         if one.parts:
-            if sure or one.text is None:
+            if sure or one.look is None:
                 open_values += [(p, sure) for p in one.parts]
         elif sure and one.end > one.start:
             found.append((3, one.start, one.end, one.start, one.end))

@@ -105,6 +105,28 @@ def test_forms_of_assignment(text, literals):
     assert [text[a:b] for _, a, b, _, _ in ss.pair_spans(text, SETTINGS)] == literals
 
 
+@pytest.mark.parametrize("text, literals", [
+    ("DB_PASS=Zk39fQx81bTrW", ["Zk39fQx81bTrW"]),
+    ("<password>Zk39fQx81bTrW</password>", ["Zk39fQx81bTrW"]), ("<colour>Zk39fQx81bTrW</colour>", []),
+    ("secrets:\n  token: |\n    Zk39fQx81bTrW\n  colour: |\n    qP55sLm20vNcX\n", ["Zk39fQx81bTrW"]),
+    ('user.setPassword("Zk39fQx81bTrW")', ["Zk39fQx81bTrW"]), ('#define PASSWORD "Zk39fQx81bTrW"', ["Zk39fQx81bTrW"]),
+    ('p = "Zk39fQx81bTrW"\ntoken = f"{p}-v1"', ["Zk39fQx81bTrW"]),
+    ('password = os.getenv("DB_PASSWORD_1", "Zk39fQx81bTrW")', ["Zk39fQx81bTrW"]), ('password = os.environ["DB_PASSWORD_1"]', []), ('password = os.getenv("DB_PASSWORD_1")', []),
+    ('password = os.environ.get("DB_PASSWORD_1") or "Zk39fQx81bTrW"', ["Zk39fQx81bTrW"]), ('const password = process.env.PW1 || "Zk39fQx81bTrW";', ["Zk39fQx81bTrW"]),
+    ('password = decode(strip("Zk39fQx81bTrW"))', ["Zk39fQx81bTrW"]), ('colour = decode("Zk39fQx81bTrW")', []),
+])
+def test_forms_without_a_plain_literal(text, literals):
+    assert [text[a:b] for _, a, b, _, _ in ss.pair_spans(text, SETTINGS)] == literals
+
+
+@pytest.mark.parametrize("pieces", [10, 1999, 2001, 30_000])
+def test_joined_values_of_any_length(pieces):
+    parts = [f'"x{k % 10}y{k % 7}z"' for k in range(pieces)]
+    assert len(ss.pair_spans("password = (" + " + ".join(parts) + ")", SETTINGS)) == pieces
+    assert len(ss.pair_spans("colour = (" + " + ".join(parts) + ")", SETTINGS)) == 0
+    assert ss.pair_spans('password = "your_" + ' + " + ".join(parts), SETTINGS) == []
+
+
 def test_long_texts_of_marks_stay_linear():
-    for text in ('a = (\n' * 20_000, 'a: ' * 20_000, 'token = """' * 5_000, "x = `" * 20_000 + "\n", "a:\n" * 20_000):
+    for text in ("x=f(" * 20_000, "x=f(" * 20_000 + ")" * 20_000, "password=f(\"" * 20_000, "<a>" * 20_000, "a: |\n" * 20_000, 'a = (\n' * 20_000, 'a: ' * 20_000, 'token = """' * 5_000, "x = `" * 20_000 + "\n", "a:\n" * 20_000):
         ss.pair_spans(text, SETTINGS)
