@@ -2,7 +2,8 @@
 
 Documents and benchmark items that share a seed, a run of `least` words, are compared: the longest common runs that do not
 overlap are marked, longest first, and the share of the item that the marked tiles cover decides. As tiles may come in any order,
-passages whose sentences were moved about are caught too.
+passages whose sentences were moved about are caught too. Items of few words are looked for whole. In scripts without spaces each
+sign is a word.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ from pyspark.sql import functions as F
 from talkgrain.llm.shared import picked, whole
 
 OTHER = re.compile(r"[\W_]+")
+# Thai, Lao, Khmer, Burmese, kana and ideographs.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """least: words of the shortest tile. coverage: per cent of an item's words that tiles must cover. item_words: shorter items
-    say too little to be looked for. block_words: benchmark words searched for in one pass, which bounds what is broadcast; a larger
+    """least: words of the shortest tile. coverage: per cent of an item's words that tiles must cover. item_words: an item of fewer
+    words leaks only where all its words stand in a row. block_words: benchmark words searched for in one pass, which bounds what is broadcast; a larger
     benchmark takes more blocks. known_words: forms remembered by a task."""
 
     least: int = 4
@@ -35,9 +38,14 @@ class Settings:
     known_words: int = 400_000
 
 
+def forms_of(text: str) -> list[str]:
+    """What stands between white space, and each sign of a script without spaces."""
+    return (text if text.isascii() else UNSPACED.sub(r" \g<0> ", text)).split()
+
+
 def words(text: str) -> list[str]:
-    """Letters and digits of what stands between white space, in lower case."""
-    return [x for w in text.split() if (x := OTHER.sub("", w).lower())]
+    """Letters and digits of each form, in lower case."""
+    return [x for w in forms_of(text) if (x := OTHER.sub("", w).lower())]
 
 
 def window_hashes(ids: np.ndarray, size: int) -> np.ndarray:
@@ -109,7 +117,8 @@ def _free_windows(free: np.ndarray, size: int) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Items of the benchmark, their words as ids from 1, and their seeds sorted by hash."""
+    """Items of the benchmark, their words as ids from 1, and their seeds sorted by hash. short: by number of words, the hashes of the
+    items that are looked for whole, sorted, and the items."""
 
     names: list[str]
     items: list[np.ndarray]
@@ -117,17 +126,25 @@ class Block:
     seeds: np.ndarray
     seed_item: np.ndarray
     seed_at: np.ndarray
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
     @staticmethod
-    def of(rows: list[tuple[str, list[str]]], least: int) -> Block:
+    def of(rows: list[tuple[str, list[str]]], settings: Settings) -> Block:
+        least, brief = settings.least, max(settings.item_words, settings.least)
         ids: dict[str, int] = {}
         items = [np.array([ids.setdefault(w, len(ids) + 1) for w in own], np.uint64) for _, own in rows]
-        hashes = [window_hashes(x, least) for x in items]
+        hashes = [window_hashes(x, least) if len(x) >= brief else np.zeros(0, np.uint64) for x in items]
         seeds = np.concatenate(hashes)
         order = np.argsort(seeds, kind="stable")
         item = np.repeat(np.arange(len(items)), [len(h) for h in hashes])
         at = np.concatenate([np.arange(len(h)) for h in hashes])
-        return Block([n for n, _ in rows], items, ids, seeds[order], item[order], at[order])
+        short = {}
+        for n in sorted({len(x) for x in items if len(x) < brief}):
+            own = np.array([k for k, x in enumerate(items) if len(x) == n])
+            whole_hashes = np.concatenate([window_hashes(items[k], n) for k in own])
+            by_hash = np.argsort(whole_hashes, kind="stable")
+            short[n] = whole_hashes[by_hash], own[by_hash]
+        return Block([n for n, _ in rows], items, ids, seeds[order], item[order], at[order], short)
 
 
 class Searcher:
@@ -144,10 +161,28 @@ class Searcher:
 
     def leaks(self, text: str) -> list[tuple[str, int, int, int, int]]:
         """(item, its words, words covered, tiles, longest tile) of each item that the text covers enough."""
-        block, least = self.block, self.settings.least
         forms = self.forms
-        ids = np.array([forms[w] if w in forms else self._id(w) for w in text.split()], np.int64)
+        ids = np.array([forms[w] if w in forms else self._id(w) for w in forms_of(text)], np.int64)
         ids = ids[ids >= 0].astype(np.uint64)
+        return self._short(ids) + self._long(ids)
+
+    def _short(self, ids: np.ndarray) -> list[tuple[str, int, int, int, int]]:
+        """Items of few words that stand in the text as a whole."""
+        block, out = self.block, []
+        for n, (hashes, items) in block.short.items():
+            places = _free_windows(ids > 0, n)
+            if not len(places):
+                continue
+            own, first = np.unique(window_hashes(ids, n)[places], return_index=True)
+            low, high = np.searchsorted(own, hashes, "left"), np.searchsorted(own, hashes, "right")
+            for k in np.nonzero(high > low)[0].tolist():
+                at = places[first[low[k]]]
+                if np.array_equal(ids[at : at + n], block.items[items[k]]):
+                    out.append((block.names[items[k]], n, n, 1, n))
+        return out
+
+    def _long(self, ids: np.ndarray) -> list[tuple[str, int, int, int, int]]:
+        block, least = self.block, self.settings.least
         places = _free_windows(ids > 0, least)
         if not len(places):
             return []
@@ -185,28 +220,32 @@ def _near(ids: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
 
 
 def blocks_of(benchmark: DataFrame, settings: Settings, *, item_col: str, text_col: str) -> Iterator[Block]:
-    """The benchmark, a bounded number of words at a time. Items that repeat count once; NULL, empty and short texts are left out."""
+    """The benchmark, a bounded number of words at a time. Items that repeat count once; NULL texts and those without words are left out."""
     rows = picked(benchmark, item=F.coalesce(benchmark[item_col].cast("string"), F.lit("")), text=text_col).where("text is not null").distinct().orderBy("item", "text")
     held: list[tuple[str, list[str]]] = []
     size = 0
     for row in rows.toLocalIterator():
         own = words(row["text"])
-        if len(own) < settings.item_words:
+        if not own:
             continue
         if held and size + len(own) > settings.block_words:
-            yield Block.of(held, settings.least)
+            yield Block.of(held, settings)
             held, size = [], 0
         held.append((row["item"], own))
         size += len(own)
     if held:
-        yield Block.of(held, settings.least)
+        yield Block.of(held, settings)
 
 
 LEAKS = "array<struct<item string, words long, covered long, tiles long, longest long>>"
 
 
 def marked(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", leaks_col: str = "leaks") -> DataFrame:
-    """docs with the benchmark items that each whole text leaks; an empty list for NULL and empty texts, or an empty benchmark."""
+    """docs with the benchmark items that each whole text leaks; an empty list for NULL and empty texts, or an empty benchmark.
+
+    Rows that repeat are searched one by one, items that repeat are reported once, and a NULL id of an item is reported as empty. Of equally
+    long tiles the first in the item, then the first in the text is marked. A column of docs with the new name is replaced.
+    """
     settings = settings or Settings()
     context = docs.sparkSession.sparkContext
     found = []

@@ -70,6 +70,26 @@ def test_reordered_and_edited_passages(spark):
     assert found[2] == [] and len(found[3]) == 1 and found[4] == found[5] == found[6] == found[7] == []
 
 
+def test_short_items_are_found_whole(spark):
+    """On both sides of item_words: up to it as one run, from it on by tiles; signs of scripts without spaces are words."""
+    seven, eight = "alpha beta gamma delta omega sigma kappa", "alpha beta gamma delta omega sigma kappa theta"
+    items = [(1, seven), (2, eight), (3, "Lisbon"), (4, "two, words"), (5, "量子計算機は暗号を破る"), (6, "...")]
+    found = leaks(spark, [
+        f"so {seven.upper()}! end", "alpha beta gamma delta omega", "x alpha beta gamma delta y sigma kappa", "in Lisbon, two words", "two other words", "彼は言った量子計算機は暗号を破ると", "量子 暗号", "Lisbon " * 3000 + "Two words"], items)
+    names = {k: sorted(x[0] for x in v) for k, v in found.items()}
+    assert names == {0: ["1", "2"], 1: ["2"], 2: ["2"], 3: ["3", "4"], 4: [], 5: ["5"], 6: [], 7: ["3", "4"]}
+    assert found[0] == [("1", 7, 7), ("2", 7, 8)]
+
+
+def test_short_items_against_plain_search():
+    rng = random.Random(8)
+    items = [(str(k), [rng.choice("abcd") for _ in range(rng.randrange(1, 8))]) for k in range(60)]
+    searcher = dc.Searcher(dc.Block.of(items, SETTINGS), SETTINGS)
+    for _ in range(40):
+        text = " ".join(rng.choice("abcde") for _ in range(rng.randrange(0, 30)))
+        assert sorted(x[0] for x in searcher.leaks(text)) == sorted(n for n, own in items if f" {' '.join(own)} " in f" {text} ")
+
+
 def test_blocks_agree(spark):
     rng = random.Random(5)
     items = [(k, " ".join(rng.choice("abcdefghij") * 3 for _ in range(20))) for k in range(12)] + [(None, ITEM), (50, None), (51, ""), (52, "too short"), (3, ITEM)]
