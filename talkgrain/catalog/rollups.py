@@ -139,6 +139,33 @@ def ag_8_metrics(t: Inputs) -> DataFrame:
     return rollup.metric_span(rollup.metric_totals(keyed_calls(t), t.marks), FROM, TO)
 
 
+_SECTION = """case when criterion in ('bda_and_company_intro', 'purpose_of_call') then 'introduction' when criterion = 'qualification_questions' then 'qualification'
+  when criterion in ('why_what_how_explanation', 'benefits_for_their_study') then 'product_and_pricing' when criterion = 'rebuttal_for_objections' then 'rebuttal'
+  when criterion = 'two_way_conversation' then 'conversation' end"""
+
+
+@query("ag_8_section_span", f"""
+select pk, section, round(sum(metric_sum), 4) as section_sum, round(sum(metric_sum / metric_count), 4) as section_mean, count(*) as criteria from (
+select pk, criterion, {_SECTION} as section, sum(coalesce(metric_sum, 0)) as metric_sum, sum(metric_count) as metric_count
+from s_metrics where date_key between '{FROM}' and '{TO}' group by 1, 2, 3) c group by 1, 2
+""")
+def ag_8_sections(t: Inputs) -> DataFrame:
+    return rollup.section_span(rollup.metric_totals(keyed_calls(t), t.marks), FROM, TO)
+
+
+def _open_sql(name: str, bounds: str) -> str:
+    return f"select '{name}' as range, pk, count(*) as days, sum(total_calls)::bigint as total_calls, sum(scored_calls)::bigint as scored_calls, round(round(sum(score_sum), 4) / nullif(sum(scored_calls), 0), 4) as score_mean from s_rollup where {bounds} group by pk"
+
+
+@query("ag_8_open_spans", " union all ".join([_open_sql("since", f"date_key >= '{FROM}'"), _open_sql("until", f"date_key <= '{TO}'"), _open_sql("all", "true")]))
+def ag_8_open(t: Inputs) -> DataFrame:
+    """Ranges that are open at an end, or at both, of teams, agents and the floor."""
+    days = day_rollup(t)
+    spans = [rollup.span(days, start, end).select(F.lit(name).alias("range"), "pk", "days", "total_calls", "scored_calls", "score_mean")
+             for name, start, end in (("since", f"{FROM}T00:00:00", None), ("until", None, TO), ("all", None, None))]
+    return spans[0].unionByName(spans[1]).unionByName(spans[2])
+
+
 @query("ag_9_section_marks", """
 select call_id, case when criterion in ('bda_and_company_intro', 'purpose_of_call') then 'introduction' when criterion = 'qualification_questions' then 'qualification'
   when criterion in ('why_what_how_explanation', 'benefits_for_their_study') then 'product_and_pricing' when criterion = 'rebuttal_for_objections' then 'rebuttal'

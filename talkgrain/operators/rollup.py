@@ -132,23 +132,46 @@ def section_sums(metrics: DataFrame, keys: list[str], value: str = "awarded", ou
             .groupBy(*keys, "section").agg(F.sum(value).alias(out)))
 
 
-def span(rollups: DataFrame, start: str, end: str, scope: str | None = None) -> DataFrame:
-    """One row per key over an inclusive range of days: sums added, then divided once."""
-    rows = rollups.where(F.col("date_key").between(start, end))
+def in_days(rows: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Rows of an inclusive range of days, open at an end that isn't given. Ends may be timestamps in text; rows without a day are in no
+    range that has an end. On a table stored by ``date_key`` only the days of the range are read."""
+    if start:
+        rows = rows.where(F.col("date_key") >= start[:10])
+    if end:
+        rows = rows.where(F.col("date_key") <= end[:10])
+    return rows
+
+
+def span(rollups: DataFrame, start: str | None = None, end: str | None = None, scope: str | None = None, pk: str | None = None) -> DataFrame:
+    """One row per key over a range of days, open or closed: sums added, then divided once."""
+    rows = in_days(rollups, start, end)
     if scope is not None:
         rows = rows.where(F.col("scope") == scope)
+    if pk is not None:
+        rows = rows.where(F.col("pk") == pk)
     added = rows.groupBy("pk").agg(*[F.sum(c).alias(c) for c in SUMS], F.max("score_max").alias("score_max"),
                                    F.min("score_min").alias("score_min"), F.count("*").alias("days"))
     return added.withColumns({"score_sum": F.round("score_sum", 4),
                               "score_mean": F.round(F.try_divide("score_sum", "scored_calls"), 4)})
 
 
-def metric_span(metrics: DataFrame, start: str, end: str) -> DataFrame:
+def metric_span(metrics: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Mean mark per key and criterion over a range of days."""
-    rows = metrics.where(F.col("date_key").between(start, end))
-    added = rows.groupBy("pk", "criterion").agg(
+    return _criterion_sums(metrics, start, end).withColumn("metric_mean", F.round(F.try_divide("metric_sum", "metric_count"), 4))
+
+
+def section_span(metrics: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Per key and section over a range of days: the sum of its criteria, and the sum of their means."""
+    means = _criterion_sums(metrics, start, end).withColumns({
+        "section": marks.section_of("criterion"), "mean": F.try_divide("metric_sum", "metric_count")})
+    added = means.where("section is not null").groupBy("pk", "section").agg(
+        F.sum("metric_sum").alias("section_sum"), F.sum("mean").alias("section_mean"), F.count("mean").alias("criteria"))
+    return added.withColumns({c: F.round(c, 4) for c in ("section_sum", "section_mean")})
+
+
+def _criterion_sums(metrics: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    return in_days(metrics, start, end).groupBy("pk", "criterion").agg(
         F.sum(F.coalesce("metric_sum", F.lit(0.0))).alias("metric_sum"), F.sum("metric_count").alias("metric_count"))
-    return added.withColumn("metric_mean", F.round(F.try_divide("metric_sum", "metric_count"), 4))
 
 
 def leaderboard(spans: DataFrame, by: str = "score_mean", step: float = 0.01) -> DataFrame:

@@ -67,3 +67,31 @@ def test_finished_calls_leave_the_state(spark, tmp_path):
     assert [r["call_id"] for r in spark.read.schema("call_id string, since timestamp, failed_at timestamp").parquet(out).collect()] == ["c19"]
     seen = spark.read.format("statestore").option("stateVarName", "seen").load(str(tmp_path / "state"))
     assert {r["key"]["call_id"] for r in seen.collect()} <= {"z"}
+
+
+def test_spans_read_only_their_days(spark, tmp_path):
+    """A range is a filter on partitions, open or closed, and gives the sums of its days."""
+    from talkgrain.operators import rollup
+
+    numbers = {c: "double" if c == "score_sum" else "long" for c in rollup.SUMS}
+    schema = "pk string, scope string, score_max double, score_min double, " + ", ".join(f"{c} {k}" for c, k in numbers.items()) + ", date_key string"
+    rows = [(pk, "TEAM", 5.0 + d, 1.0 + d, *[float(d) if c == "score_sum" else d for c in rollup.SUMS], f"2026-01-0{d}") for pk in ("a", "b") for d in range(1, 8)]
+    spark.createDataFrame(rows, schema).write.partitionBy("date_key").parquet(str(tmp_path / "days"))
+    stored = spark.read.schema(schema).parquet(str(tmp_path / "days"))
+    for start, end, days in (("2026-01-03", "2026-01-05", [3, 4, 5]), ("2026-01-06T10:00:00", None, [6, 7]), (None, "2026-01-02", [1, 2]), (None, None, range(1, 8))):
+        out = rollup.span(stored, start, end, pk="b")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters: ["):].split("]")[0]
+        assert (start is None or "date_key" in filters and f">= {start[:10]}" in filters) and (end is None or f"<= {end}" in filters)
+        row = out.collect()
+        assert len(row) == 1 and row[0]["days"] == len(days) and row[0]["total_calls"] == sum(days)
+        assert row[0]["score_max"] == 5.0 + max(days) and row[0]["score_min"] == 1.0 + min(days) and row[0]["score_mean"] == 1.0
+
+
+def test_section_span(spark):
+    from talkgrain.operators import rollup
+
+    rows = [("a", "2026-01-01", "bda_and_company_intro", 6.0, 2), ("a", "2026-01-02", "bda_and_company_intro", None, 1), ("a", "2026-01-02", "purpose_of_call", 3.0, 1), ("a", "2026-01-09", "purpose_of_call", 9.0, 1), ("a", "2026-01-01", "no_such", 1.0, 1)]
+    metrics = spark.createDataFrame(rows, "pk string, date_key string, criterion string, metric_sum double, metric_count long")
+    got = rollup.section_span(metrics, None, "2026-01-05").collect()
+    assert [(r["pk"], r["section"], r["section_sum"], r["section_mean"], r["criteria"]) for r in got] == [("a", "introduction", 9.0, 5.0, 2)]
