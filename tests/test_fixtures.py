@@ -157,6 +157,40 @@ def test_overlapping_pairs_by_brute_force(spark, share):
     assert got == want
 
 
+def test_many_phrases_in_one_group(spark):
+    """More phrases than are tried one by one, of words and of parts of words, give the same places."""
+    from talkgrain.plans import lookup
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcd", k=rng.randint(1, 5))) for _ in range(60)]
+    texts = [("g", " ".join(rng.choices(words, k=8)), i) for i in range(80)]
+    asked = sorted({" ".join(rng.choice(texts)[1].split(" ")[rng.randint(0, 4):][:rng.randint(1, 4)])[rng.randint(0, 1):].strip() or "a" for _ in range(400)})
+    assert len({(p.split(" ")[1:-1] or [max(p.split(" "), key=len)[:3]])[0] for p in asked}) > lookup.FEW
+    got = {r["p"]: r["at"] for r in first_containing(
+        spark.createDataFrame([("g", p) for p in asked], "k string, p string"), spark.createDataFrame(texts, "k string, t string, i long"), ["k"], "p", "t", "i", "at").collect()}
+    assert got == {p: min(i for _, t, i in texts if p in t) for p in asked if any(p in t for _, t, _ in texts)}
+
+
+def test_lookup_moves_asked_anchors_only(spark):
+    """What goes from texts to phrases does not grow with the words of a text."""
+    texts = spark.createDataFrame([("g", f"{' '.join(f'w{k}x{i}' for k in range(300))} the very end", i) for i in range(5)], "k string, t string, i long")
+    asked = spark.createDataFrame([("g", "the very end"), ("g", "w7x4")], "k string, p string")
+    found = first_containing(asked, texts, ["k"], "p", "t", "i", "at")
+    assert {r["p"]: r["at"] for r in found.collect()} == {"the very end": 0, "w7x4": 4}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" in plan and plan.index("Generate explode(_found") >= 0
+
+
+@pytest.mark.parametrize("few", [0, 1_000, 1_000_000])
+def test_overlapping_pairs_of_small_and_large_groups(spark, few):
+    rng = random.Random(4)
+    side = lambda: [(g, i, rng.sample("abcdefghijklmnop", rng.randint(0, 7))) for g, n in (("s", 9), ("t", 50)) for i in range(n)]
+    a, b = side(), side()
+    got = sorted((r["k"], r["l"], r["r"]) for r in overlapping_pairs(
+        spark.createDataFrame(a, "k string, l long, tokens array<string>"), spark.createDataFrame(b, "k string, r long, tokens array<string>"), "k", "l", "r", few=few).collect())
+    assert got == sorted((g, i, j) for g, i, x in a for h, j, y in b if g == h and x and y and len(set(x) & set(y)) / min(len(x), len(y)) >= 0.5)
+
+
 def test_order_statistics(spark):
     rng = random.Random(3)
     data = [(str(k), rng.randint(0, 5000)) for k in range(3) for _ in range(10 + k)]
