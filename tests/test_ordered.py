@@ -148,6 +148,19 @@ def test_merge_neighbours(spark, width, span):
     assert got == want
 
 
+def test_groups_are_dealt_anew_after_a_join(spark):
+    """Without a shuffle of its own, a scan of joined rows is torn apart when the join turns into a broadcast at run time."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a, b = (spark.range(40).selectExpr("id % 4 as k", f"id as {c}") for c in "xy")
+        out = scan.streamed(a.join(b, ["k"]), ["k"], ["x"], ["x"], "n bigint", lambda _, rows: [(sum(1 for _ in rows),)])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in plan[plan.index("MapInArrow"):plan.index("SortMergeJoin")]
+        assert sorted(tuple(r) for r in out.collect()) == [(k, 100) for k in range(4)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def loop_dedupe(items):
     kept = []
     for f in sorted(items, key=lambda f: f["seq"]):
