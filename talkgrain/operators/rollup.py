@@ -151,8 +151,9 @@ def span(rollups: DataFrame, start: str | None = None, end: str | None = None, s
         rows = rows.where(F.col("pk") == pk)
     added = rows.groupBy("pk").agg(*[F.sum(c).alias(c) for c in SUMS], F.max("score_max").alias("score_max"),
                                    F.min("score_min").alias("score_min"), F.count("*").alias("days"))
-    return added.withColumns({"score_sum": F.round("score_sum", 4),
-                              "score_mean": F.round(F.try_divide("score_sum", "scored_calls"), 4)})
+    # the mean is that of the settled sum: the raw one depends on the order of the days
+    settled = added.withColumn("score_sum", F.round("score_sum", 4))
+    return settled.withColumn("score_mean", F.round(F.try_divide("score_sum", "scored_calls"), 4))
 
 
 def metric_span(metrics: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

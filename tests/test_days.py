@@ -95,3 +95,13 @@ def test_section_span(spark):
     metrics = spark.createDataFrame(rows, "pk string, date_key string, criterion string, metric_sum double, metric_count long")
     got = rollup.section_span(metrics, None, "2026-01-05").collect()
     assert [(r["pk"], r["section"], r["section_sum"], r["section_mean"], r["criteria"]) for r in got] == [("a", "introduction", 9.0, 5.0, 2)]
+
+
+def test_means_of_spans_go_by_the_settled_sum(spark):
+    from talkgrain.operators import rollup
+
+    numbers = ", ".join(f"{c} {'double' if c == 'score_sum' else 'long'}" for c in rollup.SUMS)
+    rows = [("a", "TEAM", 1.0, 1.0, *[0.1 if c == "score_sum" else 5 if d == 9 else 3 for c in rollup.SUMS], f"2026-01-1{d}") for d in range(10)]
+    days = spark.createDataFrame(rows, f"pk string, scope string, score_max double, score_min double, {numbers}, date_key string").coalesce(1)
+    row = rollup.span(days).first()
+    assert (row["score_sum"], row["scored_calls"], row["score_mean"]) == (1.0, 32, 0.0313)  # 0.1 ten times adds up to a little less than 1
