@@ -160,7 +160,8 @@ def apply_status_changes(calls: DataFrame, changes: DataFrame, order: tuple[str,
     stored = calls.select("call_id", "processing_status")
     tried = changes.join(stored, "call_id", "left")
     by = [*order, "expected_status", "new_status"]
-    ranked = tried.repartition("call_id").sortWithinPartitions("call_id", *by)
+    # by a hash: a shuffle by the key itself is left out after the join, which may turn into a broadcast at run time
+    ranked = tried.repartition(F.xxhash64("call_id")).sortWithinPartitions("call_id", *by)
 
     def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call, status = None, None
