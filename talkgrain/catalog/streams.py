@@ -96,7 +96,7 @@ def stm_5(t: Inputs) -> DataFrame:
     t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     calls = _view_stream(t, "v_calls")
     changes = calls.select("call_id", "processing_status", *(F.col(c).cast("timestamp").alias(c) for c in ("status_at", "started_at")))
-    return _run(t, jobs.stalled_ingests(changes)).select("call_id", timing.iso_utc("since").alias("since"))
+    return _run(t, jobs.stalled_by_session(changes)).select("call_id", timing.iso_utc("since").alias("since"))
 
 
 @query("stm_6_insert_if_absent", "select callid from v_known union select callid from s_first")

@@ -104,6 +104,21 @@ def stalled_ingests(changes: DataFrame, minutes: int = K.STUCK_AFTER_MINUTES, de
             .transformWithStateInPandas(_StallWatch(minutes), STALL_OUTPUT, "Append", "EventTime"))
 
 
+def stalled_by_session(changes: DataFrame, minutes: int = K.STUCK_AFTER_MINUTES, delay: str = "10 minutes") -> DataFrame:
+    """``stalled_ingests`` without Python, for many calls: changes of a call less than ``minutes`` apart are one session.
+
+    A session is given out once the watermark has passed its last change by ``minutes``; if that change is INGESTING, the call was stuck all
+    the while.  What comes of it does not hang on how rows are dealt into batches.  At one time, a change that ends the ingest counts last.
+    """
+    if "started_at" in changes.columns:
+        changes = changes.withColumn("status_at", F.coalesce("status_at", "started_at")).drop("started_at")
+    ingesting = F.coalesce(F.col("processing_status") == "INGESTING", F.lit(False))
+    newest = F.max(F.struct(F.col("status_at").alias("at"), (~ingesting).alias("done"))).alias("last")
+    sessions = (changes.withWatermark("status_at", delay)
+                .groupBy("call_id", F.session_window("status_at", f"{minutes} minutes").alias("w")).agg(newest))
+    return sessions.where("not last.done").select("call_id", F.col("last.at").alias("since"), F.col("w.end").alias("failed_at"))
+
+
 def insert_if_absent_batch(path: str, key: str = "call_id") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink that writes only keys the table at ``path`` does not hold.
 

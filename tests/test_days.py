@@ -69,6 +69,26 @@ def test_finished_calls_leave_the_state(spark, tmp_path):
     assert {r["key"]["call_id"] for r in seen.collect()} <= {"z"}
 
 
+def test_stalls_by_session(spark, tmp_path):
+    """Any number of calls stays in the JVM; late, repeated and far apart changes count by their times, however they are dealt into batches."""
+    schema = "call_id string, processing_status string, status_at timestamp"
+    begin = datetime(2026, 9, 1)
+    at = lambda minutes: begin + timedelta(minutes=minutes)
+    end = [[("z", "PROCESSED", at(3000 * k))] for k in (1, 2)]
+    rows = [("stuck", "INGESTING", at(0)), ("quick", "INGESTING", at(0)), ("quick", "PROCESSED", at(5)), ("again", "INGESTING", at(0)), ("again", "INGESTING", at(30)), ("late", "PROCESSED", at(9)),
+            ("late", "INGESTING", at(4)), ("slow", "INGESTING", at(1)), ("slow", "PROCESSED", at(200)), ("tie", "INGESTING", at(2)), ("tie", "FAILED", at(2)), ("odd", None, at(2))]
+    found = []
+    for name, batches in (("one", [rows, *end]), ("two", [rows[:6], rows[6:], *end])):
+        source, out = str(tmp_path / name / "in"), str(tmp_path / name / "out")
+        for k, batch in enumerate(batches):
+            spark.createDataFrame(batch, schema).coalesce(1).write.parquet(f"{source}/b{k}")
+            stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+            made = jobs.stalled_by_session(stream, delay="300 minutes")
+            made.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / name / "state")).trigger(availableNow=True).start().awaitTermination()
+        found.append(sorted((r["call_id"], r["since"], r["failed_at"]) for r in spark.read.schema("call_id string, since timestamp, failed_at timestamp").parquet(out).collect()))
+    assert found[0] == found[1] == [("again", at(30), at(90)), ("slow", at(1), at(61)), ("stuck", at(0), at(60))]
+
+
 def test_spans_read_only_their_days(spark, tmp_path):
     """A range is a filter on partitions, open or closed, and gives the sums of its days."""
     from talkgrain.operators import rollup
