@@ -20,7 +20,7 @@ SUMMARY = "sales_summary"
 
 def read_reports(documents: DataFrame, body: str = "body", out: str = "report") -> DataFrame:
     """JSON documents as typed reports, without their text."""
-    return documents.withColumn(out, F.from_json(body, schemas.REPORT)).drop(body)
+    return places.held(documents, out, F.from_json(body, schemas.REPORT)).drop(body)
 
 
 def citations(reports: DataFrame, report: str = "report", kind: T.StructType = schemas.REPORT) -> DataFrame:
@@ -53,7 +53,7 @@ def trimmed(reports: DataFrame, report: str = "report", log: str = "trims") -> D
 
     capped = places.gathered(F.col(report), schemas.REPORT, lambda name, leaf: change(name, leaf) is not None, entry)
     over = F.transform(F.filter(capped, lambda e: e["was"] > e["cap"]), cut)
-    return reports.withColumns({report: places.rewritten(F.col(report), schemas.REPORT, change), log: over})
+    return places.held(reports, log, over).withColumn(report, places.rewritten(F.col(report), schemas.REPORT, change))
 
 
 def scrubbed(reports: DataFrame, report: str = "report", log: str = "scrubs") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,15 @@ def last(name: str) -> str:
     return name.rsplit(".", 1)[-1]
 
 
+def held(df: DataFrame, out: str, value: Column) -> DataFrame:
+    """``withColumn`` for a value that many expressions read: it is worked out once a row.
+
+    A plain column is written into each of its readers where a filter on one of them moves down, and a document would be parsed again for
+    every field.  A generator's column is not.
+    """
+    return df.select(*[c for c in df.columns if c != out], F.explode(F.array(value)).alias(out))
+
+
 def gathered(value: Column, kind: T.DataType, wanted: Rule, entry: Callable[[Column, str, Column], Column],
              path: Column | None = None, name: str = "") -> Column | None:
     """An array of ``entry(path, field, value)`` over every leaf that ``wanted(field, type)`` takes, in the order of the schema.

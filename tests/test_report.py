@@ -83,6 +83,20 @@ def test_scrubs(typed):
     assert row["report"]["call_purpose"]["text"] == "asked"
 
 
+def _times(df, word):
+    df.sparkSession.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        return df._jdf.queryExecution().optimizedPlan().toString().count(word)
+    finally:
+        df.sparkSession.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_a_report_is_parsed_once(documents):
+    """Not once for each of its fields, where an explode of the log sends a filter down."""
+    rows = report.trimmed(report.read_reports(documents)).select("call_id", F.explode("trims").alias("l"))
+    assert _times(rows, "from_json(") == 1
+    assert {r["l"]["path"] for r in rows.collect()} >= {"lead_relevance.reason", "sales_summary.snapshot_points[2]"}
+
 def test_unknown_keys(documents):
     rows = report.unknown_keys(documents).collect()
     assert {(r["call_id"], r["path"]) for r in rows} == {("d", p) for p in ("call_purpose.stray", "timeline[0].mood", "objections[0].quote.x", "scorecard.charm", "turn_index")} | {("o7", "objections.a")} - {("o7", "objections.a")}
