@@ -64,8 +64,15 @@ def scrubbed(reports: DataFrame, report: str = "report", log: str = "scrubs") ->
     def change(name: str, _: T.DataType):
         return text.strip_turn_citations if name.startswith(SUMMARY + ".") else None
 
-    new, changes = places.with_changes(F.col(report), schemas.REPORT, change)
-    return reports.withColumns({report: new, log: F.transform(changes, lambda c: c["path"])})
+    def texts(document: str) -> Column:
+        return places.gathered(F.col(document), schemas.REPORT, lambda name, leaf: isinstance(leaf, T.StringType) and change(name, leaf) is not None,
+                               lambda path, _, value: F.struct(path.alias("path"), value.alias("text")))
+
+    def changed(old: Column, new: Column) -> Column:
+        return F.when(old["text"] != new["text"], old["path"])
+
+    new = places.held(reports, "_new", places.rewritten(F.col(report), schemas.REPORT, lambda name, leaf: change(name, leaf) if isinstance(leaf, T.StringType) else None))
+    return new.withColumns({log: F.array_compact(F.zip_with(texts(report), texts("_new"), changed)), report: F.col("_new")}).drop("_new")
 
 
 def unknown_keys(documents: DataFrame, body: str = "body", kind: T.StructType = schemas.REPORT) -> DataFrame:

@@ -97,6 +97,12 @@ def test_a_report_is_parsed_once(documents):
     assert _times(rows, "from_json(") == 1
     assert {r["l"]["path"] for r in rows.collect()} >= {"lead_relevance.reason", "sales_summary.snapshot_points[2]"}
 
+def test_a_text_is_scrubbed_once(typed):
+    """The log goes by the new report and does not search the texts again."""
+    texts = [n for n, k in report.places.leaves(report.schemas.REPORT) if n.startswith("sales_summary.") and k.typeName() == "string"]
+    assert _times(report.scrubbed(typed).select("report", F.explode("scrubs").alias("path")), "turns?") == len(texts)
+
+
 def test_unknown_keys(documents):
     rows = report.unknown_keys(documents).collect()
     assert {(r["call_id"], r["path"]) for r in rows} == {("d", p) for p in ("call_purpose.stray", "timeline[0].mood", "objections[0].quote.x", "scorecard.charm", "turn_index")} | {("o7", "objections.a")} - {("o7", "objections.a")}
