@@ -59,6 +59,25 @@ def test_backchannel_and_fillers(spark):
     assert one(spark, text.is_filler, "हाँ।", "Ok.", "okay then") == [True, True, False]
 
 
+def test_backchannel_is_one_pattern(spark):
+    """The same lines as word by word, without lists in a row, and quick on long runs of blanks."""
+    import re
+
+    def plain(line):
+        words = [w.strip(K.BACKCHANNEL_STRIP).lower() for w in re.split(r"\s+", line.replace("।", " "))]
+        words = [w for w in words if w]
+        return len(words) <= 3 and all(w in K.BACKCHANNEL_WORDS for w in words)
+
+    draw = random.Random(5)
+    parts = ["ok", "OK", "haan", "जी", "हम", "हम्म", "no", "okx", "so", "to", " ", " ", "  ", "\n", "\u00a0", "\x1c", "।", ".", ",", "-", "—", "'", "…", "/"]
+    lines = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 7))) for _ in range(3000)] + ["ok" + " " * 50_000 + "no", " -" * 50_000 + "x", "ok,ok", "ok, ok", "ji\n", "ok no", "ok\u2028"]
+    wanted = [plain(x) for x in lines]
+    assert one(spark, text.is_backchannel, *lines) == wanted and 200 < sum(wanted) < 2800
+    assert one(spark, lambda c: text.is_backchannel(c, ["jA", "-a", "b c", "x"]), "jA", "a", "b c", "x", "") == [False, False, False, True, True]
+    plan = spark.range(1).select(text.is_backchannel(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "split(" not in plan
+
+
 def test_prose(spark):
     assert one(spark, text.strip_turn_citations, "Fine (turns 3, 9 and 12), he agreed at turn 4.", "at turn 30 he left", "No change  here") == [
         "Fine, he agreed.", "He left", "No change  here"]
