@@ -94,16 +94,18 @@ def jsn_1_clean(t: Inputs) -> DataFrame:
 
 def nodes(documents: DataFrame, depth: int) -> DataFrame:
     """Every node of VARIANT documents that is no NULL, down to a depth."""
-    level = documents.select("call_id", F.lit("").alias("path"), "v")
-    out = None
-    for _ in range(depth):
+    rows = documents.select("call_id", F.lit("").alias("path"), "v", F.lit(True).alias("open"))
+    for step in range(depth):
+        # One pass: a node that was reached last stays as a row and opens into its children; a union of levels would walk down anew for each.
+        twice = F.when(F.col("open"), F.array(*[F.lit(x) for x in ([False, True] if step else [True])])).otherwise(F.array(F.lit(False)))
+        rows = rows.withColumn("down", F.explode(twice)).withColumnRenamed("v", "own")
         name = F.when(F.col("key").isNull(), F.concat("path", F.lit("["), F.col("pos").cast("string"), F.lit("]"))).when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key"))
-        level = level.lateralJoin(documents.sparkSession.tvf.variant_explode_outer(F.col("v").outer()), None).select("call_id", name.alias("path"), F.col("value").alias("v"))
-        level = level.where("v is not null and not is_variant_null(v)")
-        out = level if out is None else out.unionByName(level)
+        rows = rows.lateralJoin(documents.sparkSession.tvf.variant_explode_outer(F.when(F.col("down"), F.col("own")).outer()), None)
+        rows = rows.select("call_id", F.when(F.col("down"), name).otherwise(F.col("path")).alias("path"), F.when(F.col("down"), F.col("value")).otherwise(F.col("own")).alias("v"), F.col("down").alias("open"))
+        rows = rows.where("v is not null and not is_variant_null(v)")
     kind = F.schema_of_variant("v")
     leaf = ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")
-    return out.select("call_id", "path", kind.startswith("OBJECT").alias("is_object"), F.when(leaf, F.try_variant_get("v", "$", "string")).alias("value"))
+    return rows.select("call_id", "path", kind.startswith("OBJECT").alias("is_object"), F.when(leaf, F.try_variant_get("v", "$", "string")).alias("value"))
 
 
 # --- trims, scrubs ----------------------------------------------------------------------

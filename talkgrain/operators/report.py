@@ -82,7 +82,7 @@ def unknown_keys(documents: DataFrame, body: str = "body", kind: T.StructType =
 
 def without_unknown_keys(documents: DataFrame, body: str = "body", kind: T.StructType = schemas.REPORT, log: str = "dropped") -> DataFrame:
     """Documents without such keys, as JSON, and the paths that went.  What is no JSON object stays as it is."""
-    parsed = documents.withColumn("_v", F.try_parse_json(body)).withColumn(log, places.extra_keys(F.col("_v"), kind))
+    parsed = places.held(documents, "_v", F.try_parse_json(body)).withColumn(log, places.extra_keys(F.col("_v"), kind))
     clean = F.to_json(places.declared_only(F.col("_v"), kind))
     return parsed.withColumn(body, F.when(F.size(log) > 0, clean).otherwise(F.col(body))).drop("_v")
 

@@ -114,6 +114,19 @@ def test_unknown_keys(documents):
     assert [left[f"o{k}"]["body"] for k in range(len(ODD))] == ODD
 
 
+def test_nodes_are_walked_in_one_pass(documents):
+    from talkgrain.catalog.report import nodes
+
+    found = nodes(documents.where("call_id = 'd'").select("call_id", F.try_parse_json("body").alias("v")), 9)
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+    def plain(value, path=""):
+        inner = [(f"{path}.{k}" if path else k, v) for k, v in value.items()] if isinstance(value, dict) else [(f"{path}[{i}]", v) for i, v in enumerate(value)] if isinstance(value, list) else []
+        return [row for p, v in inner if v is not None for row in [(p, isinstance(v, dict)), *plain(v, p)]]
+
+    assert sorted((r["path"], r["is_object"]) for r in found.collect()) == sorted(plain(DOC))
+
+
 def test_violations(typed):
     rows = {(r["path"], r["rule"]) for r in report.violations(typed).where("call_id = 'd'").collect()}
     assert {r for r in rows if r[1] != "size"} == {
