@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from talkgrain.catalog.conversation import turns
 from talkgrain.catalog.flags import _TOKENS, _text, dedupe_steps, report_flags, type_sql, upstream
 from talkgrain.catalog.registry import again, query, step
-from talkgrain.catalog.report import reports as documents
+from talkgrain.catalog.report import first_documents
 from talkgrain.catalog.scoring import _SCORE_COLUMNS
 from talkgrain.catalog.tables import Inputs
 from talkgrain.operators import chain
@@ -22,8 +22,8 @@ _FLAG_COLUMNS = ["call_id", "seq", "flag_type", "severity", "verbatim", "turn_in
 def chained(t: Inputs) -> tuple[chain.Reports, DataFrame]:
     own = t.turns_raw.select("call_id").distinct()
     of_calls = lambda rows: rows.join(own, "call_id", "left_semi")
-    first = documents(t).groupBy(F.col("of_call").alias("call_id")).agg(F.min_by("report", "turn").alias("report"))
-    nothing = documents(t).schema["report"].dataType
+    first = first_documents(t)
+    nothing = first.schema["report"].dataType
     body = first.withColumn("report", F.struct(*[(F.lit(None).cast(f.dataType) if f.name in ("objections", "compliance_flags") else F.col(f"report.{f.name}")).alias(f.name) for f in nothing.fields]))
     quoted = F.when(F.col("repeated_at").isNotNull(), F.array("repeated_at")).otherwise(F.array().cast("array<bigint>"))
     made = chain.Reports(

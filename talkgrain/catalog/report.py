@@ -36,6 +36,16 @@ def reports(t: Inputs) -> DataFrame:
     return report.read_reports(t.report)
 
 
+def first_documents(t: Inputs) -> DataFrame:
+    """(call_id, report) of each conversation's first turn.  The turn is chosen by its text: a report is many times as long, and one of every
+    turn would be parsed and sorted.  Few bytes make much parsing, so the texts stay dealt over all partitions."""
+    spoken = t.conversations
+    rest = [c for c in spoken.columns if c not in ("conv_id", "turn")]
+    first = spoken.groupBy("conv_id").agg(F.min("turn").alias("turn"), F.min_by(F.struct(*rest), "turn").alias("r")).select("conv_id", "turn", "r.*")
+    dealt = first.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "conv_id")
+    return report.read_reports(t.view("v_report", conversations=dealt)).select(F.col("of_call").alias("call_id"), "report")
+
+
 # One row a node: its path, its field's names from the top, the key, and the value of a leaf.
 step("s_nodes", r"""
 select call_id, substr(x.fullkey, 3) as path, regexp_replace(substr(x.fullkey, 3), '\[\d+\]', '', 'g') as field, x.key, x.type, x.atom ->> '$' as val, x.fullkey like '%]' as in_list,

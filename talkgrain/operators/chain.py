@@ -122,6 +122,7 @@ STEPS: list[Step] = [reanchor, carry_over, dedupe, scrub, check_ledger, check_re
 
 def run(reports: Reports, evidence: Evidence, steps: list[Step] = STEPS) -> tuple[Reports, DataFrame]:
     """The reports after all steps, and the log of all of them."""
+    evidence = evidence._replace(turns=ordered.cut(evidence.turns))
     log = None
     for step in steps:
         reports, said = step(reports, evidence)
