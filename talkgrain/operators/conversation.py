@@ -6,7 +6,7 @@ partial aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkgrain import constants as K
@@ -94,12 +94,11 @@ def employee_speaker(scores: DataFrame, forced: DataFrame | None = None) -> Data
     The best vocabulary score decides.  When two share it, whoever said most in the whole call is
     taken, even one with a lower score.  ``forced(call_id, speaker_id)`` overrides.
     """
-    best = scores.groupBy("call_id").agg(
-        F.max("marker_score").alias("top_score"),
-        F.max_by("speaker_id", F.struct("chars", -F.col("first_pos"))).alias("talkiest"))
-    leaders = (scores.join(best, "call_id").where(F.col("marker_score") == F.col("top_score"))
-               .groupBy("call_id").agg(F.count("*").alias("leaders"), F.min("speaker_id").alias("leader"),
-                                       F.first("talkiest").alias("talkiest")))
+    leads = F.col("marker_score") == F.col("_top")
+    topped = scores.where(F.col("call_id").isNotNull()).withColumn("_top", F.max("marker_score").over(Window.partitionBy("call_id")))
+    leaders = topped.groupBy("call_id").agg(
+        F.count_if(leads).alias("leaders"), F.min(F.when(leads, F.col("speaker_id"))).alias("leader"),
+        F.max_by("speaker_id", F.struct("chars", -F.col("first_pos"))).alias("talkiest")).where(F.col("leaders") > 0)
     pick = F.when(F.col("leaders") == 1, F.col("leader")).otherwise(F.col("talkiest"))
     if forced is None:
         return leaders.select("call_id", pick.alias("employee_speaker"), F.lit("auto").alias("detection"))

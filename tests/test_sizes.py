@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from talkgrain.catalog.report import first_documents, reports
 from talkgrain.catalog.tables import Inputs
+from talkgrain.operators import conversation
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,3 +23,12 @@ def test_first_reports_are_chosen_before_they_are_parsed(spark, capsys):
     every = reports(inputs).groupBy(F.col("of_call").alias("call_id")).agg(F.min_by("report", "turn").alias("report"))
     told = lambda df: sorted(map(str, df.select("call_id", F.to_json("report")).collect()))
     assert told(first) == told(every)
+
+
+def test_employees_are_picked_in_one_pass(spark, capsys):
+    scores = spark.createDataFrame(
+        [("a", "x", 3, 10, 0), ("a", "y", 1, 90, 1), ("b", "x", 2, 10, 0), ("b", "y", 2, 5, 1), ("b", "z", 0, 40, 2), ("c", "x", None, 7, 0), (None, "x", 1, 7, 0)],
+        "call_id string, speaker_id string, marker_score long, chars long, first_pos long")
+    picked = conversation.employee_speaker(scores)
+    assert explained(picked, capsys).count("Scan ExistingRDD") == 1
+    assert sorted(map(tuple, picked.collect())) == [("a", "x", "auto"), ("b", "z", "auto")]
