@@ -87,3 +87,31 @@ def test_many_comments_are_no_article():
     comments = "".join(f"<p>A reader says number {j} at some length</p>" for j in range(20))
     html = f"<body><div class='content'><p>{'A short story of the day. ' * 6}</p></div><div class='comments'>{comments}</div></body>"
     assert hw.main_text(html, frozenset(), SETTINGS) == ("A short story of the day. " * 6).strip()
+
+
+def site(k, middle=None):
+    body = middle or "".join(f"<p>Story {k} has a paragraph {j} of its own, about ship {k * 7 + j}</p>" for j in range(1 + k % 3))
+    return f"<html><body><div class='site-top'>The harbour paper since 1890</div><div class='content'>{body}</div><div class='bottom'>Printed by the harbour press</div></body></html>"
+
+
+def test_equal_text_is_template_and_differing_text_a_slot(spark):
+    rows = [(k, "https://harbour.example/%d" % k, site(k)) for k in range(6)]
+    rows += [(10 + k, "https://copies.example/%d" % k, site(1)) for k in range(5)]  # equal pages tell nothing
+    rows += [(20 + k, "https://alone.example/%d" % k, site(k)) for k in range(2)]  # too few to tell
+    got = {r["page_id"]: r["text"].split("\n") for r in hw.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    for k in range(6):
+        assert got[k] == [f"Story {k} has a paragraph {j} of its own, about ship {k * 7 + j}" for j in range(1 + k % 3)]
+    for k in (*range(10, 15), 20, 21):
+        assert got[k][0] == "The harbour paper since 1890" and got[k][-1] == "Printed by the harbour press"
+
+
+def test_a_page_is_parsed_with_its_wrapper():
+    pages = [hw.stream(hw.blocks(site(k)), SETTINGS)[0] for k in range(5)]
+    wrapper = pages[0]
+    for own in pages[1:]:
+        wrapper = hw._joined(wrapper, own, SETTINGS)
+    for own in pages:
+        told = hw.parsed(own, wrapper)
+        assert [f.digest is not None for f in told] == [True, *[False] * (len(told) - 2), True] and all(len(f.pages) == 3 for f in (told[0], told[-1]))
+    odd = hw.stream(hw.blocks(site(9, "<table><tr><td>one<td>two</table>")), SETTINGS)[0]
+    assert [f is None for f in hw.parsed(odd, wrapper)] == [False, True, False]
