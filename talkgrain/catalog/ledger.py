@@ -115,12 +115,16 @@ union all select call_id, 'audit', cost_usd from s_call_ledger where stage = 'au
 step("s_stages", _STAGES)
 
 
-def stages(t: Inputs) -> DataFrame:
-    """Analyses carry their stored cost; priced again where the block is from before costs were kept."""
+def verdict_costs(t: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Analyses carry their stored cost; priced again where the block is from before costs were kept.  Then the audits."""
     by_call = costs.priced(usage(t), ["call_id", "model", "stage"], DIGITS)
     analysis = by_call.where("stage = 'analyse'").select(
         "call_id", F.when(F.col("call_id") % 2 == 0, F.col("cost_usd")).alias("cost_usd"), F.col("cost_usd").alias("recomputed_usd"))
-    return costs.stage_totals(audio(t), audio(t), analysis, by_call.where("stage = 'audit'").select("call_id", "cost_usd"))
+    return analysis, by_call.where("stage = 'audit'").select("call_id", "cost_usd")
+
+
+def stages(t: Inputs) -> DataFrame:
+    return costs.stage_totals(audio(t), audio(t), *verdict_costs(t))
 
 
 @query("jn_14_stage_costs", f"select call_id, stage, {_NANO.format('stage_usd')} as stage_nano_usd from s_stages")
@@ -134,7 +138,7 @@ from (select call_id, coalesce(sum(stage_usd), 0) as total, count(stage_usd) = c
 join s_audio a on s.call_id = a.call_id
 """)
 def ag_23(t: Inputs) -> DataFrame:
-    whole = costs.call_costs(stages(t), audio(t), DIGITS)
+    whole = costs.audio_call_costs(audio(t), *verdict_costs(t), DIGITS)
     return whole.select("call_id", _nano("total_usd").alias("total_nano_usd"), "complete", "audio_seconds", F.col("usd_per_audio_hour").isNotNull().alias("has_hourly_rate"))
 
 
@@ -143,5 +147,5 @@ select s.call_id, round(total / (duration_ms / 3600000.0e0), 4) as usd_per_audio
 join s_audio a on s.call_id = a.call_id where duration_ms > 0
 """)
 def ag_23_rate(t: Inputs) -> DataFrame:
-    whole = costs.call_costs(stages(t), audio(t), DIGITS).where("usd_per_audio_hour is not null")
+    whole = costs.audio_call_costs(audio(t), *verdict_costs(t), DIGITS).where("usd_per_audio_hour is not null")
     return whole.select("call_id", "usd_per_audio_hour")

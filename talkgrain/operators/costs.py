@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talkgrain import constants as K
@@ -101,15 +101,31 @@ def stage_totals(calls: DataFrame, audio: DataFrame, analysis: DataFrame, audit:
     ``analysis`` carries a stored ``total_usd`` or ``cost_usd``, or else usage priced again as
     ``recomputed_usd``; a call missing from a stage's table has no such stage.
     """
+    # a call itself is a row without a stage: one aggregate by call in place of a join for each stage
+    by_call = _by_call({"": calls, "transcribe": audio, "analyse": analysis, "audit": audit})
+    told = F.array_compact(F.array(*[
+        F.when(F.col(f"_has_{name}"), F.struct(F.lit(name).alias("stage"), F.col(f"_usd_{name}").alias("stage_usd"))) for name in STAGE_COSTS]))
+    return by_call.where("_has_").select("call_id", F.explode(told).alias("s")).select("call_id", "s.*")
+
+
+# Where each stage's dollars may be, best first.
+STAGE_COSTS = {"transcribe": ("total_usd", "cost_usd", "audio_cost_usd"), "analyse": ("total_usd", "cost_usd", "recomputed_usd"), "audit": ("total_usd", "cost_usd")}
+
+
+def _stage_usd(df: DataFrame, stage: str) -> Column:
     none = F.lit(None).cast("double")
-    first = lambda df, *names: F.coalesce(*[F.col(n) if n in df.columns else none for n in names])
-    stages = [("transcribe", audio, first(audio, "total_usd", "cost_usd", "audio_cost_usd")),
-              ("analyse", analysis, first(analysis, "total_usd", "cost_usd", "recomputed_usd")),
-              ("audit", audit, first(audit, "total_usd", "cost_usd"))]
-    parts = [df.select("call_id", F.lit(name).alias("stage"), cost.alias("stage_usd")) for name, df, cost in stages]
-    all_stages = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    known = all_stages.join(calls.select("call_id"), "call_id", "left_semi")
-    return known.groupBy("call_id", "stage").agg(F.sum("stage_usd").alias("stage_usd"))
+    return F.coalesce(none, *[F.col(n) for n in STAGE_COSTS.get(stage, ()) if n in df.columns])
+
+
+def _by_call(tables: dict[str, DataFrame]) -> DataFrame:
+    """A row per call of any table: whether each stage has rows of it (_has_<stage>) and their dollars (_usd_<stage>)."""
+    rows = None
+    for stage, df in tables.items():
+        part = df.where(F.col("call_id").isNotNull()).select("call_id", F.lit(stage).alias("stage"), _stage_usd(df, stage).alias("stage_usd"))
+        rows = part if rows is None else rows.unionByName(part)
+    of = {stage: F.col("stage") == stage for stage in tables}
+    return rows.groupBy("call_id").agg(*[F.bool_or(test).alias(f"_has_{stage}") for stage, test in of.items()],
+                                       *[F.sum(F.when(test, F.col("stage_usd"))).alias(f"_usd_{stage}") for stage, test in of.items() if stage])
 
 
 def call_costs(stages: DataFrame, durations: DataFrame, digits: int = 6) -> DataFrame:
@@ -118,9 +134,27 @@ def call_costs(stages: DataFrame, durations: DataFrame, digits: int = 6) -> Data
     total = stages.groupBy("call_id").agg(
         F.coalesce(F.sum("stage_usd"), F.lit(0.0)).alias("_raw"),
         ((F.count("stage_usd") == F.count("*")) & has("transcribe") & has("analyse")).alias("complete"))
+    return _per_hour(total.join(durations.select("call_id", "duration_ms"), "call_id", "left"), digits)
+
+
+def _per_hour(totals: DataFrame, digits: int) -> DataFrame:
     hours = F.nullif(F.col("duration_ms"), F.lit(0).cast("bigint")) / 3_600_000.0
-    # both are rounded from the raw sum: a rounded total of a short call would be off by much in an hour
-    return total.join(durations.select("call_id", "duration_ms"), "call_id", "left").withColumns({
+    # both are rounded from the raw sum: a rounded total of a short call would be off by much in an hour; a tie goes as the product in doubles has it
+    return totals.withColumns({
         "total_usd": F.round("_raw", digits),
         "audio_seconds": F.round(F.coalesce("duration_ms", F.lit(0)) / 1000.0, 2),
-        "usd_per_audio_hour": F.round(F.col("_raw") / hours, 4)}).drop("_raw")
+        "usd_per_audio_hour": F.round(F.col("_raw") / hours * 10_000.0) / 10_000.0}).drop("_raw")
+
+
+def audio_call_costs(audio: DataFrame, analysis: DataFrame, audit: DataFrame, digits: int = 6) -> DataFrame:
+    """call_costs of the stage_totals of the calls in ``audio``, whose rows also hold the durations.
+
+    Each table is shuffled once and ``audio`` is sorted once: a call's rows of it are summed where the join has put them side by side.
+    """
+    spent = _by_call({"analyse": analysis, "audit": audit})
+    joined = audio.where(F.col("call_id").isNotNull()).select("call_id", "duration_ms", _stage_usd(audio, "transcribe").alias("_usd")).join(spent, "call_id", "left")
+    heard = F.sum("_usd").over(Window.partitionBy("call_id"))
+    rows = joined.withColumn("_usd_transcribe", heard).withColumn(
+        "_raw", sum((F.coalesce(f"_usd_{name}", F.lit(0.0)) for name in STAGE_COSTS), F.lit(0.0)))
+    measured = F.col("_usd_transcribe").isNotNull() & F.col("_usd_analyse").isNotNull() & (~F.coalesce("_has_audit", F.lit(False)) | F.col("_usd_audit").isNotNull())
+    return _per_hour(rows.select("call_id", "_raw", measured.alias("complete"), "duration_ms"), digits)

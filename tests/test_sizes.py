@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from talkgrain import catalog
 from talkgrain.catalog.report import first_documents, reports
 from talkgrain.catalog.tables import Inputs
-from talkgrain.operators import conversation
+from talkgrain.operators import conversation, costs
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -32,3 +33,16 @@ def test_employees_are_picked_in_one_pass(spark, capsys):
     picked = conversation.employee_speaker(scores)
     assert explained(picked, capsys).count("Scan ExistingRDD") == 1
     assert sorted(map(tuple, picked.collect())) == [("a", "x", "auto"), ("b", "z", "auto")]
+
+
+def test_costs_of_calls_take_one_sort_of_the_calls(spark, capsys):
+    for name in ("ag_23_call_costs", "ag_23_hourly_rate"):
+        assert explained(catalog.QUERIES[name](spark, FOLDER), capsys).count("orders.parquet") == 1
+    table = lambda rows, usd: spark.createDataFrame(rows, f"call_id string, {usd} double, duration_ms long")
+    audio = table([("a", 0.5, 1000), ("a", None, 2000), ("b", None, 0), ("c", 0.25, None), ("d", 1.0, 5), (None, 1.0, 5), ("e", 2.0, 7), ("f", 2.0, 7)], "audio_cost_usd")
+    analysis = table([("a", 1.0, 1), ("a", None, 1), ("b", 1.0, 1), ("c", None, 1), ("e", 4.0, 1), ("f", 1.0, 1), ("x", 1.0, 1), (None, 1.0, 1)], "cost_usd").drop("duration_ms")
+    audit = table([("a", 2.0, 1), ("e", None, 1), ("x", 1.0, 1)], "cost_usd").drop("duration_ms")
+    got = costs.audio_call_costs(audio, analysis, audit)
+    want = costs.call_costs(costs.stage_totals(audio, audio, analysis, audit), audio)
+    told = lambda df: sorted(map(str, df.select("call_id", "complete", "duration_ms", "total_usd", "audio_seconds", "usd_per_audio_hour").collect()))
+    assert told(got) == told(want) and len(told(got)) == 7 and got.where("call_id = 'f'").first()["complete"]
