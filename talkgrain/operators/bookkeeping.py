@@ -80,8 +80,12 @@ def with_parent(calls: DataFrame, audits: DataFrame, fields: list[str]) -> DataF
     named = audits.select(F.col("call_id").alias("parent_id"), F.lit(True).alias("_has"),
                           *[F.col(f).alias(f"parent_{f}") for f in fields])
     wanted = calls.withColumns({"is_follow_up_id": paths.is_follow_up("call_id"), "parent_id": paths.parent_call_id("call_id")})
-    return (wanted.join(named, "parent_id", "left")
-            .withColumn("parent_missing", F.col("is_follow_up_id") & F.col("_has").isNull()).drop("_has"))
+    looked = (wanted.where(F.col("parent_id").isNotNull()).join(named, "parent_id", "left")
+              .withColumn("parent_missing", F.col("is_follow_up_id") & F.col("_has").isNull()).drop("_has"))
+    # first calls stay out of the join: without a parent they would all meet in one task
+    none = {f"parent_{f}": F.lit(None).cast(audits.schema[f].dataType) for f in fields}
+    firsts = wanted.where(F.col("parent_id").isNull()).withColumns(none | {"parent_missing": F.col("is_follow_up_id")})
+    return looked.unionByName(firsts)
 
 
 def string_metadata(metadata: Column) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from talkgrain import catalog
 from talkgrain.catalog.report import first_documents, reports
 from talkgrain.catalog.tables import Inputs
-from talkgrain.operators import conversation, costs
+from talkgrain.operators import bookkeeping, conversation, costs
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -46,3 +46,13 @@ def test_costs_of_calls_take_one_sort_of_the_calls(spark, capsys):
     want = costs.call_costs(costs.stage_totals(audio, audio, analysis, audit), audio)
     told = lambda df: sorted(map(str, df.select("call_id", "complete", "duration_ms", "total_usd", "audio_seconds", "usd_per_audio_hour").collect()))
     assert told(got) == told(want) and len(told(got)) == 7 and got.where("call_id = 'f'").first()["complete"]
+
+
+def test_first_calls_are_in_no_join(spark, capsys):
+    calls = spark.createDataFrame([("1",), ("2_follow_up",), ("2_follow_up",), ("3_follow_up",), (None,)], "call_id string")
+    audits = spark.createDataFrame([("2", 5.0), ("2", 6.0), ("1", 7.0), (None, 8.0)], "call_id string, score double")
+    got = bookkeeping.with_parent(calls, audits, ["score"])
+    assert sorted(map(str, map(tuple, got.select("call_id", "is_follow_up_id", "parent_id", "parent_score", "parent_missing").collect()))) == sorted(map(str, [
+        ("1", False, None, None, False), *[("2_follow_up", True, "2", x, False) for x in (5.0, 5.0, 6.0, 6.0)], ("3_follow_up", True, "3", None, True), (None, None, None, None, None)]))
+    left = explained(got, capsys)
+    assert "Union" in left and left.index("Union") < left.index("Join")
