@@ -51,24 +51,34 @@ def flow_marks(flows: DataFrame, checkpoints: tuple[str, ...] = tuple(K.FLOW_BRE
 
 
 def apply_flow(card: DataFrame, flows: DataFrame) -> DataFrame:
-    marked = flow_marks(flows).select("call_id", F.lit(K.FLOW_CRITERION).alias("criterion"), "flow_reached", "flow_awarded")
-    joined = card.join(marked, ["call_id", "criterion"], "left")
+    """The flow line takes the computed mark.  The join goes by call, as those after it do, so that a card is shuffled and sorted once."""
+    marked = flow_marks(flows).select("call_id", "flow_reached", "flow_awarded")
+    lines, own = card.alias("c"), marked.alias("f")
+    joined = (lines.join(own, (F.col("c.call_id") == F.col("f.call_id")) & (F.col("c.criterion") == F.lit(K.FLOW_CRITERION)), "left")
+              .select("c.*", "f.flow_reached", "f.flow_awarded"))
     return joined.withColumns({
         "flow_changed": F.coalesce(F.col("flow_reached") & (F.col("flow_awarded") != F.col("awarded")), F.lit(False)),
         "reached": F.coalesce("flow_reached", "reached"), "awarded": F.coalesce("flow_awarded", "awarded"),
     }).drop("flow_reached", "flow_awarded")
 
 
+def repeat_counts(repeats: DataFrame) -> DataFrame:
+    """A row per call: how often each criterion of the scheme is repeated, in the scheme's order."""
+    counts = repeats.groupBy("call_id").agg(*[F.count_if(F.col("criterion") == name).alias(name) for name in K.CRITERIA])
+    return counts.select("call_id", F.array(*K.CRITERIA).alias("_counts"))
+
+
 def apply_repetitions(card: DataFrame, repeats: DataFrame, continuity: DataFrame) -> DataFrame:
     """A follow-up's criterion steps down one band for each repeat of the call before.
 
     Nothing is taken off a criterion that was not reached, or on a call that is not a follow-up.
     ``repeat_on_unreached`` keeps that there was a repeat on a criterion not reached at this point.
+    Repeats of a criterion that the scheme does not have count nowhere.
     """
-    counts = repeats.groupBy("call_id", "criterion").agg(F.count("*").alias("repeats"))
     follow = continuity.select("call_id", "is_follow_up")
-    joined = (card.join(counts, ["call_id", "criterion"], "left").join(follow, "call_id", "left")
-              .withColumn("repeats", F.coalesce("repeats", F.lit(0).cast("bigint"))))
+    place = F.create_map(*[x for k, name in enumerate(K.CRITERIA) for x in (F.lit(name), F.lit(k))])
+    joined = (card.join(repeat_counts(repeats), "call_id", "left").join(follow, "call_id", "left")
+              .withColumn("repeats", F.coalesce(F.get("_counts", F.try_element_at(place, "criterion")), F.lit(0).cast("bigint"))).drop("_counts"))
     applies = F.coalesce("is_follow_up", F.lit(False)) & F.col("reached") & (F.col("repeats") > 0)
     stepped = (joined.withColumn("_before", F.least("awarded", marks.full_marks("criterion")))
                .withColumn("_after", F.when(applies, marks.step_down("criterion", "_before", "repeats"))))

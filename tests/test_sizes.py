@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from talkgrain import catalog
 from talkgrain.catalog.report import first_documents, reports
 from talkgrain.catalog.tables import Inputs
-from talkgrain.operators import bookkeeping, conversation, costs
+from talkgrain.operators import bookkeeping, conversation, costs, scorecard
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -56,3 +56,28 @@ def test_first_calls_are_in_no_join(spark, capsys):
         ("1", False, None, None, False), *[("2_follow_up", True, "2", x, False) for x in (5.0, 5.0, 6.0, 6.0)], ("3_follow_up", True, "3", None, True), (None, None, None, None, None)]))
     left = explained(got, capsys)
     assert "Union" in left and left.index("Union") < left.index("Join")
+
+
+def test_a_card_is_shuffled_and_sorted_once(spark, capsys):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for name in ("scr_6_warnings", "scr_6_defaults_and_clamps", "scr_7_section_totals"):
+            plan = explained(catalog.QUERIES[name](spark, FOLDER), capsys)
+            assert plan.count("SortMergeJoin") == 4 and plan.count("Sort [") == 5, name  # the card and the four tables it meets
+            assert not [x for x in plan.split("\n") if "Exchange hashpartitioning(call_id" in x and "criterion" in x], name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_repeats_and_flows_of_a_call_meet_their_lines(spark):
+    card = spark.createDataFrame([("a", "purpose_of_call", True, 10), ("a", "pitch_flow_order", True, 10), ("a", "humour", False, 3), ("b", "purpose_of_call", False, 4), (None, "pitch_flow_order", True, 1)],
+                                 "call_id string, criterion string, reached boolean, awarded long")
+    flows = spark.createDataFrame([("a", "broken", "held", "held", ""), ("a", "held", "held", "held", ""), (None, "broken", "held", "held", "")],
+                                  "call_id string, introduction_first string, qualification_block string, personalised_path_block string, justification string")
+    repeats = spark.createDataFrame([("a", "purpose_of_call"), ("a", "purpose_of_call"), ("a", None), ("b", "purpose_of_call"), (None, "pitch_flow_order")], "call_id string, criterion string")
+    follow = spark.createDataFrame([("a", True), ("b", True)], "call_id string, is_follow_up boolean")
+    got = scorecard.apply_repetitions(scorecard.apply_flow(card, flows), repeats, follow)
+    assert sorted(map(str, map(tuple, got.select("call_id", "criterion", "reached", "flow_changed", "repeats", "repeat_on_unreached").collect()))) == sorted(map(str, [
+        ("a", "purpose_of_call", True, False, 2, False), ("a", "pitch_flow_order", True, True, 0, False), ("a", "pitch_flow_order", True, False, 0, False), ("a", "humour", False, False, 0, False),
+        ("b", "purpose_of_call", False, False, 1, True), (None, "pitch_flow_order", True, False, 0, False)]))
